@@ -44,9 +44,9 @@ def shape(df: DataFrame, cols: str) -> DataFrame:
 
 
 def shape_sql(sql: str, cols: str) -> str:
-    kinds = {"b": "CAST({c} AS BIGINT)", "s": "CAST({c} AS VARCHAR)", "z": "CAST({c} AS BOOLEAN)",
-             "d": "round(CAST({c} AS DOUBLE), 6) + 0.0"}
-    sel = ", ".join(f"{kinds[k].format(c=c)} AS {c}" for c, k in _parse(cols))
+    kinds = {"b": 'CAST("{c}" AS BIGINT)', "s": 'CAST("{c}" AS VARCHAR)', "z": 'CAST("{c}" AS BOOLEAN)',
+             "d": 'round(CAST("{c}" AS DOUBLE), 6) + 0.0'}
+    sel = ", ".join(f"{kinds[k].format(c=c)} AS \"{c}\"" for c, k in _parse(cols))
     return f"SELECT {sel} FROM ({sql}) AS q"
 
 
