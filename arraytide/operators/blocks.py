@@ -68,6 +68,27 @@ def carry_in(df: DataFrame, keys: list[str], pos: str, aggs: dict[str, Column],
     return df.join(per, [*keys, BLK], "left")
 
 
+def neighbours(df: DataFrame, keys: list[str], pos: str, value: str, block: int, strict: bool = False) -> DataFrame:
+    """Every row with the nearest non-null value at or before it and at or after it, however far away.
+
+    Columns prev_pos, prev_val, next_pos, next_val; on a row that holds a value both are that row, unless
+    `strict`, which leaves the row itself out.
+    """
+    d = df.withColumn(BLK, block_of(pos, block)).withColumn(
+        "_pv", F.when(F.col(value).isNotNull(), F.struct(F.col(pos).alias("p"), F.col(value).alias("v"))))
+    per = d.groupBy(*keys, BLK).agg(F.max("_pv").alias("_l"), F.min("_pv").alias("_f"))
+    by = Window.partitionBy(*keys).orderBy(BLK)
+    per = per.select(*keys, BLK, F.last("_l", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+                     F.first("_f", ignorenulls=True).over(by.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
+    w = Window.partitionBy(*keys, BLK).orderBy(pos)
+    d = d.join(per, [*keys, BLK], "left")
+    back = F.coalesce(F.last("_pv", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1 if strict else 0)), F.col("_before"))
+    ahead = F.coalesce(F.first("_pv", ignorenulls=True).over(w.rowsBetween(1 if strict else 0, Window.unboundedFollowing)), F.col("_after"))
+    return (d.withColumn("_b", back).withColumn("_a", ahead)
+            .withColumns({"prev_pos": F.col("_b.p"), "prev_val": F.col("_b.v"), "next_pos": F.col("_a.p"), "next_val": F.col("_a.v")})
+            .drop("_pv", "_before", "_after", "_b", "_a", BLK))
+
+
 def ranked(df: DataFrame, bucket: Column, order: list[Column], name: str = "rank") -> DataFrame:
     """A global 1-based row number without a global sort: rank inside a bucket plus the earlier buckets' counts.
 

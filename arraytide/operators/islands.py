@@ -22,13 +22,13 @@ def runs(df: DataFrame, keys: list[str], pos: str, flag: Column | None = None, m
              .agg(F.min(pos).alias("run_start"), F.max(pos).alias("run_end")))
     edge = ((F.col("run_start") == F.col(BLK) * block)
             | (F.col("run_end") == F.col(BLK) * block + (block - 1)))
-    inner = local.where(~edge).select(*keys, "run_start", "run_end")
-    over = Window.partitionBy(*keys).orderBy("run_start")
+    # runs at a block edge meet per key, the others stay in windows of their own block
+    local = local.withColumn("_e", edge).withColumn("_p", F.when(~F.col("_e"), F.col(BLK)))
+    over = Window.partitionBy(*keys, "_p").orderBy("run_start")
     fresh = F.coalesce((F.col("run_start") != F.lag("run_end").over(over) + 1).cast("int"), F.lit(1))
-    joined = (local.where(edge).withColumn("_f", fresh).withColumn("_id", F.sum("_f").over(over))
-              .groupBy(*keys, "_id").agg(F.min("run_start").alias("run_start"), F.max("run_end").alias("run_end"))
-              .drop("_id"))
-    out = inner.unionByName(joined).withColumn("run_len", F.col("run_end") - F.col("run_start") + 1)
+    out = (local.withColumn("_f", fresh).withColumn("_id", F.sum("_f").over(over))
+           .groupBy(*keys, "_p", "_id").agg(F.min("run_start").alias("run_start"), F.max("run_end").alias("run_end"))
+           .drop("_p", "_id").withColumn("run_len", F.col("run_end") - F.col("run_start") + 1))
     return out.where(F.col("run_len") >= min_len) if min_len > 1 else out
 
 

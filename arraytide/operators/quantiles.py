@@ -2,20 +2,24 @@
 
 Spark's `percentile` keeps a value -> count map of the whole group in one reducer. That is the right plan for
 groups that are bounded by construction (a day of one channel, the periods of one curve) and the wrong one for
-a group that may hold a third of all rows. `group_percentiles` counts the groups first and sends only those
-above `heavy_rows` through `value_ranks`, which never holds a group in one task:
+a group that may hold a third of all rows, such as every sample of one station. Two forms for those:
+
+`group_percentiles` brackets a percentile with a sketch and resolves it exactly inside the bracket. `value_ranks`
+gives the rank of every value without holding a group in one task:
 
     1  collapse to distinct (key, value) with a count: ties merge before any shuffle by key
     2  cut every key's values into buckets at sketch quantiles (bounded, mergeable state)
     3  number the values inside (key, bucket) and add the counts of the lower buckets
 
-Sketch error moves a cut point and so the balance of the buckets, never a rank.
+Sketch error moves a bracket or a cut point, never a result.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-HEAVY_ROWS = 5_000_000
+ACCURACY = 10_000
+SMALL = 2_000          # a group this small is resolved whole
+MEDIUM = 2_000_000     # up to here the wide bracket of 1 / 1000 either side is used
 BUCKETS = 256
 
 
@@ -37,44 +41,50 @@ def value_ranks(df: DataFrame, keys: list[str], value: str, buckets: int = BUCKE
             .select(*keys, F.col("_v").alias(value), "lo", "hi", "n"))
 
 
-def _pick(ranks: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
-    aggs = []
-    for name, p in probs.items():
-        at = F.lit(float(p)) * (F.col("n") - 1)
-        a, b = F.floor(at) + 1, F.ceil(at) + 1
-        aggs += [F.max(F.when((F.col("lo") <= a) & (F.col("hi") >= a), F.col(value))).alias(f"_a_{name}"),
-                 F.max(F.when((F.col("lo") <= b) & (F.col("hi") >= b), F.col(value))).alias(f"_b_{name}")]
-    g = ranks.groupBy(*keys).agg(F.max("n").alias("_n"), *aggs)
+def group_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], accuracy: int = ACCURACY) -> DataFrame:
+    """{name: p} interpolated percentiles of `value` per group, exact whatever the size of the group.
+
+    A first pass brackets each percentile with a sketch, whose state is bounded and whose rank error is known.
+    The second pass counts what lies below the bracket and keeps only the values strictly inside it: about
+    4 / accuracy of a large group, all of a small one. Ties with an end of the bracket are counted, never kept.
+    """
+    d = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    wide, narrow = 1e-3, 2.0 / accuracy
+    clip = lambda p: min(1.0, max(0.0, p))
+    cuts = [clip(p + w) for p in probs.values() for w in (-wide, wide, -narrow, narrow)]
+    b = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", cuts, accuracy).alias("_q"))
+    ends = []
+    for k, name in enumerate(probs):
+        def end(off: int, inf: str) -> Column:
+            return (F.when(F.col("_n") <= SMALL, F.lit(float(inf))).when(F.col("_n") <= MEDIUM, F.col("_q")[4 * k + off])
+                    .otherwise(F.col("_q")[4 * k + 2 + off]))
+        ends += [end(0, "-inf").alias(f"_l_{name}"), end(1, "inf").alias(f"_h_{name}")]
+    j = d.join(b.select(*keys, "_n", *ends), keys)
+    v, aggs = F.col("_v"), [F.max("_n").alias("_n")]
+    for name in probs:
+        lo, hi = F.col(f"_l_{name}"), F.col(f"_h_{name}")
+        aggs += [F.count_if(v <= lo).alias(f"_c_{name}"), F.max(lo).alias(f"_l_{name}"), F.max(hi).alias(f"_h_{name}"),
+                 F.sort_array(F.collect_list(F.when((v > lo) & (v < hi), v))).alias(f"_i_{name}")]
+    g = j.groupBy(*keys).agg(*aggs)
     out = []
     for name, p in probs.items():
+        lo, hi, c, inside = (F.col(f"_{x}_{name}") for x in "lhci")
         at = F.lit(float(p)) * (F.col("_n") - 1)
-        frac = at - F.floor(at)
-        out.append((F.col(f"_a_{name}") + frac * (F.col(f"_b_{name}") - F.col(f"_a_{name}"))).alias(name))
-    return g.select(*keys, *out)
 
-
-def group_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-                      heavy_rows: int = HEAVY_ROWS, buckets: int = BUCKETS) -> DataFrame:
-    """{name: p} interpolated percentiles of `value` per group, exact whatever the size of the group.
-
-    The heavy keys are at most rows / heavy_rows many, which is what bounds the broadcast of them.
-    """
-    d = df.select(*keys, F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull())
-    heavy = F.broadcast(d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy_rows)
-                        .select(*keys))
-    light = (d.join(heavy, keys, "left_anti").groupBy(*keys)
-             .agg(*[F.percentile(value, float(p)).alias(n) for n, p in probs.items()]))
-    big = _pick(value_ranks(d.join(heavy, keys, "left_semi"), keys, value, buckets), keys, value, probs)
-    return light.unionByName(big)
+        def stat(rank: Column) -> Column:
+            k = (rank - c).cast("int")
+            return F.when(k <= 0, lo).when(k <= F.size(inside), F.get(inside, k - 1)).otherwise(hi)
+        a, b2 = stat(F.floor(at) + 1), stat(F.ceil(at) + 1)
+        out.append((a + (at - F.floor(at)) * (b2 - a)).alias(name))
+    return g.select(*keys, *out)
 
 
-def group_mad(df: DataFrame, keys: list[str], value: str, scale: float = 1.4826,
-              heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def group_mad(df: DataFrame, keys: list[str], value: str, scale: float = 1.4826) -> DataFrame:
     """(keys, med, mad): the median and the scaled median absolute deviation of each group, in two passes."""
-    med = group_percentiles(df, keys, value, {"med": 0.5}, heavy_rows)
+    med = group_percentiles(df, keys, value, {"med": 0.5})
     dev = df.select(*keys, value).join(med, keys).withColumn("_dev", F.abs(F.col(value) - F.col("med")))
-    mad = group_percentiles(dev, keys, "_dev", {"mad": 0.5}, heavy_rows)
-    return med.join(mad, keys).withColumn("mad", F.col("mad") * F.lit(scale))
+    return (group_percentiles(dev, keys, "_dev", {"mad": 0.5}).join(med, keys)
+            .withColumn("mad", F.col("mad") * F.lit(scale)))
 
 
 def others_median(df: DataFrame, keys: list[str], value: str, out: str = "others_median",
