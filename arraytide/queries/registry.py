@@ -14,6 +14,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 COVERS: dict[str, tuple[str, ...]] = {}
 
+# both sides add this before rounding, so a value on an exact half of the last digit cannot round two ways
+TIE = 2e-10
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -39,13 +42,13 @@ def _parse(cols: str) -> list[tuple[str, str]]:
 def shape(df: DataFrame, cols: str) -> DataFrame:
     kinds = {"b": lambda c: F.col(c).cast("bigint"), "s": lambda c: F.col(c).cast("string"),
              "z": lambda c: F.col(c).cast("boolean"),
-             "d": lambda c: F.round(F.col(c).cast("double"), 6) + F.lit(0.0)}
+             "d": lambda c: F.round(F.col(c).cast("double") + F.lit(TIE), 6) + F.lit(0.0)}
     return df.select(*[kinds[k](c).alias(c) for c, k in _parse(cols)])
 
 
 def shape_sql(sql: str, cols: str) -> str:
     kinds = {"b": 'CAST("{c}" AS BIGINT)', "s": 'CAST("{c}" AS VARCHAR)', "z": 'CAST("{c}" AS BOOLEAN)',
-             "d": 'round(CAST("{c}" AS DOUBLE), 6) + 0.0'}
+             "d": 'round(CAST("{c}" AS DOUBLE) + 2e-10, 6) + 0.0'}
     sel = ", ".join(f"{kinds[k].format(c=c)} AS \"{c}\"" for c, k in _parse(cols))
     return f"SELECT {sel} FROM ({sql}) AS q"
 
