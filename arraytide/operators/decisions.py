@@ -115,7 +115,8 @@ def dc_test(medians: DataFrame) -> DataFrame:
     c = F.col
     h, f = F.sqrt(c("bx") ** 2 + c("by") ** 2), F.sqrt(c("bx") ** 2 + c("by") ** 2 + c("bz") ** 2)
     hi, fi = F.sqrt(c("igrf_x") ** 2 + c("igrf_y") ** 2), F.sqrt(c("igrf_x") ** 2 + c("igrf_y") ** 2 + c("igrf_z") ** 2)
-    d = medians.withColumns({"f_ratio": f / fi, "h_ratio": h / hi, "bx_over_x": c("bx") / c("igrf_x"), "bz_over_z": c("bz") / c("igrf_z"),
+    d = medians.withColumns({"f_ratio": F.try_divide(f, fi), "h_ratio": F.try_divide(h, hi), "bx_over_x": F.try_divide("bx", "igrf_x"),
+                             "bz_over_z": F.try_divide("bz", "igrf_z"),
                              "angle_deg": F.degrees(F.atan2("by", "bx")),
                              "tilt_deg": F.degrees(F.atan2(h, -c("bz")) - F.atan2(hi, -c("igrf_z")))})
     flags = F.array_compact(F.array(

@@ -59,9 +59,9 @@ def mean_field_rotation(t):
     return decisions.rotate_to_mean_field(d, ["site"], "i", reg, drop)
 
 
-@query("dc_test", "site:b f_ratio:d h_ratio:d angle_deg:d tilt_deg:d flags:s verdict:s", "A4", with_(REC, """m AS (SELECT site, median(hx) - 20 AS bx, median(ey * 10) - 2 AS by, -median(hy) AS bz, 20.0 + site / 2.0 AS x, 3.0 AS y, -60.0 - site AS z FROM rec GROUP BY site),
-r AS (SELECT *, sqrt(bx * bx + by * by) AS h, sqrt(bx * bx + by * by + bz * bz) AS f, sqrt(x * x + y * y) AS hi, sqrt(x * x + y * y + z * z) AS fi FROM m),
-q AS (SELECT site, f / fi AS f_ratio, h / hi AS h_ratio, degrees(atan2(by, bx)) AS angle_deg, degrees(atan2(h, -bz) - atan2(hi, -z)) AS tilt_deg, bx, bz / z AS zr FROM r),
+@query("dc_test", "site:b f_ratio:d h_ratio:d angle_deg:d tilt_deg:d flags:s verdict:s", "A4", with_(REC, """m AS (SELECT site, median(hx) - 20 AS bx, median(ey * 10) - 2 AS b2, -median(hy) AS bz, 20.0 + site / 2.0 AS x, 3.0 AS y, -60.0 - site AS z FROM rec GROUP BY site),
+r AS (SELECT *, sqrt(bx * bx + b2 * b2) AS h, sqrt(bx * bx + b2 * b2 + bz * bz) AS f, sqrt(x * x + y * y) AS hi, sqrt(x * x + y * y + z * z) AS fi FROM m),
+q AS (SELECT site, f / fi AS f_ratio, h / hi AS h_ratio, degrees(atan2(b2, bx)) AS angle_deg, degrees(atan2(h, -bz) - atan2(hi, -z)) AS tilt_deg, bx, bz / z AS zr FROM r),
 g AS (SELECT *, concat_ws('; ', CASE WHEN abs(f_ratio - 1) > 0.05 THEN 'gain' WHEN abs(zr - 1) > 0.1 OR abs(h_ratio - 1) > 0.1 THEN 'tilt' END, CASE WHEN bx < 0 THEN 'Bx negative' END, CASE WHEN abs(angle_deg) > 30 THEN 'angle' END) AS flags FROM q)""")
        + "SELECT *, CASE WHEN flags = '' THEN 'PASS' ELSE 'CHECK' END AS verdict FROM g")
 def dc_test(t):
@@ -80,13 +80,17 @@ def signs_from_dc(t):
 
 
 # nations as stations, months as days
-MON = """mo AS (SELECT site, i // 30 AS day, CASE WHEN count(*) >= 12 THEN stddev_pop(ex) END AS std_ex, CASE WHEN count(*) >= 12 THEN stddev_pop(ey) END AS std_ey, 0.5 + corr(ex, hx) / 2 AS coh_ex_hy, 0.5 + corr(ey, hy) / 2 AS coh_ey_hx, 0.3 + corr(ex, ey) AS coh_ex_ey FROM rec GROUP BY 1, 2 HAVING count(*) > 4)"""
+MON = """mo AS (SELECT site, i // 30 AS day, CASE WHEN count(*) >= 12 THEN stddev_pop(ex) END AS std_ex, CASE WHEN count(*) >= 12 THEN stddev_pop(ey) END AS std_ey, 0.5 + covar_pop(ex, hx) / nullif(stddev_pop(ex) * stddev_pop(hx), 0) / 2 AS coh_ex_hy, 0.5 + covar_pop(ey, hy) / nullif(stddev_pop(ey) * stddev_pop(hy), 0) / 2 AS coh_ey_hx, 0.3 + covar_pop(ex, ey) / nullif(stddev_pop(ex) * stddev_pop(ey), 0) AS coh_ex_ey FROM rec GROUP BY 1, 2 HAVING count(*) > 4)"""
+
+
+def _corr(a, b):
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
 def mon(t):
     n = F.count(F.lit(1))
-    return rec(t).groupBy("site", F.floor(F.col("i") / 30).alias("day")).agg(n.alias("n"), F.when(n >= 12, F.stddev_pop("ex")).alias("std_ex"), F.when(n >= 12, F.stddev_pop("ey")).alias("std_ey"), (0.5 + F.corr("ex", "hx") / 2).alias("coh_ex_hy"),
-                                                                             (0.5 + F.corr("ey", "hy") / 2).alias("coh_ey_hx"), (0.3 + F.corr("ex", "ey")).alias("coh_ex_ey")).where(F.col("n") > 4)
+    return rec(t).groupBy("site", F.floor(F.col("i") / 30).alias("day")).agg(n.alias("n"), F.when(n >= 12, F.stddev_pop("ex")).alias("std_ex"), F.when(n >= 12, F.stddev_pop("ey")).alias("std_ey"), (0.5 + _corr("ex", "hx") / 2).alias("coh_ex_hy"),
+                                                                             (0.5 + _corr("ey", "hy") / 2).alias("coh_ey_hx"), (0.3 + _corr("ex", "ey")).alias("coh_ex_ey")).where(F.col("n") > 4)
 
 
 STT = """th AS (SELECT site, 0.8 * median(std_ex) AS dx, 0.8 * median(std_ey) AS dy FROM mo GROUP BY site),
@@ -201,7 +205,7 @@ def tensor_turn(t):
 
 
 @query("basis_correction", "site:b period:d z01:d z10:d e01:d", "M3 J18", with_(TF, TEN) + """SELECT site, period, CASE WHEN site % 2 = 0 THEN -a * sin(t) + b * cos(t) ELSE a * 0 + b END AS z01, CASE WHEN site % 2 = 0 THEN c * cos(t) + d * sin(t) - 0 ELSE c END AS z10,
-  CASE WHEN site % 2 = 0 THEN sqrt(pow(eb * -sin(t), 2) + pow(ec * cos(t), 2)) ELSE ec END AS e01 FROM (SELECT * REPLACE (-t AS t) FROM te)""")
+  CASE WHEN site % 2 = 0 THEN sqrt(pow(eb * -sin(t), 2) + pow(ec * cos(t), 2)) ELSE ec END AS e01 FROM te""")
 def basis_correction(t):
     # both channels borrowed on even stations: the correction is the rotation back; none on odd ones: the identity
     b = F.col("site") % 2 == 0
