@@ -14,7 +14,8 @@ def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     """Haversine distance in km."""
     p1, p2 = F.radians(lat1), F.radians(lat2)
     h = F.pow(F.sin((p2 - p1) / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin((F.radians(lon2) - F.radians(lon1)) / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.sqrt(h), F.lit(1.0)))
+    # `least` would skip a NULL position and answer half the globe
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.when(h > 1, F.lit(1.0)).otherwise(F.sqrt(h)))
 
 
 def bearing_deg(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

@@ -308,11 +308,13 @@ def band_map(fc: DataFrame, keys: list[str], bins: list[tuple[int, int]]) -> Dat
     """Mean power density per window and log-period bin in dB: `bins` are harmonic ranges."""
     arr = F.array(*[F.struct(F.lit(k).alias("bin"), F.lit(a).alias("a"), F.lit(b).alias("b")) for k, (a, b) in enumerate(bins)])
     d = fc.withColumn("b_", F.explode(arr)).where((F.col("f") >= F.col("b_.a")) & (F.col("f") <= F.col("b_.b")))
-    return d.groupBy(*keys, "seg", "chan", F.col("b_.bin").alias("bin")).agg((10 * F.log10(F.avg(F.col("re") ** 2 + F.col("im") ** 2))).alias("db"))
+    return d.groupBy(*keys, "seg", "chan", F.col("b_.bin").alias("bin")).agg(F.avg(F.col("re") ** 2 + F.col("im") ** 2).alias("_p")).select(
+        *keys, "seg", "chan", "bin", F.when(F.col("_p") > 1e-12, 10 * F.log10("_p")).alias("db"))
 
 
 def away_from_median(maps: DataFrame, keys: list[str], db: float = 10.0) -> DataFrame:
     """Median level of each map line and the share of windows more than `db` below or above it."""
+    maps = maps.where(F.col("db").isNotNull())
     med = maps.groupBy(*keys).agg(F.median("db").alias("median_db"))
     d = maps.join(med, keys)
     return d.groupBy(*keys).agg(F.first("median_db").alias("median_db"), F.avg((F.col("db") < F.col("median_db") - db).cast("double")).alias("below"),

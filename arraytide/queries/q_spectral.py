@@ -85,7 +85,7 @@ def decades_of_fall(t):
     return spectral.fall(fc(t), ["site", "chan"], (1, 1), (2, 3))
 
 
-BM = "bm AS (SELECT site, seg, chan, 0 AS bin, 10 * log10(avg(re * re + im * im)) AS db FROM fc WHERE f <= 2 GROUP BY ALL UNION ALL SELECT site, seg, chan, 1, 10 * log10(re * re + im * im) FROM fc WHERE f = 3)"
+BM = "bm AS (SELECT site, seg, chan, CASE WHEN f <= 2 THEN 0 ELSE 1 END AS bin, CASE WHEN avg(re * re + im * im) > 1e-12 THEN 10 * log10(avg(re * re + im * im)) END AS db FROM fc GROUP BY ALL), bn AS (SELECT * FROM bm WHERE db IS NOT NULL)"
 
 
 @query("power_map", "site:b seg:b chan:s bin:b db:d", "W13", with_(REC, DAX, DZ, FC, BM) + "SELECT * FROM bm")
@@ -93,8 +93,8 @@ def power_map(t):
     return spectral.band_map(fc(t), ["site"], [(1, 2), (3, 3)])
 
 
-@query("spectrogram_table", "site:b chan:s bin:b median_db:d below:d above:d windows:b", "A23 J22", with_(REC, DAX, DZ, FC, BM, "m AS (SELECT site, chan, bin, median(db) AS md FROM bm GROUP BY ALL)") + """SELECT bm.site, bm.chan, bm.bin, max(md) AS median_db, avg(CASE WHEN db < md - 10 THEN 1.0 ELSE 0 END) AS below, avg(CASE WHEN db > md + 10 THEN 1.0 ELSE 0 END) AS above, count(*) AS windows
-  FROM bm JOIN m ON m.site = bm.site AND m.chan = bm.chan AND m.bin = bm.bin GROUP BY ALL""")
+@query("spectrogram_table", "site:b chan:s bin:b median_db:d below:d above:d windows:b", "A23 J22", with_(REC, DAX, DZ, FC, BM, "m AS (SELECT site, chan, bin, median(db) AS md FROM bn GROUP BY ALL)") + """SELECT bm.site, bm.chan, bm.bin, max(md) AS median_db, avg(CASE WHEN db < md - 10 THEN 1.0 ELSE 0 END) AS below, avg(CASE WHEN db > md + 10 THEN 1.0 ELSE 0 END) AS above, count(*) AS windows
+  FROM bn bm JOIN m ON m.site = bm.site AND m.chan = bm.chan AND m.bin = bm.bin GROUP BY ALL""")
 def spectrogram_table(t):
     return spectral.away_from_median(spectral.band_map(fc(t), ["site"], [(1, 2), (3, 3)]), ["site", "chan", "bin"])
 
