@@ -141,11 +141,12 @@ w{n} AS (SELECT target, member, b * 7 + 3.0 AS c, CASE WHEN b >= 4 AND b <= ceil
 n{n} AS (SELECT * FROM w{n} WHERE v IS NOT NULL),
 i{n} AS (SELECT r.*, CASE WHEN p.c IS NULL THEN q.v WHEN q.c IS NULL THEN p.v WHEN q.c = p.c THEN p.v ELSE p.v + (q.v - p.v) * (r.at - p.c) / (q.c - p.c) END AS o
   FROM r{n} r ASOF LEFT JOIN n{n} p ON p.member = r.member AND r.at >= p.c ASOF LEFT JOIN n{n} q ON q.member = r.member AND r.at <= q.c),
-x{n} AS (SELECT target, member, i, x - o AS x, off + o AS off FROM i{n})"""
+a{n} AS (SELECT r.member, coalesce(avg(r.x) - coalesce(any_value(z.base), 0), 0) AS alone FROM r{n} r LEFT JOIN (SELECT target, avg(level) AS base FROM lv1 GROUP BY target) z ON z.target = r.target GROUP BY r.member),
+x{n} AS (SELECT i.target, i.member, i.i, i.x - coalesce(o, alone) AS x, off + coalesce(o, alone) AS off FROM i{n} i JOIN a{n} a ON a.member = i.member)"""
 
 
 LVL = f"""x0 AS (SELECT *, CAST(0 AS DOUBLE) AS off FROM mb), {_pass(1, 'x0', 'avg')}, {_pass(2, 'x1', 'median')},
-bs AS (SELECT target, avg(level) AS base FROM lv1 GROUP BY target), lm AS (SELECT x2.target, member, i, x - base AS x, off FROM x2 JOIN bs ON bs.target = x2.target)"""
+bs AS (SELECT target, coalesce(avg(level), 0) AS base FROM lv1 GROUP BY target), lm AS (SELECT x2.target, member, i, x - base AS x, off FROM x2 JOIN bs ON bs.target = x2.target)"""
 
 
 def levelled(t):
@@ -161,7 +162,7 @@ def level_match(t):
 r1 AS (SELECT o.target, o.i, o.x, o.i - ax.t0 AS at, (o.i - ax.t0) // 7 AS b, ax.n, o.x - level AS r FROM ob o JOIN ax ON ax.target = o.target LEFT JOIN lv1 l ON l.target = o.target AND l.i = o.i),
 b1 AS (SELECT target, b, n, CASE WHEN count(r) >= 2 THEN median(r) END AS m FROM r1 GROUP BY 1, 2, 3),
 w1 AS (SELECT target, b * 7 + 3.0 AS c, CASE WHEN b >= 4 AND b <= ceil(n / 7.0) - 4 THEN median(m) OVER (PARTITION BY target ORDER BY b ROWS BETWEEN 4 PRECEDING AND 3 FOLLOWING) END AS v FROM b1),
-n1 AS (SELECT * FROM w1 WHERE v IS NOT NULL)""") + """SELECT r.target, r.i, x - off AS x, off FROM (SELECT r.*, CASE WHEN p.c IS NULL THEN q.v WHEN q.c IS NULL THEN p.v WHEN q.c = p.c THEN p.v
+n1 AS (SELECT * FROM w1 WHERE v IS NOT NULL)""") + """SELECT r.target, r.i, x - coalesce(off, 0) AS x, coalesce(off, 0) AS off FROM (SELECT r.*, CASE WHEN p.c IS NULL THEN q.v WHEN q.c IS NULL THEN p.v WHEN q.c = p.c THEN p.v
   ELSE p.v + (q.v - p.v) * (r.at - p.c) / (q.c - p.c) END AS off FROM r1 r ASOF LEFT JOIN n1 p ON p.target = r.target AND r.at >= p.c ASOF LEFT JOIN n1 q ON q.target = r.target AND r.at <= q.c) r""")
 def one_sided_offset(t):
     m = mb(t)

@@ -22,8 +22,8 @@ def st(t):
 
 
 def km_sql(a, b):
-    return (f"2 * 6371.0088 * asin(least(sqrt(pow(sin((radians({b}.lat) - radians({a}.lat)) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat))"
-            f" * pow(sin((radians({b}.lon) - radians({a}.lon)) / 2), 2)), 1.0))")
+    return (f"2 * 6371.0088 * asin(sqrt(pow(sin((radians({b}.lat) - radians({a}.lat)) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat))"
+            f" * pow(sin((radians({b}.lon) - radians({a}.lon)) / 2), 2)))")
 
 
 ACT = """act AS (SELECT day, (SELECT count(*) FROM sp WHERE t_start // 86400 <= day AND t_end // 86400 >= day) AS active

@@ -28,7 +28,7 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
 
 def lines(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """(path, line_no, value) with exact line numbers. Files are hourly or daily, so one file is one bounded row."""
-    d = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root)
+    d = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
     d = d.select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "value"))
     return d.where(F.col("value") != "")
 
