@@ -43,7 +43,7 @@ def apply_decisions(samples: DataFrame, values: DataFrame, key: str, pos: str, f
     """
     c = F.col
     v = values.select(key, "xe", "xh", "g", "s", *["s_" + ch for ch in SIGN_OF], "lender", "lender_channels", "ln", "le")
-    d = samples.join(F.broadcast(v), key)
+    d = samples.join(v, key)
     arms = F.coalesce((c("ln") > 0) & (c("le") > 0), F.lit(False))
     fx, fy = F.when(arms, c("le") / c("ln")).otherwise(1.0), F.when(arms, c("ln") / c("le")).otherwise(1.0)
     d = d.withColumns({"ex": F.when(c("xe.value"), c("ey") * fx).otherwise(c("ex")), "ey": F.when(c("xe.value"), c("ex") * fy).otherwise(c("ey")),
@@ -62,7 +62,7 @@ def apply_decisions(samples: DataFrame, values: DataFrame, key: str, pos: str, f
     d = d.withColumns({ch: c(ch) * c(f"s_{ch}.value") for ch in SIGN_OF})
     if lender is not None:
         ang = d.groupBy(key).agg(F.coalesce(rotation.mean_field_angle("hx", "hy"), F.lit(0.0)).alias("_ang"))
-        d = d.join(F.broadcast(ang), key).join(lender, [key, pos], "left")
+        d = d.join(ang, key).join(lender, [key, pos], "left")
         sx, sy = rotation.to_sensor(c("l_hx"), c("l_hy"), c("_ang"))
         took = lambda ch: (c("lender") != "") & F.array_contains("lender_channels", ch)
         d = d.withColumns({"hx": F.when(took("hx"), sx).otherwise(c("hx")), "hy": F.when(took("hy"), sy).otherwise(c("hy")),
@@ -89,18 +89,18 @@ def rotate_to_mean_field(samples: DataFrame, keys: list[str], pos: str, regimes:
     d = samples
     if drop is not None:
         g = drop.groupBy(*keys).agg(F.collect_list(F.struct("p0", "p1")).alias("_dr"))
-        d = d.join(F.broadcast(g), keys, "left")
+        d = d.join(g, keys, "left")
         out = F.coalesce(F.exists("_dr", lambda r: (F.col(pos) >= r["p0"]) & (r["p1"].isNull() | (F.col(pos) < r["p1"]))), F.lit(False))
         d = d.withColumns({"hx": F.when(~out, F.col("hx")), "hy": F.when(~out, F.col("hy"))}).drop("_dr")
     d = d.withColumn("_reg", F.lit(0))
     if regimes is not None:
         g = regimes.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("p0", "p1"))).alias("_rg"))
-        d = d.join(F.broadcast(g), keys, "left")
+        d = d.join(g, keys, "left")
         inside = F.transform("_rg", lambda r: (F.col(pos) >= r["p0"]) & (r["p1"].isNull() | (F.col(pos) < r["p1"])))
         d = d.withColumn("_reg", F.when(F.col("_rg").isNull(), 0).otherwise(F.array_position(inside, True).cast("int"))).withColumn(
             "_reg", F.when(F.col("_rg").isNotNull() & (F.col("_reg") == 0), -1).otherwise(F.col("_reg"))).drop("_rg")
     ang = d.groupBy(*keys, "_reg").agg(rotation.mean_field_angle("hx", "hy").alias("angle"))
-    d = d.join(F.broadcast(ang.where(F.col("_reg") >= 0)), [*keys, "_reg"], "left")
+    d = d.join(ang.where(F.col("_reg") >= 0), [*keys, "_reg"], "left")
     x, y = rotation.rotate_pair(F.col("hx"), F.col("hy"), F.col("angle"))
     return d.withColumns({"hx": x, "hy": y}).drop("_reg")
 

@@ -54,9 +54,8 @@ def event_flags(tails: DataFrame, channels: list[str], own_ratio: float = OWN_RA
     excess = F.col("power") > F.lit(fleet_excess) * F.pow(F.lit(10.0), F.col("_fl"))
     hit = F.coalesce(loud & (lonely | F.coalesce(excess, F.lit(False))), F.lit(False))
     per = t.groupBy("site", "slot").agg(F.max(hit).alias("_bad"))
-    fleet = t.select("site").distinct().agg((F.count(F.lit(1)) - 1).alias("_others"))
-    # one row: the number of other stations
-    return per.join(F.broadcast(fleet)).select("site", "slot", (F.col("_bad") & (F.col("_others") >= min_fleet)).alias("bad"))
+    others = t.select("site").distinct().agg((F.count(F.lit(1)) - 1).alias("n")).scalar()
+    return per.select("site", "slot", (F.col("_bad") & (others >= min_fleet)).alias("bad"))
 
 
 def site_events(flags: DataFrame, chunk_s: int = 600, merge_gap_s: int = 0, block: int = islands.RUN_BLOCK) -> DataFrame:
@@ -81,8 +80,8 @@ def baselines(tails: DataFrame, channels: list[str]) -> DataFrame:
     """
     own = (group_percentiles(tails.where(F.col("chan").isin(*channels)), ["site", "chan"], "power", {"_m": 0.5})
            .where(F.col("_m") > 0).groupBy("site").agg(F.max("_m").alias("level")))
-    ref = group_percentiles(own.withColumn("_all", F.lit(0)), ["_all"], "level", {"_ref": 0.5})
-    return own.join(F.broadcast(ref.select("_ref"))).select("site", "level", F.when(F.col("_ref") > 0, F.col("level") / F.col("_ref")).alias("baseline"))
+    ref = group_percentiles(own.withColumn("_all", F.lit(0)), ["_all"], "level", {"_ref": 0.5}).select("_ref").scalar()
+    return own.withColumn("_ref", ref).select("site", "level", F.when(F.col("_ref") > 0, F.col("level") / F.col("_ref")).alias("baseline"))
 
 
 def clean_pool(tails: DataFrame, flags: DataFrame, channels: list[str], event_frac_max: float = EVENT_FRAC_MAX,
@@ -91,8 +90,8 @@ def clean_pool(tails: DataFrame, flags: DataFrame, channels: list[str], event_fr
     sites = tails.select("site").distinct()
     frac = flags.groupBy("site").agg(F.avg(F.col("bad").cast("double")).alias("event_frac"))
     base = baselines(tails, channels).select("site", "baseline")
-    n = sites.agg((F.count(F.lit(1)) - 1).alias("_others"))
-    d = sites.join(frac, "site", "left").join(base, "site", "left").join(F.broadcast(n))
+    n = sites.agg((F.count(F.lit(1)) - 1).alias("n")).scalar()
+    d = sites.join(frac, "site", "left").join(base, "site", "left").withColumn("_others", n)
     on = F.col("_others") >= min_fleet
     why = F.array_compact(F.array(
         F.when(on & F.col("event_frac").isNull(), "no chunk scored"),

@@ -164,7 +164,7 @@ def stack(members: DataFrame, weights: DataFrame, min_members: int = STACK_MIN,
     `others` (target, i, x, weight) enters the mean and is not counted for the floor: an observatory. Partial
     sums merge before the shuffle.
     """
-    m = members.join(F.broadcast(weights.select(*TM, "weight")), TM).where(F.col("x").isNotNull()).select(
+    m = members.join(weights.select(*TM, "weight"), TM).where(F.col("x").isNotNull()).select(
         "target", "i", (F.col("weight") * F.col("x")).alias("num"), F.col("weight").alias("den"), F.lit(1).alias("one"))
     if others is not None:
         m = m.unionByName(others.where(F.col("x").isNotNull()).select(
@@ -182,7 +182,7 @@ def count_profile(stacked: DataFrame, axis: DataFrame, n_members: DataFrame, flo
     c = F.col("n_members")
     # n_members is at most STACK_MAX, so the profile is a handful of counts per target
     h = stacked.groupBy("target", "n_members").agg(F.count(F.lit(1)).alias("_c"))
-    j = h.join(F.broadcast(n_members.withColumnRenamed("n_members", "_all")), "target").join(F.broadcast(axis.select("target", "n")), "target")
+    j = h.join(n_members.withColumnRenamed("n_members", "_all"), "target").join(axis.select("target", "n"), "target")
     share = lambda cond, z: (F.sum(F.when(cond, F.col("_c")).otherwise(0)) + z) / F.max("n")
     miss = F.max("n") - F.sum("_c")
     half = F.greatest(F.lit(1), F.floor(F.col("_all") / 2))

@@ -45,12 +45,12 @@ def core_members(spans: DataFrame, peak_days: DataFrame, half_days: int = HALF_D
     """(day, site, ...) of the stations that cover the window of half_days either side of each peak.
 
     A station covers a peak exactly when the peak's day lies in a range of days of its span, so the range join is
-    an equi-join on the day. Peaks are at most one per calendar day, which is what bounds the broadcast.
+    an equi-join on the day. Peaks are at most one per calendar day, so Spark may broadcast them once it knows.
     """
     first = F.ceil((F.col(start) + half_days * DAY) / DAY).cast("bigint")
     last = block_of(F.col(end) - half_days * DAY, DAY)
     d = spans.withColumn("day", F.explode(F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))))
-    return d.join(F.broadcast(peak_days.select("day")), "day")
+    return d.join(peak_days.select("day"), "day")
 
 
 def core_groups(spans: DataFrame, peak_days: DataFrame, half_days: int = HALF_DAYS, by: str = "instrument",

@@ -188,3 +188,15 @@ def windows_cell(windows: DataFrame, key: str) -> DataFrame:
 def numbered(df: DataFrame, keys: list[str], order: list, name: str = "n") -> DataFrame:
     """Row number inside a small ordered group such as a curve or a station's table."""
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+
+def thresholds(configs: DataFrame, key: str, cell: str, defaults: dict[str, float]) -> DataFrame:
+    """The thresholds of each survey block from its JSON cell, every missing one at its stated default."""
+    m = F.from_json(F.col(cell), "map<string,double>")
+    return configs.select(key, *[F.coalesce(F.try_element_at(m, F.lit(n)), F.lit(float(v))).alias(n) for n, v in defaults.items()])
+
+
+def read_choices(table: DataFrame, columns: list[str], by: str = "chosen_by", known: tuple[str, ...] = ("rule", "analyst")) -> DataFrame:
+    """A choice table with its fixed columns; whoever chose is read as the rule unless the cell says otherwise."""
+    d = table.select(*[F.col(c) if c in table.columns else F.lit("").alias(c) for c in columns])
+    return d.withColumn(by, F.when(cells.low(F.col(by)).isin(*known), cells.low(F.col(by))).otherwise(known[0]))

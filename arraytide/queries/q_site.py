@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import rotation
 from ..operators import decisions, intervals, site, tables
 from .bind import CH, DAX, DAY_BLOCK, REC, TF, dax, rec, tf, with_
-from .q_register import ST, st
+from .q_register import ST, km_sql, st
 from .q_tables import OLD, old
 from .registry import query
 
@@ -74,7 +74,13 @@ def _dc(t):
         {"igrf_x": 20.0 + s / 2.0, "igrf_y": F.lit(3.0), "igrf_z": -60.0 - s})
 
 
-@query("signs_from_dc", "site:b column:s value:b reason:s", "M5 P20")
+DCT = """m AS (SELECT site, median(hx) - 20 AS bx, median(ey * 10) - 2 AS b2, -median(hy) AS bz, 20.0 + site / 2.0 AS x, 3.0 AS y, -60.0 - site AS z FROM rec GROUP BY site),
+q AS (SELECT *, sqrt(bx * bx + b2 * b2 + bz * bz) / sqrt(x * x + y * y + z * z) AS fr, sqrt(bx * bx + b2 * b2) / sqrt(x * x + y * y) AS hr FROM m),
+g AS (SELECT site, bx / x AS rx, bz / z AS rz, abs(fr - 1) > 0.05 OR abs(bz / z - 1) > 0.1 OR abs(hr - 1) > 0.1 OR abs(degrees(atan2(b2, bx))) > 30 AS bad FROM q),
+l AS (SELECT site, 'sign_hx' AS c, rx AS r, bad FROM g UNION ALL SELECT site, 'sign_hz', rz, bad FROM g)"""
+
+
+@query("signs_from_dc", "site:b column:s value:b reason:s", "M5 P20", with_(REC, DCT) + """SELECT site, c AS "column", CASE WHEN NOT bad AND abs(r) >= 0.3 THEN CASE WHEN r > 0 THEN 1 ELSE -1 END END AS value, CASE WHEN bad THEN 'flagged' WHEN abs(r) < 0.3 THEN 'inside the floor' ELSE 'outside the floor' END AS reason FROM l""")
 def signs_from_dc(t):
     return decisions.signs_from_dc(decisions.dc_test(_dc(t)), "site")
 
@@ -133,7 +139,14 @@ def top_days(t):
     return site.top_days(mon(t), ["site"], "coh_ex_ey", "day", F.col("std_ex").isNotNull())
 
 
-@query("daily_magnetics", "site:b day:b f_ratio:d n_neighbours:b sound:z judged:z reason:s", "J8 A22")
+MAG = f"""dm AS (SELECT site, i // 30 AS day, CASE WHEN count(*) >= 12 THEN median(hx) / 60.0 END AS f, stddev_pop(hx) AS x, stddev_pop(hz) AS z FROM rec GROUP BY 1, 2),
+nb AS (SELECT a.site, b.site AS name FROM st a JOIN st b ON a.site <> b.site QUALIFY row_number() OVER (PARTITION BY a.site ORDER BY round({km_sql('a', 'b')}, 9), b.site) <= 2),
+rf AS (SELECT nb.site, dm.day, count(*) AS n, median(x) AS rx, median(z) AS rz FROM nb JOIN dm ON dm.site = nb.name WHERE f IS NOT NULL GROUP BY 1, 2),
+dj AS (SELECT dm.*, n, rx, rz, coalesce(abs(f - 1) < 0.05, false) AS fo FROM dm LEFT JOIN rf ON rf.site = dm.site AND rf.day = dm.day),
+dk AS (SELECT *, f IS NOT NULL AND n IS NOT NULL AS judged, CASE WHEN f IS NULL THEN false WHEN n IS NULL THEN fo ELSE fo AND x BETWEEN rx / 3 AND rx * 3 AND z BETWEEN rz / 3 AND rz * 3 END AS sound FROM dj)"""
+
+
+@query("daily_magnetics", "site:b day:b f_ratio:d n_neighbours:b sound:z judged:z reason:s", "J8 A22", with_(REC, ST, MAG) + """SELECT site, day, f AS f_ratio, coalesce(n, 0) AS n_neighbours, sound, judged, CASE WHEN f IS NULL THEN 'no data' WHEN NOT judged THEN 'F only: no neighbour recorded that day' WHEN sound THEN '' WHEN NOT fo THEN 'F off the model' ELSE 'fluctuation off the neighbours' END AS reason FROM dk""")
 def daily_magnetics(t):
     n = F.count(F.lit(1))
     d = rec(t).groupBy("site", F.floor(F.col("i") / 30).alias("day")).agg(F.when(n >= 12, F.median("hx") / 60.0).alias("f_ratio"), F.stddev_pop("hx").alias("hx_std"), F.stddev_pop("hz").alias("hz_std"))

@@ -163,7 +163,7 @@ def tf_estimate(t):
 def split_half(t):
     z = fc(t)
     mid = z.groupBy("site").agg(F.min("seg").alias("a"), (F.max("seg") - F.min("seg") + 1).alias("n"))
-    z = z.join(F.broadcast(mid), "site").withColumn("half", F.when(F.col("seg") - F.col("a") < F.floor(F.col("n") / 2), "half1").otherwise("half2")).drop("a", "n")
+    z = z.join(mid, "site").withColumn("half", F.when(F.col("seg") - F.col("a") < F.floor(F.col("n") / 2), "half1").otherwise("half2")).drop("a", "n")
     return estimate.remote_reference(z, ["site", "half"], r=("hx", "hy"), iterations=1)
 
 

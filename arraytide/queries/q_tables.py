@@ -245,3 +245,15 @@ def header_map(t):
        r"""SELECT doc_id, trim(replace(replace(replace(text, '|', ' '), chr(10), ' '), chr(13), ' '), ' ') AS line FROM documents""")
 def clean_lines(t):
     return t.documents.select("doc_id", names.clean_line(F.col("text")).alias("line"))
+
+
+@query("pool_thresholds", "key:b own_ratio:d fleet_excess:d min_fleet:d", "P14 D7", """SELECT event_id AS key, 100.0 AS own_ratio, CASE WHEN event_id % 3 = 0 THEN CAST(json_extract(props, '$.k') AS DOUBLE) ELSE 10.0 END AS fleet_excess, 3.0 AS min_fleet FROM events""")
+def pool_thresholds(t):
+    cell = F.when(F.col("event_id") % 3 == 0, F.regexp_replace("props", '"k"', '"fleet_excess"')).otherwise("{}")
+    return tables.thresholds(t.events.select(F.col("event_id").alias("key"), cell.alias("cell")), "key", "cell", {"own_ratio": 100, "fleet_excess": 10, "min_fleet": 3})
+
+
+@query("read_choices", "site:b chosen_by:s note:s", "S21 S13", """SELECT c_custkey AS site, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'analyst' ELSE 'rule' END AS chosen_by, '' AS note FROM customer""")
+def read_choices(t):
+    d = t.customer.select(F.col("c_custkey").alias("site"), F.when(F.col("c_mktsegment") == "MACHINERY", " Analyst").otherwise(F.col("c_mktsegment")).alias("chosen_by"))
+    return tables.read_choices(d, ["site", "chosen_by", "note"])

@@ -62,7 +62,7 @@ def drop_foreign(classified: DataFrame, days: int = FOREIGN_DAYS) -> DataFrame:
     t = names.stamp_time(F.col("stamp"))
     d = classified.withColumns({"_own": own, "_t": t})
     span = d.where(F.col("_own") & (F.col("kind") == "data")).groupBy("site").agg(F.min("_t").alias("_a"), F.max("_t").alias("_z"))
-    d = d.join(F.broadcast(span), "site", "left")
+    d = d.join(span, "site", "left")
     sec = F.unix_seconds("_t")
     outside = ~F.col("_own") & F.col("_a").isNotNull() & ((sec < F.unix_seconds("_a") - days * 86400) | (sec > F.unix_seconds("_z") + days * 86400))
     bad = (F.col("kind") == "data") & F.coalesce(outside, F.lit(False))

@@ -53,7 +53,7 @@ def parse_day_lines(raw: DataFrame, key: str = "path") -> DataFrame:
     num = lambda k: (lambda x: F.when(F.abs(x) < FILL, x))(F.get("_f", k).try_cast("double"))
     ts = F.concat_ws(" ", F.get("_f", 0), F.get("_f", 1)).try_cast("timestamp")
     d = d.select(key, F.unix_micros(ts).alias("us"), num(3).alias("bx"), num(4).alias("by"), num(5).alias("bz"), num(6).alias("f")).where(F.col("us").isNotNull())
-    return d.join(F.broadcast(pub), key, "left").withColumn("pub", F.coalesce("pub", F.lit("unknown")))
+    return d.join(pub, key, "left").withColumn("pub", F.coalesce("pub", F.lit("unknown")))
 
 
 def consolidate(year_rows: DataFrame, parts: DataFrame, keys: list[str], sec: str) -> DataFrame:
