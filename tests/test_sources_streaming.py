@@ -119,3 +119,16 @@ def test_stateful_clusters_match_the_batch_rule(spark, tmp_path):
     st = source(spark, str(tmp_path / "in"), pdf, schema, 100)
     live = {r.k: r.cluster for r in run(regimes.clusters(st, "folder", "k"), "clusters").collect()}
     assert batch == live == {0: 0, 1: 0, 2: 1, 3: 1, 4: 2}
+
+
+def test_archive_read_prunes_rows_and_columns(spark, tmp_path):
+    p = str(tmp_path / "y")
+    t = pd.to_datetime("2024-01-01") + pd.to_timedelta(range(100), unit="s")
+    pdf = pd.DataFrame({"DateTime": t, "BX": 1.0, "BY": 2.0, "BZ": np.where(np.arange(100) == 50, np.nan, 3.0), "F": 9.0, "pub": "d"})
+    spark.createDataFrame(pdf, "DateTime timestamp, BX double, BY double, BZ double, F double, pub string").write.parquet(p)
+    t0 = 1704067200
+    d = observatory.load(spark, [p], t0 + 40, 20)
+    rows = {r.i: r.mask for r in d.collect()}
+    assert len(rows) == 20 and not rows[t0 + 50] and rows[t0 + 51]
+    plan = d._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PushedFilters: [IsNotNull(DateTime)" in plan and "F:double" not in plan.replace("BF:double", "")
