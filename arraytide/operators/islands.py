@@ -32,16 +32,17 @@ def runs(df: DataFrame, keys: list[str], pos: str, flag: Column | None = None, m
     return out.where(F.col("run_len") >= min_len) if min_len > 1 else out
 
 
-def gaps(df: DataFrame, keys: list[str], pos: str, present: Column | None = None, lo: str | None = None,
-         hi: str | None = None, block: int = RUN_BLOCK) -> DataFrame:
+def gaps(df: DataFrame, keys: list[str], pos: str, present: Column | None = None, block: int = RUN_BLOCK) -> DataFrame:
     """The runs of missing positions between a record's own first and last recorded position.
 
     Made from the runs of what is there, so the dense axis is never built.
     """
-    r = runs(df, keys, pos, present, block=block)
-    # consecutive runs of one key, ordered: run counts and not sample counts go through this window
-    over = Window.partitionBy(*keys).orderBy("run_start")
-    return (r.withColumn("_next", F.lead("run_start").over(over)).where(F.col("_next").isNotNull())
+    r = runs(df, keys, pos, present, block=block).withColumn(BLK, block_of("run_start", block))
+    # the run after the last one of a block is the first one of the next block that has any
+    first = r.groupBy(*keys, BLK).agg(F.min("run_start").alias("_f"))
+    first = first.select(*keys, BLK, F.lead("_f").over(Window.partitionBy(*keys).orderBy(BLK)).alias("_later"))
+    nxt = F.coalesce(F.lead("run_start").over(Window.partitionBy(*keys, BLK).orderBy("run_start")), F.col("_later"))
+    return (r.join(first, [*keys, BLK]).withColumn("_next", nxt).where(F.col("_next").isNotNull())
             .select(*keys, (F.col("run_end") + 1).alias("gap_start"), (F.col("_next") - 1).alias("gap_end"),
                     (F.col("_next") - F.col("run_end") - 1).alias("gap_len")))
 

@@ -26,6 +26,14 @@ def test_runs_match_brute_force(spark, block):
     assert all(r.run_len == r.run_end - r.run_start + 1 for r in got)
 
 
+@pytest.mark.parametrize("block", [3, 20, 1000])
+def test_gaps_are_what_the_runs_leave(spark, block):
+    pos = [int(p) for p in np.flatnonzero(np.random.default_rng(15).random(200) < 0.4)]
+    df = spark.createDataFrame([("a", p) for p in pos], "k string, p long")
+    got = {p for r in islands.gaps(df, ["k"], "p", block=block).collect() for p in range(r.gap_start, r.gap_end + 1)}
+    assert got == set(range(pos[0], pos[-1] + 1)) - set(pos)
+
+
 @pytest.mark.parametrize("block", [4, 50])
 def test_merged_intervals_cover_the_same_positions(spark, block):
     rng = np.random.default_rng(2)
