@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arraytide.llm import common, warc
+from arraytide.llm import common, decontaminate, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +37,15 @@ def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     roles = warc.with_roles(table(spark, sf_dir, "pages"))
     manifest = warc.write(roles, common.shared_path(spark, "warc"))
     return warc.resolve(warc.assemble(warc.read(manifest, with_payload=False)))
+
+
+@query()
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark passage, with its item."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document; the source owns its documents and keeps one repository per language."""
+    return secrets.report(table(spark, sf_dir, "documents"))
