@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arraytide.llm import common, decontaminate, secrets, warc
+from arraytide.llm import common, decontaminate, orc_tokens, packing, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,25 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query()
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@query()
+def op9_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the token ids of all documents as ORC, read them back, report where each document's ids are."""
+    path = common.shared_path(spark, "token-ids")
+    orc_tokens.write(table(spark, sf_dir, "documents"), path, tokenizer("word_bpe_49k.json"))
+    return orc_tokens.index(orc_tokens.read(spark, path))
+
+
 @query()
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document; the source owns its documents and keeps one repository per language."""
