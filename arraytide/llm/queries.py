@@ -4,8 +4,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from arraytide.llm import common, decontaminate, orc_tokens, packing, secrets, warc
+from arraytide.llm import common, decontaminate, lattice, orc_tokens, packing, quality, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,6 +57,33 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select("doc_id", quality.grade_of().alias("grade"))
+
+
+@query()
+def op6_quality_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the ordinal classifier selects, with their expected grade and tail probabilities."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    picked = quality.selected(docs, graded(spark, sf_dir))
+    return picked.select("doc_id", "expected_grade", F.get("tails", F.lit(0)).alias("p_not_toxic"), F.element_at("tails", -1).alias("p_good"))
+
+
+@query("""
+    WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e, row_number() OVER () AS r FROM embeddings
+                         WHERE label IS NOT NULL AND embedding IS NOT NULL),
+    l AS (SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+    reach(u, v) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.u, l.v FROM reach JOIN l ON reach.v = l.u),
+    n AS (SELECT u, count(*) AS n_links FROM l GROUP BY u),
+    c AS (SELECT u, min(v) AS component_id FROM reach GROUP BY u)
+    SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN c ON vec_id = c.u LEFT JOIN n ON vec_id = n.u""")
+def op8_lattice_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op9_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the token ids of all documents as ORC, read them back, report where each document's ids are."""
