@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arraytide.llm import common, decontaminate, lattice, orc_tokens, packing, quality, secrets, warc
+from arraytide.llm import common, decontaminate, lattice, orc_tokens, packing, quality, radix, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,12 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op3_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes of every document that repeat 50-byte strings of documents with smaller ids."""
+    return radix.remove_repeats(table(spark, sf_dir, "documents")).drop("span_start", "span_end")
+
+
 def tokenizer(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
