@@ -77,3 +77,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, max_subs: i
 def contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """doc_id, item_id, n_windows: the contaminated documents with each item that they hold."""
     return matches(docs, benchmark, **how).groupBy("doc_id", "item_id").agg(F.sum("n_windows").alias("n_windows"))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """`docs` without the contaminated ones; rows are judged by their own text, whatever their ids."""
+    t = docs.withColumn("_mark", F.xxhash64(common.text_of(text)))
+    bad = matches(t, benchmark, doc_id="_mark", text=text, **how).select(F.col("doc_id").alias("_mark")).distinct()
+    return t.join(bad, "_mark", "left_anti").select(*docs.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arraytide.llm import common, decontaminate, lattice, orc_tokens, packing, quality, radix, secrets, warc
+from arraytide.llm import common, decontaminate, jaccard, lattice, lm, orc_tokens, packing, quality, radix, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +52,12 @@ def op3_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix.remove_repeats(table(spark, sf_dir, "documents")).drop("span_start", "span_end")
 
 
+@query()
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 4-word shingles, Jaccard 0.85."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def tokenizer(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -75,6 +81,12 @@ def op6_quality_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return picked.select("doc_id", "expected_grade", F.get("tails", F.lit(0)).alias("p_not_toxic"), F.element_at("tails", -1).alias("p_good"))
 
 
+@query()
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of all documents under the automaton learned from four fifths of them."""
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 @query("""
     WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e, row_number() OVER () AS r FROM embeddings
                          WHERE label IS NOT NULL AND embedding IS NOT NULL),

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,7 +146,7 @@ def _reply_digits(t: pa.Table) -> pa.Table:
     least = np.minimum.reduceat(doc, starts)
     value = np.repeat(np.where((lo == hi) & (lo > 0), least, MIXED), size)
     tell = np.repeat(size > 1, size) & ((value == MIXED) | (value < doc))
-    return _split(t, row[tell], -1, [(h[tell], 8), (value[tell], 8)])
+    return rounds.split(t, row[tell], -1, [(h[tell], 8), (value[tell], 8)])
 
 
 def _reply_windows(t: pa.Table) -> pa.Table:
@@ -154,16 +155,7 @@ def _reply_windows(t: pa.Table) -> pa.Table:
     least = np.repeat(least, np.diff(np.append(starts, len(order))))
     row, one, two, doc = row[order], one[order], two[order], doc[order]
     tell = least < doc
-    return _split(t, row[tell], -2, [(one[tell], 8), (two[tell], 4), (least[tell], 8)])
-
-
-def _split(t: pa.Table, row: np.ndarray, mark: int, fields: list[tuple[np.ndarray, int]]) -> pa.Table:
-    """Answers by the part of the packet row that asked."""
-    part = t.column("part").to_numpy()
-    by = np.argsort(row, kind="stable")
-    edges = np.searchsorted(row[by], np.arange(len(part) + 1))
-    return rounds.answer([(mark, int(p), int(b - a), [common.planes(v[by[a:b]], w) for v, w in fields])
-                          for p, a, b in zip(part, edges[:-1], edges[1:], strict=True) if b > a])
+    return rounds.split(t, row[tell], -2, [(one[tell], 8), (two[tell], 4), (least[tell], 8)])
 
 
 def remove_repeats(docs: DataFrame, depth: int = 50, digit: int = 20, doc_id: str = "doc_id", text: str = "text", part_bytes: int = 8 << 20) -> DataFrame:

@@ -66,3 +66,12 @@ def ask_again(docs: DataFrame, answers: DataFrame, question: Callable[[int, pa.T
 def answers(sent: DataFrame, reply: Callable[[pa.Table], pa.Table], parts: int) -> DataFrame:
     """Packets by part: `reply` gets all packets of a bucket. The exchange by bucket has as many partitions as there are parts."""
     return sent.repartition(parts, "bucket").groupBy("bucket").applyInArrow(lambda key, t: reply(t), PACKET)
+
+
+def split(t: pa.Table, row: np.ndarray, mark: int, fields: list[tuple[np.ndarray, int]]) -> pa.Table:
+    """Answers by the part of the packet row that asked."""
+    part = t.column("part").to_numpy()
+    by = np.argsort(row, kind="stable")
+    edges = np.searchsorted(row[by], np.arange(len(part) + 1))
+    return answer([(mark, int(p), int(b - a), [common.planes(v[by[a:b]], w) for v, w in fields])
+                          for p, a, b in zip(part, edges[:-1], edges[1:], strict=True) if b > a])
