@@ -23,20 +23,23 @@ def band_edges(levels: DataFrame, window: int, fs: float, factor: int = 4) -> Da
     return levels.withColumns({"fs_hz": rate, "lower_s": 1 / hi, "centre_s": 2 / (lo + hi), "upper_s": 1 / lo})
 
 
-def ladder(fs: float = 1.0, win_s: int = 3600, step_s: int = 1800, pmin: float = 2.0, pmax: float = 20000.0, min_segments: int = 4,
-           long_segments: int = 6, factor: int = 4) -> list[tuple]:
-    """(level, segment samples, window s, step s, floor s, ceiling s) of the map levels."""
-    n = 1
-    while n * 2 <= win_s * fs / min_segments:
-        n *= 2
-    rows, size, lo = [], n, pmin
-    while True:
-        hi = min(size / fs, pmax)
-        first = size == n
-        rows.append((len(rows), size, win_s if first else int(long_segments * size / fs), step_s if first else max(step_s, int(size / fs / 2)), lo, hi))
-        if hi >= pmax:
-            return rows
-        lo, size = hi, size * factor
+def map_levels(rates: DataFrame, rate: str = "fs_hz", win_s: int = 3600, step_s: int = 1800, shortest_s: float = 2.0, longest_s: float = 20000.0,
+               first_segments: int = 4, later_segments: int = 6, factor: int = 4) -> DataFrame:
+    """`rates` once per level of a map, with level, segment, window_s, level_step_s, from_s and to_s.
+
+    The first segment is the largest power of two that fits the window `first_segments` times; level k holds factor ** k of it, up to the
+    first level whose segment is as long as the longest period.
+    """
+    fs = F.col(rate)
+    base = F.pow(F.lit(2.0), F.floor(F.log2(F.lit(float(win_s)) * fs / first_segments) + 1e-9))
+    last = F.greatest(F.ceil(F.log(F.lit(longest_s) * fs / base) / F.log(F.lit(float(factor))) - 1e-9), F.lit(0))
+    d = rates.withColumn("level", F.explode(F.sequence(F.lit(0), last.cast("int"))))
+    size = base * F.pow(F.lit(float(factor)), F.col("level").cast("double"))
+    top, seconds = F.col("level") == 0, size / fs
+    return d.withColumns({
+        "segment": size.cast("bigint"), "window_s": F.when(top, win_s).otherwise(F.floor(later_segments * seconds)),
+        "level_step_s": F.when(top, step_s).otherwise(F.greatest(F.lit(step_s), F.floor(seconds / 2))),
+        "from_s": F.when(top, shortest_s).otherwise(seconds / factor), "to_s": F.least(seconds, F.lit(longest_s))})
 
 
 def _wide(fc: DataFrame, keys: list[str], chans: list[str]) -> DataFrame:

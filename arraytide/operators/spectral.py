@@ -7,10 +7,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import kernels, scalars
-from .blocks import block_of
+from .blocks import block_of, neighbours
 
 # fixed values
 PAIR_NPERSEG, PAIR_MIN_SEGMENTS = 1024, 24
@@ -46,19 +46,22 @@ def _np(a) -> np.ndarray:
     return np.array([np.nan if v is None else v for v in a], float)
 
 
-def segment_fft(arrays: DataFrame, keys: list[str], values: list[str], f_lo: int, f_hi: int, window: str = "symmetric") -> DataFrame:
-    """(keys, seg, chan, f, re, im): one windowed, demeaned transform per segment and channel, bins f_lo..f_hi."""
-    def transform(col: pd.Series) -> pd.Series:
+def segment_fft(arrays: DataFrame, keys: list[str], values: list[str], f_lo: int, f_hi: int, window: str = "symmetric", linear: bool = False) -> DataFrame:
+    """(keys, seg, chan, f, re, im): one windowed transform per segment and channel, less its mean or its line, bins f_lo..f_hi."""
+    def transform(col: pd.Series) -> pd.DataFrame:
         if not len(col):
-            return pd.Series([], dtype=object)
+            return pd.DataFrame({"re": [], "im": []}, dtype=object)
         x = np.stack([np.asarray(v, float) for v in col])
         n = x.shape[1]
         w = np.hanning(n) if window == "symmetric" else np.kaiser(n, 20.0) if window == "kaiser" else kernels.hann(n)
-        z = np.fft.rfft((x - x.mean(axis=1, keepdims=True)) * w, axis=1)[:, f_lo:f_hi + 1]
-        return pd.Series([[{"f": f_lo + k, "re": float(v.real), "im": float(v.imag)} for k, v in enumerate(row)] for row in z])
-    fft = F.pandas_udf(transform, "array<struct<f:int,re:double,im:double>>")
+        x = x - x.mean(axis=1, keepdims=True)
+        z = np.fft.rfft((kernels.without_line(x) if linear else x) * w, axis=1)[:, f_lo:f_hi + 1]
+        return pd.DataFrame({"re": list(z.real), "im": list(z.imag)})
+    fft = F.pandas_udf(transform, "re array<double>, im array<double>")
     d = arrays.select(*keys, "seg", F.explode(F.array(*[F.struct(F.lit(v).alias("chan"), F.col(v).alias("x")) for v in values])).alias("c"))
-    return d.select(*keys, "seg", "c.chan", F.explode(fft("c.x")).alias("z")).select(*keys, "seg", "chan", "z.*")
+    z = d.select(*keys, "seg", "c.chan", fft("c.x").alias("z"))
+    return z.select(*keys, "seg", "chan", F.posexplode(F.arrays_zip("z.re", "z.im")).alias("k", "v")).select(
+        *keys, "seg", "chan", (F.col("k") + f_lo).alias("f"), F.col("v.re").alias("re"), F.col("v.im").alias("im"))
 
 
 def pair_coherence(fc: DataFrame, pairs: DataFrame, chunk_of: Column, min_segments: int, min_chunks: int, site: str = "site") -> DataFrame:
@@ -91,23 +94,42 @@ def chunk_power(samples: DataFrame, keys: list[str], pos: str, value: str, chunk
     """Median Welch power over a band of every whole chunk, the last one included."""
     @F.pandas_udf("double")
     def power(col: pd.Series) -> pd.Series:
-        out = []
-        for v in col:
-            x = np.asarray(v, float)
-            f, p = kernels.psd(x - x.mean(), fs, nperseg)
-            m = (f >= band[0]) & (f <= band[1])
-            out.append(float(np.median(p[m])) if m.any() else np.nan)
-        return pd.Series(out, dtype=float)
+        if not len(col):
+            return pd.Series([], dtype=float)
+        x = np.stack([np.asarray(v, float) for v in col])
+        f, p = kernels.psd(x - x.mean(axis=1, keepdims=True), fs, nperseg)
+        m = (f >= band[0]) & (f <= band[1])
+        return pd.Series(np.median(p[:, m], axis=1) if m.any() else np.full(len(x), np.nan))
     a = as_arrays(samples, keys, pos, [value], chunk)
     return a.select(*keys, F.col("seg").alias("slot"), F.nanvl(power(value), F.lit(None).cast("double")).alias("power"))
 
 
+def _stacks(pdf: pd.DataFrame, chans: list[str]):
+    """(row numbers, {channel: stack}) of the rows whose arrays are of one length."""
+    sizes = pdf[chans].map(len)
+    for n in pd.unique(sizes[chans[0]]):
+        rows = np.flatnonzero((sizes == n).all(axis=1))
+        if len(rows):
+            yield rows, {c: np.stack([_np(v) for v in pdf[c].iloc[rows]]) for c in chans}
+
+
+def _with_columns(pdf: pd.DataFrame, keep: list[str], made: dict[str, np.ndarray]) -> pd.DataFrame:
+    out = pdf[keep].copy()
+    for k, v in made.items():
+        out[k] = v
+    return out
+
+
+def _schema(df: DataFrame, keep: list[str], made: list[str]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema) + "".join(f", `{n}` double" for n in made)
+
+
 def welch_coherence(arrays: DataFrame, keep: list[str], pairs: dict[str, tuple[str, str]], lo_s: float, hi_s: float, nperseg: int,
-                    fs: float = 1.0, prep: tuple | None = None, stds: list[str] = (), difference: bool = False) -> DataFrame:
-    """Band coherence of channel pairs in every array row, NULL where a channel is refused.
+                    fs: float = 1.0, prep: tuple | None = None, stds: list[str] = ()) -> DataFrame:
+    """Band coherence of channel pairs in every array row, NULL where a channel is refused. All rows of a batch go through together.
 
-    `prep` = (order, edge Hz, kind) filters each channel first, after a despike and a bridge over its gaps;
-    `stds` adds the deviation of filtered channels. `difference` is the whitened, bias-corrected octave form.
+    `prep` = (order, edge Hz, kind) filters each channel first, after a despike and a bridge over its gaps; `stds` adds the deviation of
+    filtered channels.
     """
     chans = sorted({c for p in pairs.values() for c in p} | set(stds))
     names = list(pairs) + [f"std_{c}" for c in stds]
@@ -115,101 +137,105 @@ def welch_coherence(arrays: DataFrame, keep: list[str], pairs: dict[str, tuple[s
     def run(batches):
         coef = kernels.butter(prep[0], prep[1], fs, prep[2]) if prep else None
         for pdf in batches:
-            rows = []
-            for r in pdf[chans].itertuples(index=False):
-                x = {c: _np(v) for c, v in zip(chans, r)}
+            made = {k: np.full(len(pdf), np.nan) for k in names}
+            for rows, x in _stacks(pdf, chans):
                 if coef is not None:
-                    x = {c: kernels.prepare(v, *coef) for c, v in x.items()}
-                if any(v is None or not np.isfinite(v).all() for v in x.values()):
-                    rows.append([None] * len(names))
-                    continue
-                vals = []
-                for a, b in pairs.values():
-                    vals.append(octaves(x[a], x[b], lo_s, hi_s, nperseg, fs) if difference else
-                                kernels.band_median(*kernels.coherence(x[a], x[b], fs, nperseg), lo_s, hi_s))
-                rows.append(vals + [float(np.std(x[c])) for c in stds])
-            out = pdf[keep].copy()
-            for k, nme in enumerate(names):
-                out[nme] = pd.Series([r[k] for r in rows], index=out.index, dtype=float)
-            yield out
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in arrays.select(*keep).schema) + "".join(f", `{n}` double" for n in names)
-    got = arrays.select(*keep, *chans).mapInPandas(run, schema)
+                    x = {c: kernels.filtered(v, *coef) for c, v in x.items()}
+                fine = np.all([np.isfinite(v).all(axis=1) for v in x.values()], axis=0)
+                x = {c: v[fine] for c, v in x.items()}
+                for k, (a, b) in pairs.items():
+                    made[k][rows[fine]] = kernels.band_median(*kernels.coherence(x[a], x[b], fs, nperseg), lo_s, hi_s)
+                for c in stds:
+                    made[f"std_{c}"][rows[fine]] = x[c].std(axis=1)
+            yield _with_columns(pdf, keep, made)
+    got = arrays.select(*keep, *chans).mapInPandas(run, _schema(arrays, keep, names))
     return got.withColumns({n: F.when(~F.isnan(n), F.col(n)) for n in names})
 
 
-def octaves(x: np.ndarray, y: np.ndarray, lo_s: float, hi_s: float, nperseg: int, fs: float) -> float:
-    """Coherence of the first differences, median of four octave sub-bands, bias removed."""
-    n = min(len(x), len(y))
-    if n < 4 * nperseg:
-        return float("nan")
-    f, c = kernels.coherence(np.diff(x[:n]), np.diff(y[:n]), fs, nperseg, linear=True)
-    nu = NU * max(1, (n - nperseg) // (nperseg // 2) + 1)
-    if nu <= 2:
-        return float("nan")
-    e = np.geomspace(lo_s, hi_s, 5)
-    v = [kernels.band_median(f, c, a, b) for a, b in zip(e[:-1], e[1:])]
-    v = [q for q in v if np.isfinite(q)]
-    g = float(np.median(v)) if v else float("nan")
-    return float(np.clip((g - 1 / nu) / (1 - 1 / nu), 0, 1))
+def octave_coherence(fc: DataFrame, keys: list[str], a: str, b: str, lo_s: float, hi_s: float, nperseg: int, samples: int, fs: float = 1.0,
+                     octaves: int = 4) -> DataFrame:
+    """(keys, coh): the median over octave sub-bands of the median coherence in each, less the bias of so few segments.
+
+    `fc` holds half-overlapping segments of first differences of stretches of `samples` samples (`keys` name a stretch). Coherence is one
+    sum over the segments of a harmonic; sub-bands are a join with their edges.
+    """
+    nu = NU * max(1, (samples - nperseg) // (nperseg // 2) + 1)
+    c, edge = F.col, lambda k: lo_s * (hi_s / lo_s) ** (k / octaves)
+    s = cross_sums(fc, [*keys, "f"], [a, b], [a, b], keys)
+    s = s.select(*keys, (F.col("f") * F.lit(fs / nperseg)).alias("hz"),
+                 F.try_divide(c(f"{a}_{b}_re") ** 2 + c(f"{a}_{b}_im") ** 2, c(f"{a}_{a}_re") * c(f"{b}_{b}_re")).alias("g"))
+    bands = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(1 / edge(k + 1)).alias("lo"), F.lit(1 / edge(k)).alias("hi")) for k in range(octaves)])
+    s = s.withColumn("band", F.explode(bands)).where((c("hz") > c("band.lo")) & (c("hz") < c("band.hi")))
+    g = s.groupBy(*keys, c("band.k").alias("k")).agg(F.median("g").alias("g")).groupBy(*keys).agg(F.median("g").alias("g"))
+    enough = samples >= 4 * nperseg and nu > 2
+    return g.select(*keys, F.least(F.greatest((c("g") - 1 / nu) / (1 - 1 / nu), F.lit(0.0)), F.lit(1.0)).alias("coh") if enough
+                    else F.lit(None).cast("double").alias("coh"))
+
+
+def difference_segments(samples: DataFrame, keys: list[str], pos: str, values: list[str], stretch: int, nperseg: int) -> DataFrame:
+    """Half-overlapping segments of first differences of every whole stretch of `stretch` samples, for `segment_fft`; keys gain `stretch`."""
+    d = samples.withColumn("stretch", block_of(pos, stretch))
+    w = Window.partitionBy(*keys, "stretch").orderBy(pos)
+    step = {v: F.when(F.col(pos) - F.lag(pos).over(w) == 1, F.col(v) - F.lag(v).over(w)).alias(v) for v in values}
+    d = d.select(*keys, "stretch", (F.pmod(F.col(pos), F.lit(stretch)) - 1).alias("_p"), *step.values()).where("_p >= 0")
+    return as_arrays(d, [*keys, "stretch"], "_p", values, nperseg, nperseg // 2)
 
 
 def decimate(samples: DataFrame, keys: list[str], pos: str, value: str, q: int, block: int = 8640) -> DataFrame:
-    """Zero-phase decimation by q, an output blank where any of its q inputs is missing.
+    """(keys, slot, value): zero-phase decimation by q, NULL where any of the q inputs of a slot is missing.
 
-    Blocks carry the filter's half width of neighbours as halo, so a block edge is not a record edge. Gaps are
-    bridged inside the block and its halo before the filter.
+    Slots run from the first to the last whole one of a record, those inside gaps included. Gaps are bridged by a straight line between the
+    samples beside them, however far apart, record ends by their nearest sample, and the filter sees zero outside the record. Every sample
+    adds its weighted value to the slots in reach, so the result is a sum and does not know of blocks.
     """
     reach = 10 * q
-    lo, hi = block_of(F.col(pos) - reach, block), block_of(F.col(pos) + reach, block)
-    d = samples.withColumn("_b", F.explode(F.sequence(lo, hi)))
-    g = d.groupBy(*keys, "_b").agg(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(value).alias("v")))).alias("a"))
+    taps = F.array(*[F.lit(float(h)) for h in kernels.fir_decimator(q)])
+    t = samples.select(*keys, F.col(pos).cast("bigint").alias("_p"), F.col(value).cast("double").alias("_v"))
+    span = t.groupBy(*keys).agg(F.min("_p").alias("_first"), F.max("_p").alias("_last"))
+    good = t.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    c = F.col
+    near = neighbours(good, keys, "_p", "_v", block, strict=True)
+    # straight pieces: from a sample to the next one, and level ones at the ends of a record
+    line = near.where(c("next_pos").isNotNull()).select(*keys, c("_p").alias("a"), (c("next_pos") - 1).alias("b"), "_v", ((c("next_val") - c("_v")) / (c("next_pos") - c("_p"))).alias("m"))
+    ends = near.where(c("prev_pos").isNull() | c("next_pos").isNull()).join(span, keys)
+    level = F.lit(0.0).alias("m")
+    head = ends.where(c("prev_pos").isNull() & (c("_first") < c("_p"))).select(*keys, c("_first").alias("a"), (c("_p") - 1).alias("b"), "_v", level)
+    tail = ends.where(c("next_pos").isNull()).select(*keys, c("_p").alias("a"), c("_last").alias("b"), "_v", level)
+    pieces = line.unionByName(head).unionByName(tail)
+    # only what is in reach of a sample can count: the middle of a long gap is left out
+    far = reach + q
+    where = F.when(c("b") - c("a") > 2 * far, F.array_union(F.sequence(c("a"), c("a") + far), F.sequence(c("b") - far, c("b")))).otherwise(F.sequence("a", "b"))
+    dense = pieces.select(*keys, "a", "_v", "m", F.explode(where).alias("p")).select(*keys, "p", (c("_v") + c("m") * (c("p") - c("a"))).alias("x"))
+    hit = dense.select(*keys, "p", "x", F.explode(F.sequence(block_of(c("p") - reach + q - 1, q), block_of(c("p") + reach, q))).alias("slot"))
+    sums = hit.groupBy(*keys, "slot").agg(F.sum(c("x") * F.get(taps, (c("slot") * q - c("p") + reach).cast("int"))).alias("_y"))
+    whole = good.groupBy(*keys, block_of("_p", q).alias("slot")).agg(F.countDistinct("_p").alias("_n")).where(c("_n") == q)
+    edges = span.select(*keys, block_of(c("_first") + q - 1, q).alias("lo"), (block_of(c("_last") + 1, q) - 1).alias("hi")).where("lo <= hi")
+    runs = edges.select(*keys, "lo", "hi", F.explode(F.sequence(block_of("lo", block), block_of("hi", block))).alias("_run"))
+    slots = runs.select(*keys, F.explode(F.sequence(F.greatest("lo", c("_run") * block), F.least("hi", (c("_run") + 1) * block - 1))).alias("slot"))
+    return slots.join(whole.join(sums, [*keys, "slot"]), [*keys, "slot"], "left").select(*keys, "slot", c("_y").alias("value"))
+
+
+def window_lags(windows: DataFrame, keep: list[str], a: str, b: str, max_lag: int, band=None, fs: float = 1.0, edge: float = CLOCK_EDGE) -> DataFrame:
+    """(keep, lag_s, r, ratio, edge) of the correlation peak of two channels of every window row; NULL where a sample is missing."""
+    made = ["lag_s", "r", "ratio"]
 
-    def run(batches):
-        h = kernels.fir_decimator(q)
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                p = np.array([e["p"] for e in r.a], np.int64)
-                v = _np([e["v"] for e in r.a])
-                first, last = int(r._asdict()["b_"]) * block, (int(r._asdict()["b_"]) + 1) * block
-                full = np.full(int(p[-1] - p[0]) + 1, np.nan)
-                full[p - p[0]] = v
-                ok = np.isfinite(full)
-                if not ok.any():
-                    continue
-                bridged = kernels.bridged(full)
-                pad = np.concatenate([np.repeat(bridged[0], reach), bridged, np.repeat(bridged[-1], reach)])
-                y = np.convolve(pad, h, "same")[reach:-reach]
-                for s in range(-(-max(first, int(p[0])) // q) * q, min(last, int(p[-1]) + 1) - q + 1, q):
-                    i = s - int(p[0])
-                    out.append([getattr(r, k) for k in keys] + [s // q, float(y[i]) if ok[i:i + q].all() else None])
-            yield pd.DataFrame(out, columns=[*keys, "slot", "value"]).astype({"value": float})
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in samples.select(*keys).schema) + ", slot long, value double"
-    got = g.withColumnRenamed("_b", "b_").mapInPandas(run, schema)
-    return got.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
-
-
-def window_lags(windows: DataFrame, keep: list[str], a: str, b: str, max_lag: int, band=None, fs: float = 1.0) -> DataFrame:
-    """(keep, lag_s, r, ratio, edge) of the correlation peak of two channels of every window row."""
     def run(batches):
         coef = kernels.butter(4, band, fs, "band") if band else None
         for pdf in batches:
-            rows = []
-            for x, y in zip(pdf[a], pdf[b]):
-                x, y = _np(x), _np(y)
+            out = {k: np.full(len(pdf), np.nan) for k in made}
+            for rows, x in _stacks(pdf, [a, b]):
                 if coef is not None:
-                    x, y = kernels.filtfilt(*coef, x), kernels.filtfilt(*coef, y)
-                if not (np.isfinite(x).all() and np.isfinite(y).all()):
-                    rows.append((np.nan, np.nan))
-                    continue
-                rows.append(kernels.lag_peak(x, y, max_lag))
-            out = pdf[keep].copy()
-            out["lag_s"] = np.array([r[0] for r in rows], float) / fs
-            out["r"] = np.array([r[1] for r in rows], float)
-            yield out
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in windows.select(*keep).schema) + ", lag_s double, r double"
-    got = windows.select(*keep, a, b).mapInPandas(run, schema)
-    return got.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("lag_s", "r")})
+                    x = {k: kernels.filtfilt(*coef, v) for k, v in x.items()}
+                fine = np.isfinite(x[a]).all(axis=1) & np.isfinite(x[b]).all(axis=1)
+                if fine.any():
+                    peak = kernels.correlation_peaks(x[a][fine], x[b][fine], max_lag)
+                    for k, v in zip(made, (peak["lag"] / fs, peak["r"], peak["ratio"]), strict=True):
+                        out[k][rows[fine]] = v
+            yield _with_columns(pdf, keep, out)
+    got = windows.select(*keep, a, b).mapInPandas(run, _schema(windows, keep, made))
+    got = got.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in made})
+    # the peak sample itself decides, not its place between samples
+    return got.withColumn("edge", F.abs(F.round(F.col("lag_s") * fs)) >= edge * max_lag)
 
 
 def lag_verdict(lags: DataFrame, keys: list[str], window: str, long_corr: DataFrame | None = None, min_corr: float = LAG_MIN_CORR,

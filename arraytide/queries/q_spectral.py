@@ -41,14 +41,17 @@ def chunk_power(t):
     return spectral.chunk_power(dz(t), ["site"], "i", "hx", 32, 16, (0.1, 0.26))
 
 
-@query("signal_power", "label:b n:b power:d", "X1 M8", """WITH s AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) - 1 AS p FROM embeddings), s1 AS (SELECT * FROM s WHERE p < 32), m AS (SELECT vec_id, avg(x) AS m FROM s1 GROUP BY vec_id),
-ft AS (SELECT s1.vec_id, label, f, sum((0.5 - 0.5 * cos(2 * pi() * p / 31.0)) * (x - m) * cos(2 * pi() * f * p / 32.0)) AS re, sum((0.5 - 0.5 * cos(2 * pi() * p / 31.0)) * (x - m) * sin(2 * pi() * f * p / 32.0)) AS im FROM s1 JOIN m ON m.vec_id = s1.vec_id, (SELECT unnest([1, 2, 3, 4]) AS f) GROUP BY ALL)
-SELECT label, count(DISTINCT vec_id) AS n, sum(re * re + im * im) / count(DISTINCT vec_id) AS power FROM ft GROUP BY label""")
+@query("signal_power", "label:b n:b power:d", "X1 M8", """WITH s AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) - 1 AS q, len(embedding) // 32 AS whole FROM embeddings), s1 AS (SELECT vec_id, label, q // 32 AS k, q % 32 AS p, x FROM s WHERE q // 32 < whole), m AS (SELECT vec_id, k, avg(x) AS m FROM s1 GROUP BY ALL),
+ft AS (SELECT s1.vec_id, s1.k, label, f, sum((0.5 - 0.5 * cos(2 * pi() * p / 31.0)) * (x - m) * cos(2 * pi() * f * p / 32.0)) AS re, sum((0.5 - 0.5 * cos(2 * pi() * p / 31.0)) * (x - m) * sin(2 * pi() * f * p / 32.0)) AS im FROM s1 JOIN m ON m.vec_id = s1.vec_id AND m.k = s1.k, (SELECT unnest([1, 2, 3, 4]) AS f) GROUP BY ALL)
+SELECT label, count(DISTINCT vec_id) AS n, sum(re * re + im * im) / count(DISTINCT (vec_id, k)) AS power FROM ft GROUP BY label""")
 def signal_power(t):
-    # the segment is the first 32 samples of each signal, one Welch segment of it
-    a = t.embeddings.select("label", F.col("vec_id").alias("seg"), F.transform(F.slice("embedding", 1, 32), lambda x: x.cast("double")).alias("x"))
-    z = spectral.segment_fft(a, ["label"], ["x"], 1, 4)
-    return z.groupBy("label").agg(F.countDistinct("seg").alias("n"), F.sum(F.col("re") ** 2 + F.col("im") ** 2).alias("s")).select("label", "n", (F.col("s") / F.col("n")).alias("power"))
+    # every whole segment of 32 samples of each signal
+    k = F.explode(F.sequence(F.lit(0), F.floor(F.size("embedding") / 32).cast("int") - 1))
+    a = t.embeddings.where(F.size("embedding") >= 32).select("label", F.col("vec_id").alias("vec"), "embedding", k.alias("seg"))
+    a = a.select("label", "vec", "seg", F.transform(F.slice("embedding", F.col("seg") * 32 + 1, 32), lambda x: x.cast("double")).alias("x"))
+    z = spectral.segment_fft(a, ["label", "vec"], ["x"], 1, 4)
+    z = z.groupBy("label").agg(F.countDistinct("vec").alias("n"), F.countDistinct("vec", "seg").alias("m"), F.sum(F.col("re") ** 2 + F.col("im") ** 2).alias("s"))
+    return z.select("label", "n", (F.col("s") / F.col("m")).alias("power"))
 
 
 PAIRC = """pj AS (SELECT a.site AS a, b.site AS b, a.chan, a.seg // 8 AS chunk, a.f, sum(a.re * a.re + a.im * a.im) AS pxx, sum(b.re * b.re + b.im * b.im) AS pyy, sum(a.re * b.re + a.im * b.im) AS xr, sum(a.im * b.re - a.re * b.im) AS xi, count(*) AS cnt
@@ -106,10 +109,21 @@ def block_coherence(t):
                                     prep=(2, [1 / 60.0], "high"), stds=["ex", "ey"])
 
 
-@query("octave_coherence", "site:b seg:b coh:d", "X4")
+OCT = """df AS (SELECT site, i // 256 AS stretch, i % 256 - 1 AS p, unnest(['hx', 'hy']) AS chan, unnest([hx - lag(hx) OVER w, hy - lag(hy) OVER w]) AS x FROM dz WINDOW w AS (PARTITION BY site, i // 256 ORDER BY i)),
+sg AS (SELECT site, stretch, s, p - 16 * s AS q, chan, x FROM df, (SELECT unnest(range(15)) AS s) WHERE p BETWEEN 16 * s AND 16 * s + 31),
+ln AS (SELECT site, stretch, s, chan, avg(x) AS m, regr_slope(x, q) AS b FROM sg GROUP BY ALL HAVING count(x) = 32),
+ft AS (SELECT sg.site, sg.stretch, sg.s, f, sg.chan, sum((0.5 - 0.5 * cos(2 * pi() * q / 32.0)) * (x - m - b * (q - 15.5)) * cos(2 * pi() * f * q / 32.0)) AS re, -sum((0.5 - 0.5 * cos(2 * pi() * q / 32.0)) * (x - m - b * (q - 15.5)) * sin(2 * pi() * f * q / 32.0)) AS im
+  FROM sg JOIN ln USING (site, stretch, s, chan), (SELECT unnest(range(1, 17)) AS f) GROUP BY ALL),
+pr AS (SELECT a.site, a.stretch, a.f, sum(a.re * b.re + a.im * b.im) AS xr, sum(a.im * b.re - a.re * b.im) AS xi, sum(a.re * a.re + a.im * a.im) AS pa, sum(b.re * b.re + b.im * b.im) AS pb
+  FROM ft a JOIN ft b ON a.site = b.site AND a.stretch = b.stretch AND a.s = b.s AND a.f = b.f AND a.chan = 'hx' AND b.chan = 'hy' GROUP BY ALL),
+bd AS (SELECT site, stretch, k, median((xr * xr + xi * xi) / nullif(pa * pb, 0)) AS g FROM pr, (SELECT unnest(range(4)) AS k) WHERE f / 32.0 > 1 / (2.5 * pow(8.0, (k + 1) / 4.0)) AND f / 32.0 < 1 / (2.5 * pow(8.0, k / 4.0)) GROUP BY ALL)"""
+
+
+@query("octave_coherence", "site:b stretch:b coh:d", "X4", with_(REC, DAX, DZ, OCT) + "SELECT site, stretch, least(greatest((median(g) - 1 / 12.3) / (1 - 1 / 12.3), 0), 1) AS coh FROM bd GROUP BY ALL")
 def octave_coherence(t):
-    a = spectral.as_arrays(dz(t), ["site"], "i", ["hx", "hy"], 256)
-    return spectral.welch_coherence(a, ["site", "seg"], {"coh": ("hx", "hy")}, 2.5, 20.0, 32, difference=True)
+    a = spectral.difference_segments(dz(t), ["site"], "i", ["hx", "hy"], 256, 32)
+    z = spectral.segment_fft(a, ["site", "stretch"], ["hx", "hy"], 1, 16, "periodic", linear=True)
+    return spectral.octave_coherence(z, ["site", "stretch"], "hx", "hy", 2.5, 20.0, 32, 256)
 
 
 @query("sliding_coherence", "site:b seg:b coh:d", "W13 R3")
@@ -147,7 +161,7 @@ def clock_test(t):
     late = robust.shift(d.select("site", "i", "hx"), ["site"], "i", "hx", -3, block=DAY_BLOCK).withColumnRenamed("hx", "y")
     a = spectral.as_arrays(d.join(late, ["site", "i"]), ["site"], "i", ["hx", "y"], 256)
     lags = spectral.window_lags(a, ["site", "seg"], "hx", "y", 20)
-    days = lags.withColumns({"f_ratio": F.lit(1.0), "ratio": F.lit(2.0), "edge": F.abs("lag_s") >= 0.95 * 20})
+    days = lags.withColumn("f_ratio", F.lit(1.0))
     return spectral.clock_verdict(days, ["site"], min_days=3)
 
 
@@ -167,12 +181,29 @@ def split_half(t):
     return estimate.remote_reference(z, ["site", "half"], r=("hx", "hy"), iterations=1)
 
 
-@query("decimated", "site:b slot:b value:d", "W9 K1")
+DEC = """fl AS (SELECT site, i, last_value(CASE WHEN hx IS NOT NULL THEN i END IGNORE NULLS) OVER p AS pi, last_value(hx IGNORE NULLS) OVER p AS pv, first_value(CASE WHEN hx IS NOT NULL THEN i END IGNORE NULLS) OVER n AS ni, first_value(hx IGNORE NULLS) OVER n AS nv
+  FROM dax WINDOW p AS (PARTITION BY site ORDER BY i ROWS UNBOUNDED PRECEDING), n AS (PARTITION BY site ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+x AS (SELECT site, i, CASE WHEN pi IS NULL THEN nv WHEN ni IS NULL OR ni = pi THEN pv ELSE pv + (nv - pv) * (i - pi) / CAST(ni - pi AS DOUBLE) END AS x FROM fl),
+rw AS (SELECT j, CASE WHEN j = 40 THEN 1.0 ELSE sin(pi() * (j - 40) / 4.0) / (pi() * (j - 40) / 4.0) END * (0.54 - 0.46 * cos(2 * pi() * j / 80.0)) AS w FROM (SELECT unnest(range(81)) AS j)),
+h AS (SELECT j, w / sum(w) OVER () AS h FROM rw),
+sl AS (SELECT site, unnest(range((min(i) + 3) // 4, (max(i) + 1) // 4)) AS slot FROM dax GROUP BY site),
+y AS (SELECT x.site, slot, sum(h * x) AS y FROM sl, h, x WHERE x.site = sl.site AND x.i = slot * 4 + j - 40 GROUP BY ALL),
+c AS (SELECT site, i // 4 AS slot, count(hx) AS n FROM dax GROUP BY ALL)"""
+
+
+@query("decimated", "site:b slot:b value:d", "W9 K1", with_(REC, DAX, DEC) + "SELECT site, slot, CASE WHEN n = 4 THEN y END AS value FROM sl LEFT JOIN y USING (site, slot) LEFT JOIN c USING (site, slot)")
 def decimated(t):
-    return spectral.decimate(dz(t), ["site"], "i", "hx", 4, block=256)
+    return spectral.decimate(dax(t), ["site"], "i", "hx", 4, block=256)
+
+
+@query("map_levels", "fs_hz:d level:b segment:b window_s:b level_step_s:b from_s:d to_s:d", "W12", """WITH r AS (SELECT DISTINCT CAST(p_size AS DOUBLE) AS fs_hz FROM part), b AS (SELECT fs_hz, pow(2.0, floor(log2(900.0 * fs_hz) + 1e-9)) AS n0 FROM r),
+k AS (SELECT fs_hz, n0, unnest(range(0, 1 + greatest(0, CAST(ceil(ln(20000.0 * fs_hz / n0) / ln(4.0) - 1e-9) AS BIGINT)))) AS level FROM b), s AS (SELECT *, n0 * pow(4.0, level) AS n FROM k)
+SELECT fs_hz, level, n AS segment, CASE WHEN level = 0 THEN 3600 ELSE floor(6 * n / fs_hz) END AS window_s, CASE WHEN level = 0 THEN 1800 ELSE greatest(1800, floor(n / fs_hz / 2)) END AS level_step_s, CASE WHEN level = 0 THEN 2.0 ELSE n / fs_hz / 4 END AS from_s, least(n / fs_hz, 20000.0) AS to_s FROM s""")
+def map_levels(t):
+    return estimate.map_levels(t.part.select(F.col("p_size").cast("double").alias("fs_hz")).distinct())
 
 
-@query("band_edges", "level:b i_min:b i_max:b fs_hz:d lower_s:d centre_s:d upper_s:d n:b", "X12 W12", """WITH p AS (SELECT p_size % 6 + 1 AS level, p_size AS i_min, p_size + p_partkey % 7 AS i_max, count(*) AS n FROM part GROUP BY ALL)
+@query("band_edges", "level:b i_min:b i_max:b fs_hz:d lower_s:d centre_s:d upper_s:d n:b", "X12", """WITH p AS (SELECT p_size % 6 + 1 AS level, p_size AS i_min, p_size + p_partkey % 7 AS i_max, count(*) AS n FROM part GROUP BY ALL)
 SELECT level, i_min, i_max, n, r AS fs_hz, 1 / ((i_max + 0.5) * r / 256) AS lower_s, 2 / ((i_min + i_max) * r / 256) AS centre_s, 1 / ((i_min - 0.5) * r / 256) AS upper_s FROM (SELECT *, 1.0 / pow(4.0, level - 1) AS r FROM p)""")
 def band_edges(t):
     s = F.col("p_size")
