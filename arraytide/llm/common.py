@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# tasks give memory back when they free it: an executor holds several workers beside its heap
+pa.set_memory_pool(pa.system_memory_pool())
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which driver and executors share. Only a local session that names none gets a fresh one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -10,8 +10,7 @@ and the failure arc f(u); a context that training lacks passes everything on. Th
 text are log10 probabilities. A text is read from left to right once: the state is the longest context that training holds. All positions of
 a part are advanced together in numpy, one order after another.
 
-Counts cover all training documents. A part learns the counts of the n-grams in its own documents in one round of packets and is told only those
-that other parts change. Defined results: a null text is empty (one end token); a null doc_id is hashed as the empty text; repeated rows count
+Counts cover all training documents. A part learns the counts of the n-grams in its own documents in one round of packets. Defined results: a null text is empty (one end token); a null doc_id is hashed as the empty text; repeated rows count
 and are scored each; an empty table gives no rows; with no training document every token is unknown.
 """
 from __future__ import annotations
@@ -92,17 +91,17 @@ def vocabulary(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> t
 
 
 def _counts(t: pa.Table) -> pa.Table:
-    """To every part the training count of its keys where other parts add to its own."""
+    """For every key that was asked what other parts add to its training count."""
     row, (key, count) = rounds.gathered(t, [8, 4])
     by = np.argsort(key, kind="stable")
-    row, key, count = row[by], key[by], count[by]
-    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    total = np.repeat(np.add.reduceat(count, starts), np.diff(np.append(starts, len(key))))
-    tell = total != count
-    return rounds.split(t, row[tell], -1, [(key[tell], 8), (total[tell], 6)])
+    sorted_key, sorted_count = key[by], count[by]
+    starts = np.flatnonzero(np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]]))
+    more = np.empty(len(key), np.uint64)
+    more[by] = np.repeat(np.add.reduceat(sorted_count, starts), np.diff(np.append(starts, len(key)))) - sorted_count
+    return rounds.in_place(t, row, -1, more, 6)
 
 
-def score(docs: DataFrame, order: int = 2, share: float = 0.05, doc_id: str = "doc_id", text: str = "text", part_bytes: int = 16 << 20) -> DataFrame:
+def score(docs: DataFrame, order: int = 2, share: float = 0.05, doc_id: str = "doc_id", text: str = "text", part_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score (unigrams alone), score (the automaton)."""
     total, distinct = vocabulary(docs, doc_id, text)
     log_z = float(np.log10(total + 0.5 * (distinct + 1)))
@@ -119,9 +118,7 @@ def score(docs: DataFrame, order: int = 2, share: float = 0.05, doc_id: str = "d
 
     def finish(part: int, t: pa.Table, got: pa.Table) -> pa.Table:
         g, out = grams(t)
-        counts = g.counts.astype(np.float64)
-        _, (key, n) = rounds.gathered(got, [8, 6])
-        counts[np.searchsorted(g.keys, key)] = n
+        counts = (g.counts + rounds.read_in_place(got, -1, 6)).astype(np.float64)
         rows, size = len(out), len(g.h)
         c = np.zeros(size)
         c[g.at[0]] = counts[g.index[0]]

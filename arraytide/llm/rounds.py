@@ -50,6 +50,21 @@ def gathered(packet: pa.Table, widths: list[int]) -> tuple[np.ndarray, list[np.n
     return np.repeat(np.arange(len(n)), n), [np.concatenate([common.unplanes(f[i], w) for f in fields] or [np.empty(0, np.uint64)]) for i, w in enumerate(widths)]
 
 
+def in_place(t: pa.Table, row: np.ndarray, mark: int, values: np.ndarray, width: int) -> pa.Table:
+    """An answer with one value for every key that was asked, in the order in which it was asked: no key is sent back.
+
+    `row` is the packet row of every value, as `gathered` gives it.
+    """
+    return answer([(mark, p, n, [common.planes(values[a: a + n], width), str(b).encode()]) for p, b, n, a in zip(
+        t.column("part").to_pylist(), t.column("bucket").to_pylist(), t.column("n").to_pylist(), np.searchsorted(row, np.arange(t.num_rows)).tolist(), strict=True)])
+
+
+def read_in_place(got: pa.Table, mark: int, width: int) -> np.ndarray:
+    """The values of `in_place` answers for all keys of a part: buckets are key ranges, so their order is that of the keys."""
+    rows = [(int(f[1]), f[0]) for m, f in zip(got.column("bucket").to_pylist(), got.column("fields").to_pylist(), strict=True) if m == mark]
+    return np.concatenate([common.unplanes(x, width) for _, x in sorted(rows)] or [np.empty(0, np.uint64)])
+
+
 def ask(docs: DataFrame, question: Callable[[int, pa.Table], pa.Table]) -> DataFrame:
     """Packets that every part sends."""
     return docs.groupBy("part").applyInArrow(lambda key, t: question(key[0].as_py(), t), PACKET)
