@@ -6,11 +6,11 @@ the full depth and drop whatever a pass has settled:
 1. the digit is the least-hashed `digit`-byte string of the window (its anchor). Neighbouring windows share their anchor, so a run of windows
    is one entry (digit, hash of the whole run). A digit in one document only is settled: no window of it repeats. A digit whose runs are the
    same bytes everywhere is settled as a whole: all its windows repeat in every document that has it.
-2. the windows of what is left are ordered through all `depth` bytes.
+2. the bytes of the runs that are left are sent on, and their windows are ordered through all `depth` bytes.
 
-A pass deals digits to buckets; a part of the corpus sends each distinct digit once with its smallest document, so a passage that a third of
-the documents hold is one entry per part. Runs of one digit are told apart by 48-bit hashes, digits by 64-bit and windows by 96-bit ones; texts
-are never compared across parts.
+A pass deals digits to buckets; a part of the corpus sends each distinct digit once with its smallest document, and in the second pass each
+distinct run, so a passage that a third of the documents hold is one entry per part. Runs of one digit are told apart by 48-bit hashes, digits
+by 64-bit and windows by 96-bit ones.
 
 Defined results: a null text is empty; a null doc_id is below every other; rows of equal doc_id do not remove from each other; an empty table
 gives no rows.
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arraytide.llm import common, rounds
-from arraytide.llm.hashing import U, Substrings
+from arraytide.llm.hashing import U, Substrings, mix
 
 SECOND = 0xC2B2AE3D27D4EB4F | 1
 BLOCK = 1 << 20
@@ -70,14 +70,16 @@ def _runs(data: np.ndarray, offsets: np.ndarray, depth: int, digit: int) -> Iter
         first, last = edge[:-1], edge[1:] - 1
         keep = ok[first]
         first, last = first[keep], last[keep]
-        yield h[anchor[first]], np.maximum(s.of(first, last + depth) & LOW48, U(1)), first + a, last + a
+        yield mix(h[anchor[first]] ^ U(BLOCK)), np.maximum(s.of(first, last + depth) & LOW48, U(1)), first + a, last + a
 
 
 class Part:
     """The runs of one part, grouped by digit."""
 
     def __init__(self, t: pa.Table, depth: int, digit: int):
-        self.depth = depth
+        # a run that crosses a block is cut there, so the rows of a part need the same order in every pass
+        t = t.take(pa.compute.sort_indices(t, [("doc_id", "ascending"), ("text", "ascending")]))
+        self.ids, self.depth = t.column("doc_id"), depth
         self.data, self.offsets = common.byte_column(t.column("text"))
         self.order = order_ids(t.column("doc_id"))
         found = list(zip(*_runs(self.data, self.offsets, depth, digit), strict=True)) or [(np.empty(0, np.uint64),)] * 2 + [(np.empty(0, np.int64),)] * 2
@@ -110,19 +112,31 @@ class Part:
         """(hash, second hash, place, document) of every window of these digits."""
         pick = digits[self.group] if len(self.group) else np.empty(0, bool)
         first, last, doc = self.first[pick], self.last[pick], self.doc[pick]
-        count = last - first + 1
-        place = np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
-        one, two = np.empty(len(place), np.uint64), np.empty(len(place), np.uint64)
-        order = np.argsort(place, kind="stable")
-        sorted_place = place[order]
-        for a in range(0, len(self.data), BLOCK):
-            i, j = np.searchsorted(sorted_place, [a, a + BLOCK])
-            if i < j:
-                block = self.data[a: a + BLOCK + self.depth - 1]
-                at = sorted_place[i:j] - a
-                one[order[i:j]] = Substrings(block).of(at, at + self.depth)
-                two[order[i:j]] = Substrings(block, seed=5, base=SECOND).of(at, at + self.depth) & U(0xFFFFFFFF)
-        return one, two, place, np.repeat(doc, count)
+        one, two, place = _windows(self.data, first, last - first + 1, self.depth)
+        return one, two, place, np.repeat(doc, last - first + 1)
+
+    def apart(self, digits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(runs of these digits in order of digit and content, where each distinct one starts among them)."""
+        pick = np.flatnonzero(digits[self.group]) if len(self.group) else np.empty(0, np.int64)
+        pick = pick[np.lexsort((self.doc[pick], self.run[pick], self.h[pick]))]
+        h, run = self.h[pick], self.run[pick]
+        return pick, np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (run[1:] != run[:-1])])) if len(pick) else pick
+
+
+def _windows(data: np.ndarray, first: np.ndarray, count: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, second hash, place) of `count` windows from each `first` on."""
+    place = np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
+    one, two = np.empty(len(place), np.uint64), np.empty(len(place), np.uint64)
+    order = np.argsort(place, kind="stable")
+    sorted_place = place[order]
+    for a in range(0, len(data), BLOCK):
+        i, j = np.searchsorted(sorted_place, [a, a + BLOCK])
+        if i < j:
+            block = data[a: a + BLOCK + depth - 1]
+            at = sorted_place[i:j] - a
+            one[order[i:j]] = Substrings(block).of(at, at + depth)
+            two[order[i:j]] = Substrings(block, seed=5, base=SECOND).of(at, at + depth) & U(0xFFFFFFFF)
+    return one, two, place
 
 
 def _first_of(one: np.ndarray, two: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,13 +163,21 @@ def _reply_digits(t: pa.Table) -> pa.Table:
     return rounds.split(t, row[tell], -1, [(h[tell], 8), (value[tell], 8)])
 
 
-def _reply_windows(t: pa.Table) -> pa.Table:
-    row, (one, two, doc) = rounds.gathered(t, [8, 4, 8])
-    order, starts, least = _first_of(one, two, doc)
-    least = np.repeat(least, np.diff(np.append(starts, len(order))))
-    row, one, two, doc = row[order], one[order], two[order], doc[order]
-    tell = least < doc
-    return rounds.split(t, row[tell], -2, [(one[tell], 8), (two[tell], 4), (least[tell], 8)])
+def _reply_runs(t: pa.Table, depth: int) -> pa.Table:
+    """For every run that was sent a bit per window: set if a smaller document of the corpus has the window."""
+    row, (_, doc, count) = rounds.gathered(t, [8, 8, 1])
+    count = count.astype(np.int64)
+    data = np.frombuffer(b"".join(f[3] for f in t.column("fields").to_pylist()), np.uint8)
+    size = count + depth - 1
+    one, two, _ = _windows(data, np.cumsum(size) - size, count, depth)
+    doc_of = np.repeat(doc, count)
+    order, starts, least = _first_of(one, two, doc_of)
+    repeats = np.empty(len(order), bool)
+    repeats[order] = np.repeat(least, np.diff(np.append(starts, len(order)))) < doc_of[order]
+    begin = np.cumsum(count) - count
+    bit = (np.arange(len(repeats)) - np.repeat(begin, count)).astype(np.uint64)
+    masks = np.add.reduceat(repeats.astype(np.uint64) << bit, begin)
+    return rounds.in_place(t, row, -2, masks, 8)
 
 
 def remove_repeats(docs: DataFrame, depth: int = 50, digit: int = 20, doc_id: str = "doc_id", text: str = "text", part_bytes: int = 8 << 20) -> DataFrame:
@@ -163,6 +185,8 @@ def remove_repeats(docs: DataFrame, depth: int = 50, digit: int = 20, doc_id: st
 
     Removed is every byte covered by a window of `depth` bytes that also starts in a document with a smaller doc_id.
     """
+    if not 0 <= depth - digit < 64:
+        raise ValueError("a run holds at most 64 windows: choose a digit of at least depth - 63 bytes")
     parts = common.parts_for(docs, text, part_bytes)
     held = rounds.parted(docs, parts, doc_id, text)
 
@@ -170,16 +194,21 @@ def remove_repeats(docs: DataFrame, depth: int = 50, digit: int = 20, doc_id: st
         p = Part(t, depth, digit)
         return rounds.packets(part, p.digits, [(p.same, 6), (p.least, 8)], parts)
 
-    def windows(part: int, t: pa.Table, got: pa.Table) -> pa.Table:
+    def runs(part: int, t: pa.Table, got: pa.Table) -> pa.Table:
         p = Part(t, depth, digit)
-        one, two, _, doc = p.windows(_told(p, got))
-        order, starts, least = _first_of(one, two, doc)
-        pick = order[starts]
-        return rounds.packets(part, one[pick], [(two[pick], 4), (least, 8)], parts)
+        pick, starts = p.apart(_told(p, got))
+        one = pick[starts]  # of equal runs the one in the smallest document
+        sent = rounds.packets(part, p.h[one], [(p.doc[one], 8), ((p.last - p.first + 1)[one].astype(np.uint64), 1)], parts)
+        # the bytes of the runs go with the packet of their bucket
+        at, fields = 0, []
+        for n, f in zip(sent.column("n").to_pylist(), sent.column("fields").to_pylist(), strict=True):
+            fields.append([*f, b"".join(p.data[i:j].tobytes() for i, j in zip(p.first[one[at: at + n]], p.last[one[at: at + n]] + depth, strict=True))])
+            at += n
+        return sent.set_column(3, "fields", pa.array(fields, pa.list_(pa.binary())))
 
     def _told(p: Part, got: pa.Table) -> np.ndarray:
         """The digits that differ between parts: only their windows go on."""
-        _, (h, value) = rounds.gathered(got, [8, 8])
+        _, (h, value) = rounds.gathered(got.filter(pa.compute.equal(got.column("bucket"), -1)), [8, 8])
         out = np.zeros(len(p.digits), bool)
         out[np.searchsorted(p.digits, h[value == MIXED])] = True
         return out
@@ -190,20 +219,14 @@ def remove_repeats(docs: DataFrame, depth: int = 50, digit: int = 20, doc_id: st
         whole = ~mixed[p.group] & (p.doc > least[p.group]) if len(p.group) else np.empty(0, bool)
         one, two, place, doc = p.windows(mixed)
         order, starts, local = _first_of(one, two, doc)
-        mark = pa.compute.equal(got.column("bucket"), -2)
-        _, (g1, g2, gdoc) = rounds.gathered(got.filter(mark), [8, 4, 8])
-        if len(g1):
-            # join the answers to the local windows: sort both together, answers first
-            k1, k2 = np.concatenate([g1, one[order[starts]]]), np.concatenate([g2, two[order[starts]]])
-            d = np.concatenate([gdoc, local])
-            o, s, m = _first_of(k1, k2, d)
-            back = np.empty(len(o), np.uint64)
-            back[o] = np.repeat(m, np.diff(np.append(s, len(o))))
-            local = back[len(g1):]
         sizes = np.diff(np.append(starts, len(order)))
         again = doc[order] > np.repeat(local, sizes)
-        begin = np.concatenate([p.first[whole], place[order[again]]])
-        end = np.concatenate([p.last[whole], place[order[again]]]) + depth
+        # what other parts say about runs: equal runs of one part share the answer, since only its smallest document was compared
+        pick, begins = p.apart(_told(p, got))
+        masks = np.repeat(rounds.read_in_place(got, -2, 8), np.diff(np.append(begins, len(pick))))
+        far = np.concatenate([(p.first[pick] + j)[(masks >> U(j) & U(1)).astype(bool)] for j in range(depth - digit + 1)])
+        begin = np.concatenate([p.first[whole], place[order[again]], far])
+        end = np.concatenate([p.last[whole], place[order[again]], far]) + depth
         n = len(p.data)
         cover = np.zeros(n + 1, np.int32)
         np.add.at(cover, begin, 1)
@@ -223,16 +246,16 @@ def remove_repeats(docs: DataFrame, depth: int = 50, digit: int = 20, doc_id: st
         kept = [hashlib.sha256(p.data[i:j][~gone[i:j]].tobytes()).hexdigest() for i, j in zip(p.offsets[:-1].tolist(), p.offsets[1:].tolist(), strict=True)]
         own = np.repeat(p.offsets[:-1], np.diff(at))
         lists = [pa.LargeListArray.from_arrays(pa.array(at, pa.int64()), pa.array(x - own)).cast(pa.list_(pa.int64())) for x in (span_a, span_b)]
-        return pa.Table.from_arrays([t.column("doc_id"), pa.array(np.diff(p.offsets)), pa.array(np.diff(removed)), pa.array(np.diff(at)), pa.array(kept), *lists],
+        return pa.Table.from_arrays([p.ids, pa.array(np.diff(p.offsets)), pa.array(np.diff(removed)), pa.array(np.diff(at)), pa.array(kept), *lists],
                                     [x.split()[0] for x in KEPT.split(", ")])
 
     first = rounds.answers(rounds.ask(held, digits), _reply_digits, parts)
-    second = rounds.answers(rounds.ask_again(held, first, windows), _reply_windows, parts)
+    second = rounds.answers(rounds.ask_again(held, first, runs), lambda t: _reply_runs(t, depth), parts)
     return rounds.ask_again(held, first.unionByName(second), finish, KEPT)
 
 
 def kept_text(docs: DataFrame, removed: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` (unique ids) with the removed bytes cut out of their texts; a character that was cut in half is dropped."""
+    """`docs` (unique ids) with the removed bytes cut out of their texts; what is left of a character that was cut in half becomes U+FFFD."""
     body = F.col(text).cast("binary")
     pieces = F.transform(F.sequence(F.lit(0), F.size("span_start")), lambda i: F.substring(
         body, F.when(i == 0, 0).otherwise(F.get("span_end", i - 1)).cast("int") + 1,
@@ -240,5 +263,5 @@ def kept_text(docs: DataFrame, removed: DataFrame, doc_id: str = "doc_id", text:
          - F.when(i == 0, 0).otherwise(F.get("span_end", i - 1))).cast("int")))
     joined = F.aggregate(pieces, F.lit(b""), lambda acc, x: F.concat(acc, x))
     rest = docs.join(removed.select(doc_id, "span_start", "span_end"), doc_id)
-    clean = F.when(F.size("span_start") > 0, F.decode(joined, F.lit("UTF-8"))).otherwise(F.col(text))
+    clean = F.when(F.size("span_start") > 0, F.make_valid_utf8(joined.cast("string"))).otherwise(F.col(text))
     return rest.withColumn(text, clean).select(*docs.columns)
