@@ -81,6 +81,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """`docs` without the contaminated ones; rows are judged by their own text, whatever their ids."""
-    t = docs.withColumn("_mark", F.xxhash64(common.text_of(text)))
-    bad = matches(t, benchmark, doc_id="_mark", text=text, **how).select(F.col("doc_id").alias("_mark")).distinct()
-    return t.join(bad, "_mark", "left_anti").select(*docs.columns)
+    t = docs.withColumn("_leak_mark", F.xxhash64(common.text_of(text)))
+    bad = matches(t, benchmark, doc_id="_leak_mark", text=text, **how).select(F.col("doc_id").alias("_leak_mark")).distinct()
+    return t.join(bad, "_leak_mark", "left_anti").select(*docs.columns)

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arraytide.llm import common
 from arraytide.llm.hashing import LOWER, SPACE, Substrings, mix
@@ -99,10 +100,11 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - f[:, None], -40, 40)))
 
 
-def fit(idx: np.ndarray, at: np.ndarray, grade: np.ndarray, grades: int, bits: int = 18, rounds: int = 200, l1: float = 3e-4, rate: float = 0.3,
+def fit(idx: np.ndarray, at: np.ndarray, grade: np.ndarray, grades: int, bits: int = 18, rounds: int = 200, pull: float = 0.027, rate: float = 0.3,
         least_rows: int = 4) -> Model:
-    """Maximum likelihood with an L1 pull, by proximal AdaGrad on the whole sample; features of fewer than `least_rows` rows stay 0."""
+    """Maximum likelihood with an L1 penalty of pull / sqrt(rows), by proximal AdaGrad on the whole sample; features of fewer than `least_rows` rows stay 0."""
     n, size = len(grade), 1 << bits
+    l1 = pull / np.sqrt(n)
     seen = np.bincount(idx, minlength=size) >= least_rows
     row = np.repeat(np.arange(n), np.diff(at))
     keep = seen[idx]
@@ -121,8 +123,8 @@ def fit(idx: np.ndarray, at: np.ndarray, grade: np.ndarray, grades: int, bits: i
         i = np.arange(n)
         p = np.maximum(full[i, grade + 1] - full[i, grade], 1e-12)
         up, down = slope[i, grade + 1] / p, slope[i, grade] / p
-        pull = (up - down) / n  # d(-log p)/df
-        g = np.bincount(col, pull[row], size)
+        force = (up - down) / n  # d(-log p)/df
+        g = np.bincount(col, force[row], size)
         sq += g * g
         step = rate / np.sqrt(sq)
         w -= step * g
@@ -160,8 +162,10 @@ def train(docs: DataFrame, graded: DataFrame, max_rows: int = 8_000, bits: int =
                int(rows["grade"].max()) + 1, bits, **how)
 
 
-def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`docs` with expected_grade double and tails array<double> (P(grade > 0), P(grade > 1), ...)."""
+def scored(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("expected_grade", "tails")) -> DataFrame:
+    """`docs` with the expected grade (double) and its tails (array<double>: P(grade > 0), P(grade > 1), ...); columns of those names are replaced."""
+    body = common.text_of(text).alias("_scored_text")
+    docs = docs.select(*(c for c in docs.columns if c not in names), body)
     used = np.flatnonzero(model.weights)
     small = (model.bits, used.astype(np.int32), model.weights[used], model.thresholds)
 
@@ -175,10 +179,10 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                                   for a, b in common.row_slices(offsets)] or [np.zeros((0, len(m.thresholds)))])
             own = [batch.column(i) for i in range(batch.num_columns - 1)]
             tails = pa.FixedSizeListArray.from_arrays(pa.array(out.reshape(-1)), out.shape[1]).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*own, pa.array(out.sum(1)), tails], [*batch.schema.names[:-1], "expected_grade", "tails"])
+            yield pa.RecordBatch.from_arrays([*own, pa.array(out.sum(1)), tails], [*batch.schema.names[:-1], *names])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.withColumn("_scored_text", common.text_of(text)).mapInArrow(task, f"{kinds}, expected_grade double, tails array<double>")
+    kinds = T.StructType([*docs.schema.fields[:-1], T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.ArrayType(T.DoubleType()))])
+    return docs.mapInArrow(task, kinds)
 
 
 def grade_of(quality: str = "quality", toxic: str = "toxic") -> Column:
@@ -186,6 +190,6 @@ def grade_of(quality: str = "quality", toxic: str = "toxic") -> Column:
     return F.when(F.col(toxic) == 1, 0).when(F.col(quality) == 0, 1).when(F.col(quality).isNotNull() & F.col(toxic).isNotNull(), 2)
 
 
-def selected(docs: DataFrame, graded: DataFrame, least_tail: float = 0.5, **how) -> DataFrame:
-    """The documents whose probability of the highest grade is at least `least_tail`, with expected_grade and tails."""
-    return scored(docs, train(docs, graded, **how)).where(F.element_at("tails", -1) >= least_tail)
+def selected(docs: DataFrame, graded: DataFrame, least_tail: float = 0.5, names: tuple[str, str] = ("expected_grade", "tails"), **how) -> DataFrame:
+    """The documents whose probability of the highest grade is at least `least_tail`, with expected grade and tails."""
+    return scored(docs, train(docs, graded, **how), names=names).where(F.element_at(names[1], -1) >= least_tail)

@@ -120,10 +120,11 @@ def redact(docs: DataFrame, max_owners: int = 1, text: str = "text", owner: str
     """`docs` with every secret that counts replaced and `n_chars` recounted where something was; a null text stays null."""
     columns = docs.columns
     scanned = scan(docs, text, owner, repository, tuple(columns), "secret-rows")
-    whole = scanned.select("uid", F.size("spans").alias("found"), *(F.col(f"k_{c}").alias(c) for c in columns))
-    clean = whole.where("found = 0").select(*columns)
-    dirty = whole.where("found > 0").join(judged(scanned, max_owners).select("uid", F.col("spans").alias("_spans")), "uid", "left")
-    dirty = dirty.withColumn(text, F.when(F.col("_spans").isNotNull(), redacted(F.col(text), F.col("_spans"))).otherwise(F.col(text)))
+    whole = scanned.select(F.col("uid").alias("_secret_uid"), F.size("spans").alias("_secret_n"), *(F.col(f"k_{c}").alias(c) for c in columns))
+    clean = whole.where("_secret_n = 0").select(*columns)
+    found = judged(scanned, max_owners).select(F.col("uid").alias("_secret_uid"), F.col("spans").alias("_secret_spans"))
+    dirty, spans = whole.where("_secret_n > 0").join(found, "_secret_uid", "left"), F.col("_secret_spans")
+    dirty = dirty.withColumn(text, F.when(spans.isNotNull(), redacted(F.col(text), spans)).otherwise(F.col(text)))
     if n_chars in columns:
-        dirty = dirty.withColumn(n_chars, F.when(F.col("_spans").isNotNull(), F.char_length(text).cast("long")).otherwise(F.col(n_chars)))
+        dirty = dirty.withColumn(n_chars, F.when(spans.isNotNull(), F.char_length(text).cast("long")).otherwise(F.col(n_chars)))
     return clean.unionByName(dirty.select(*columns))

@@ -13,7 +13,7 @@ from arraytide.llm.queries import graded, table, tokenizer
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal classifier expects to be of the highest grade."""
-    return quality.selected(docs, graded(spark, sf_dir)).select(*docs.columns)
+    return quality.selected(docs, graded(spark, sf_dir), names=("_grade", "_tails")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
