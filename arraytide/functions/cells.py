@@ -43,6 +43,11 @@ def is_assumed(c: Column) -> Column:
     return F.lower(F.coalesce(c.cast("string"), F.lit(""))).startswith(ASSUME)
 
 
+def after_assume(s: Column) -> Column:
+    """What follows the prefix of an assumed cell, whole."""
+    return F.right(s, F.char_length(s) - len(ASSUME))
+
+
 def _number(s: Column) -> Column:
     v = s.try_cast("double")
     return F.when(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")), v)
@@ -52,7 +57,7 @@ def length(c: Column) -> Column:
     """An arm length: struct(value, state) with state value, assume or missing."""
     s = text(c)
     assumed = low(c).startswith(ASSUME)
-    v = F.when(assumed, _number(F.trim(F.substring(s, len(ASSUME) + 1, 1000)))).otherwise(_number(s))
+    v = F.when(assumed, _number(F.trim(after_assume(s)))).otherwise(_number(s))
     return F.struct(v.alias("value"),
                     F.when(assumed, "assume").when(v.isNull(), "missing").otherwise("value").alias("state"))
 
@@ -72,7 +77,7 @@ def yes_no(c: Column) -> Column:
 def number(c: Column, default: float) -> Column:
     """A numeric decision; `assume:` is read through, unreadable gives the default and undecided."""
     s = low(c)
-    s = F.when(s.startswith(ASSUME), F.trim(F.substring(s, len(ASSUME) + 1, 1000))).otherwise(s)
+    s = F.when(s.startswith(ASSUME), F.trim(after_assume(s))).otherwise(s)
     v = F.when(~s.isin(*NOTHING_WORDS), _number(s))
     return F.struct(F.coalesce(v, F.lit(float(default))).alias("value"), v.isNotNull().alias("decided"))
 

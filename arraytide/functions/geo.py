@@ -37,8 +37,3 @@ def padded_box(lat: str, lon: str, fraction: float = 0.08, at_least: float = 0.2
         return F.greatest(F.lit(fraction) * (F.max(c) - F.min(c)), F.lit(at_least))
     return [(F.min(lon) - pad(lon)).alias("lon_min"), (F.max(lon) + pad(lon)).alias("lon_max"),
             (F.min(lat) - pad(lat)).alias("lat_min"), (F.max(lat) + pad(lat)).alias("lat_max")]
-
-
-def first_failure(*tests: tuple[Column, Column]) -> Column:
-    """The reason of the first test that holds, '' where none does."""
-    return reduce(lambda acc, t: F.when(t[0], t[1]).otherwise(acc), reversed(tests), F.lit(""))

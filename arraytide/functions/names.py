@@ -5,8 +5,6 @@ from pyspark.sql import Column, functions as F
 
 # fixed values
 KINDS = ("single", "remote", "stack", "obs", "stack_obs")
-KIND_WORD = {"single": "single station", "remote": "remote site", "stack": "fleet stack", "obs": "observatory",
-             "stack_obs": "stack + observatory"}
 SELECTION_TAGS = ("whole", "stretch", "control")
 SCRIPT_EXTENSIONS = ("bat", "lnk", "txt~", "db")
 ROLLOVER_DAYS = 7168

@@ -41,11 +41,6 @@ def densify(samples: DataFrame, keys: list[str], pos: str, values: list[str], sp
     return full.join(samples.select(*keys, pos, *values), [*keys, pos], "left")
 
 
-def nan_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
-    """NaN means missing in the logger files and poisons every aggregate in Spark: NULL from the source on."""
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in cols})
-
-
 def reconcile(rows: DataFrame, keys: list[str], pos: str, in_axis: Column | None = None) -> DataFrame:
     """What was read, placed, written twice or fell outside the axis, with the PASS / FAIL verdict.
 
@@ -62,15 +57,6 @@ def reconcile(rows: DataFrame, keys: list[str], pos: str, in_axis: Column | None
     return out.withColumn("verdict", F.when(good, "PASS").otherwise("FAIL"))
 
 
-def reconcile_files(per_channel: DataFrame, keys: list[str]) -> DataFrame:
-    """Verdict per channel and for the whole record from placement counts: every channel has to pass."""
-    good = ((F.col("samples_placed") == F.col("samples_read")) & (F.col("overlap_samples") == 0)
-            & (F.col("files_read") == F.col("files_found")) & (F.col("files_unplaced") == 0))
-    return (per_channel.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("channels"), F.count_if(~good).alias("bad"), F.bool_and(good).alias("ok"))
-            .withColumn("verdict", F.when(F.col("ok"), "PASS").otherwise("FAIL")))
-
-
 def on_grid(target: DataFrame, source: DataFrame, keys: list[str], pos: str, values: list[str],
             offset: Column | int = 0) -> DataFrame:
     """A source record on another record's axis at the same rate, NULL outside the overlap."""

@@ -108,9 +108,3 @@ def fleet_weights(pairs: DataFrame, pool: DataFrame, min_chunks: int = 3) -> Dat
         F.explode(F.array("a", "b")).alias("site"), "coh")
     w = group_percentiles(ends, ["site"], "coh", {"weight": 0.5})
     return pool.select("site").join(w, "site", "left").select("site", F.round("weight", 4).alias("weight"))
-
-
-def same_pool(held: DataFrame, pool: DataFrame) -> bool:
-    """A stored weight table answers for a pool only where its stations are that pool."""
-    a, b = held.select("site"), pool.select("site")
-    return a.exceptAll(b).union(b.exceptAll(a)).isEmpty()

@@ -2,10 +2,9 @@
 
 Spark's `percentile` keeps a value -> count map of the whole group in one reducer. That is the right plan for
 groups that are bounded by construction (a day of one channel, the periods of one curve) and the wrong one for
-a group that may hold a third of all rows, such as every sample of one station. Two forms for those:
+a group that may hold a third of all rows, such as every sample of one station.
 
-`group_percentiles` brackets a percentile with a sketch and resolves it exactly inside the bracket. `value_ranks`
-gives the rank of every value without holding a group in one task:
+`value_ranks` gives the rank of every value without holding a group in one task; percentiles and medians are read off it:
 
     1  collapse to distinct (key, value) with a count: ties merge before any shuffle by key
     2  cut every key's values into buckets at sketch quantiles (bounded, mergeable state)
@@ -17,9 +16,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ACCURACY = 10_000
-SMALL = 2_000          # a group this small is resolved whole
-MEDIUM = 2_000_000     # up to here the wide bracket of 1 / 1000 either side is used
 BUCKETS = 256
 
 
@@ -41,42 +37,19 @@ def value_ranks(df: DataFrame, keys: list[str], value: str, buckets: int = BUCKE
             .select(*keys, F.col("_v").alias(value), "lo", "hi", "n"))
 
 
-def group_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], accuracy: int = ACCURACY) -> DataFrame:
-    """{name: p} interpolated percentiles of `value` per group, exact whatever the size of the group.
+def group_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], buckets: int = BUCKETS) -> DataFrame:
+    """{name: p} interpolated percentiles of `value` per group: the values at the two ranks beside p (n - 1), by `value_ranks`.
 
-    A first pass brackets each percentile with a sketch, whose state is bounded and whose rank error is known.
-    The second pass counts what lies below the bracket and keeps only the values strictly inside it: about
-    4 / accuracy of a large group, all of a small one. Ties with an end of the bracket are counted, never kept.
+    One plan for every size of group. No group is gathered, and the ranks are counted, never estimated.
     """
-    d = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    wide, narrow = 1e-3, 2.0 / accuracy
-    clip = lambda p: min(1.0, max(0.0, p))
-    cuts = [clip(p + w) for p in probs.values() for w in (-wide, wide, -narrow, narrow)]
-    b = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", cuts, accuracy).alias("_q"))
-    ends = []
-    for k, name in enumerate(probs):
-        def end(off: int, inf: str) -> Column:
-            return (F.when(F.col("_n") <= SMALL, F.lit(float(inf))).when(F.col("_n") <= MEDIUM, F.col("_q")[4 * k + off])
-                    .otherwise(F.col("_q")[4 * k + 2 + off]))
-        ends += [end(0, "-inf").alias(f"_l_{name}"), end(1, "inf").alias(f"_h_{name}")]
-    j = d.join(b.select(*keys, "_n", *ends), keys)
-    v, aggs = F.col("_v"), [F.max("_n").alias("_n")]
-    for name in probs:
-        lo, hi = F.col(f"_l_{name}"), F.col(f"_h_{name}")
-        aggs += [F.count_if(v <= lo).alias(f"_c_{name}"), F.max(lo).alias(f"_l_{name}"), F.max(hi).alias(f"_h_{name}"),
-                 F.sort_array(F.collect_list(F.when((v > lo) & (v < hi), v))).alias(f"_i_{name}")]
-    g = j.groupBy(*keys).agg(*aggs)
-    out = []
-    for name, p in probs.items():
-        lo, hi, c, inside = (F.col(f"_{x}_{name}") for x in "lhci")
-        at = F.lit(float(p)) * (F.col("_n") - 1)
-
-        def stat(rank: Column) -> Column:
-            k = (rank - c).cast("int")
-            return F.when(k <= 0, lo).when(k <= F.size(inside), F.get(inside, k - 1)).otherwise(hi)
-        a, b2 = stat(F.floor(at) + 1), stat(F.ceil(at) + 1)
-        out.append((a + (at - F.floor(at)) * (b2 - a)).alias(name))
-    return g.select(*keys, *out)
+    ranks = value_ranks(df.select(*keys, F.col(value).cast("double").alias("_v")), keys, "_v", buckets)
+    at = {name: F.lit(float(p)) * (F.col("n") - 1) for name, p in probs.items()}
+
+    def stands(rank: Column, name: str) -> Column:
+        return F.max(F.when((F.col("lo") <= rank) & (F.col("hi") >= rank), F.col("_v"))).alias(name)
+
+    g = ranks.groupBy(*keys).agg(F.max("n").alias("n"), *[c for name, x in at.items() for c in (stands(F.floor(x) + 1, f"_a_{name}"), stands(F.ceil(x) + 1, f"_b_{name}"))])
+    return g.select(*keys, *[(F.col(f"_a_{name}") + (x - F.floor(x)) * (F.col(f"_b_{name}") - F.col(f"_a_{name}"))).alias(name) for name, x in at.items()])
 
 
 def group_mad(df: DataFrame, keys: list[str], value: str, scale: float = 1.4826) -> DataFrame:

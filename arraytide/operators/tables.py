@@ -116,15 +116,11 @@ def open_cells(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Per record the undecided and the assumed cells, each as one sorted line; complete records are left out."""
     und = F.array_compact(F.array(*[F.when(cells.is_decide(F.col(c)), F.lit(c)) for c in sorted(columns)]))
     asm = F.array_compact(F.array(*[F.when(cells.is_assumed(F.col(c)), F.concat(
-        F.lit(c + "="), F.substring(F.col(c), len(cells.ASSUME) + 1, 1000))) for c in sorted(columns)]))
+        F.lit(c + "="), cells.after_assume(F.col(c)))) for c in sorted(columns)]))
     return df.select(key, F.array_join(und, ", ").alias("undecided"), F.array_join(asm, ", ").alias("assumed")).where(
         (F.col("undecided") != "") | (F.col("assumed") != ""))
 
 
-def missing_columns(df: DataFrame, columns: list[str]) -> list[str]:
-    return [c for c in columns if c not in df.columns]
-
-
 def blank_decisions(sites: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """A decisions table with `decide` in every cell but the key."""
     return sites.select(key, *[F.lit(cells.DECIDE).alias(c) for c in columns])

@@ -293,3 +293,15 @@ def unspliced_unchanged(t):
 @query("first_delivered", "site:b kind:s comp:s first_period:d n_periods:b", "W20 A16", with_(TF) + "SELECT site, kind, comp, min(period) AS first_period, count(*) AS n_periods FROM tf GROUP BY ALL")
 def first_delivered(t):
     return splice.first_delivered(tf(t), ["site", "kind"])
+
+
+@query("tipper_on_periods", "site:b comp:s k:b re:d im:d err:d", "J15", with_(TF, f"""n AS (SELECT site, comp, log10(period) AS lx, re, im, err FROM tf WHERE kind = 'remote' AND rate_hz = 1),
+g AS (SELECT site, comp, k, CAST(log10(pow(10.0, k / 10.0)) AS DOUBLE) AS x FROM (SELECT DISTINCT site, comp FROM n), ({GRID_SQL})),
+j AS (SELECT g.*, a.lx AS ax, b.lx AS bx, a.re + coalesce((b.re - a.re) * (x - a.lx) / nullif(b.lx - a.lx, 0), 0) AS re, a.im + coalesce((b.im - a.im) * (x - a.lx) / nullif(b.lx - a.lx, 0), 0) AS im,
+  a.err + coalesce((b.err - a.err) * (x - a.lx) / nullif(b.lx - a.lx, 0), 0) AS err FROM g ASOF LEFT JOIN n a ON a.site = g.site AND a.comp = g.comp AND g.x >= a.lx ASOF LEFT JOIN n b ON b.site = g.site AND b.comp = g.comp AND g.x <= b.lx)""")
+       + "SELECT site, comp, k, CASE WHEN bx - ax <= 0.3 THEN re END AS re, CASE WHEN bx - ax <= 0.3 THEN im END AS im, CASE WHEN bx - ax <= 0.3 THEN err END AS err FROM j")
+def tipper_on_periods(t):
+    d = tf(t).where((F.col("kind") == "remote") & (F.col("rate_hz") == 1)).select("site", "comp", "period", "re", "im", "err")
+    k = F.explode(F.sequence(F.lit(5), F.lit(47)))
+    g = d.select("site", "comp").distinct().withColumn("k", k).withColumn("period", F.pow(F.lit(10.0), F.col("k") / 10.0))
+    return curves.tipper_on_periods(d, g, ["site"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import delivery, recording, references
-from .bind import EV, tf, with_
+from .bind import EV, REC, rec, tf, with_
 from .q_reference import B, ax, mb, wt
 from .q_sources import sample_lines
 from .registry import query
@@ -42,3 +42,10 @@ def delivered_rows(t):
 def common_grid(t):
     d = tf(t).where((F.col("kind") == "remote") & (F.col("rate_hz") == 1)).select("site", "comp", "period", "re", "im", "err")
     return delivery.common_grid(d, ["site"]).where(F.col("re").isNotNull())
+
+
+@query("build_remote", "target:b i:b x:d mask:z", "T2", with_(REC) + "SELECT site AS target, i, coalesce(CASE WHEN site % 2 = 0 THEN hx ELSE ex END, 0) AS x, CASE WHEN site % 2 = 0 THEN hx ELSE ex END IS NOT NULL AS mask FROM rec")
+def build_remote(t):
+    d = rec(t).select(F.col("site").alias("target"), "i", F.explode(F.map_from_arrays(F.array(F.lit("hx"), F.lit("ex")), F.array("hx", "ex"))).alias("member", "x"))
+    choice = d.select("target").distinct().withColumn("name", F.when(F.col("target") % 2 == 0, "hx").otherwise("ex"))
+    return references.build_remote(d, choice)

@@ -245,3 +245,36 @@ def parse_regimes(t):
     ab = F.concat(s(a), F.lit(":"), s(a + 3))
     cell = F.when(m == 0, ab).when(m == 1, F.concat(ab, F.lit(", "), s(a + 20), F.lit(":"))).when(m == 2, F.concat(F.lit(":"), s(a), F.lit(" x:y"))).when(m == 3, F.concat(s(a + 20), F.lit(": junk"))).otherwise("decide")
     return t.orders.select(F.col("o_orderkey").alias("key"), F.explode(intervals.regimes(cell)).alias("r")).select("key", "r.*")
+
+
+# pairs of nations whose keys are at most four apart, with two coherences from account sums
+LC = """pr AS (SELECT a.n_nationkey AS a, b.n_nationkey AS b, ((a.n_nationkey * b.n_nationkey + a.n_nationkey + b.n_nationkey) % 97) / 97.0 AS coh_hx, ((a.n_nationkey + b.n_nationkey) * 31 % 89) / 89.0 AS coh_hy
+  FROM nation a, nation b WHERE a.n_nationkey <> b.n_nationkey AND abs(a.n_nationkey - b.n_nationkey) <= 4),
+nr AS (SELECT a AS site, b AS candidate, abs(a - b) * 100.0 AS km, (a * 7 + b) % 21 / 20.0 AS coverage FROM pr)"""
+
+
+def lender_pairs(t):
+    k = F.col("n_nationkey").cast("bigint")
+    d = t.nation.select(k.alias("a"), F.explode(F.array(*[k + s for s in (-4, -3, -2, -1, 1, 2, 3, 4)])).alias("b"))
+    d = d.join(t.nation.select(k.alias("b")), "b")
+    a, b = F.col("a"), F.col("b")
+    return d.select("a", "b", ((a * b + a + b) % 97 / 97.0).alias("coh_hx"), ((a + b) * 31 % 89 / 89.0).alias("coh_hy"))
+
+
+@query("lender_candidates", "site:b candidate:b km:d third:b worst_channel:s donor_sound:z rule_fires:z covers:z", "J19", with_(LC, """th AS (SELECT n.site, n.candidate, p.b AS third, p.coh_hx, p.coh_hy FROM nr n JOIN nr m ON m.site = n.site AND m.candidate <> n.candidate JOIN pr p ON p.a = n.candidate AND p.b = m.candidate
+  QUALIFY row_number() OVER (PARTITION BY n.site, n.candidate ORDER BY round(least(p.coh_hx, p.coh_hy), 12) DESC, p.b DESC) = 1),
+j AS (SELECT n.*, o.coh_hx AS ox, o.coh_hy AS oy, third, th.coh_hx AS tx, th.coh_hy AS ty, CASE WHEN o.coh_hx < o.coh_hy THEN 'hx' ELSE 'hy' END AS worst_channel FROM nr n JOIN pr o ON o.a = n.site AND o.b = n.candidate LEFT JOIN th ON th.site = n.site AND th.candidate = n.candidate)""") + """
+SELECT site, candidate, km, third, worst_channel, coalesce(CASE worst_channel WHEN 'hx' THEN tx ELSE ty END >= 0.8, false) AS donor_sound,
+  coalesce(least(ox, oy) < 0.5 AND least(ox, oy) < 0.7 * greatest(ox, oy) AND CASE worst_channel WHEN 'hx' THEN tx ELSE ty END >= 0.8, false) AS rule_fires, coverage >= 0.95 AS covers FROM j""")
+def lender_candidates(t):
+    p = lender_pairs(t)
+    near = p.select(F.col("a").alias("site"), F.col("b").alias("candidate"), (F.abs(F.col("a") - F.col("b")) * 100.0).alias("km"), ((F.col("a") * 7 + F.col("b")) % 21 / 20.0).alias("coverage"))
+    return site.lender_candidates(p, near)
+
+
+@query("tipper_refusal", "site:b coh_own:d refused:z reason:s", "J20", """WITH c AS (SELECT o_custkey AS site, max(o_orderkey % 101) / 100.0 AS hz_hx, min(o_orderkey % 53 + 40) / 92.0 AS hz_hy, min(o_orderkey % 37) / 36.0 AS hz_neighbour FROM orders GROUP BY 1)
+SELECT site, greatest(hz_hx, hz_hy) AS coh_own, hz_hx >= 0.99 OR (greatest(hz_hx, hz_hy) >= 0.95 AND hz_neighbour < 0.1) AS refused, concat_ws('; ', CASE WHEN hz_hx >= 0.99 THEN 'a copy' END, CASE WHEN greatest(hz_hx, hz_hy) >= 0.95 AND hz_neighbour < 0.1 THEN 'a leak' END) AS reason FROM c""")
+def tipper_refusal(t):
+    k = F.col("o_orderkey")
+    c = t.orders.groupBy(F.col("o_custkey").alias("site")).agg((F.max(k % 101) / 100.0).alias("hz_hx"), (F.min(k % 53 + 40) / 92.0).alias("hz_hy"), (F.min(k % 37) / 36.0).alias("hz_neighbour"))
+    return site.tipper_refusal(c)

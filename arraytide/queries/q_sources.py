@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, names
 from ..sources import files, observatory, survey
+from ..streaming import landing, quality
 from .bind import EV, ev, with_
 from .q_register import km_sql
 from .registry import query
@@ -224,3 +225,30 @@ def union_responses(t):
     def part(s, tag):
         return t.orders.where(F.col("o_orderstatus") == s).groupBy(F.col("o_custkey").alias("site"), F.col("o_orderpriority").alias("run")).agg(F.count(F.lit(1)).alias("n")).withColumn("src", F.lit(tag))
     return survey.all_responses(part("F", "ledger"), part("O", "forms"), part("P", "stray"), ["site", "run"])
+
+
+@query("day_files", "path:s n:b first_ts:b last_ts:b refused:z short:z", "S4", with_(EV) + """SELECT 'd' || site AS path, count(*) AS n, min(sec) AS first_ts, max(sec) AS last_ts,
+  coalesce(abs((count(*) - 1.0) / nullif(max(sec) - min(sec), 0) - 1) > 1e-6, false) AS refused, count(*) <> 86400 AS short FROM (SELECT DISTINCT site, sec FROM ev) GROUP BY site""")
+def day_files(t):
+    return files.day_file_report(ev(t).select(F.concat(F.lit("d"), F.col("site").cast("string")).alias("path"), F.col("sec").alias("ts")).distinct())
+
+
+@query("default_length", "instrument:s metres:d", "S15", "SELECT p_brand AS instrument, CASE WHEN p_brand LIKE '%1' THEN 50.0 ELSE max(p_size) END AS metres FROM part GROUP BY p_brand")
+def default_length(t):
+    own = t.part.groupBy(F.col("p_brand").alias("instrument")).agg(F.max("p_size").cast("double").alias("value"))
+    return survey.default_length(own, F.when(F.col("instrument").endswith("1"), F.lit(50.0)))
+
+
+@query("overlap_counter", "site:b hour:b samples_read:b positions:b overlaps:b", "R1", with_(EV) + """SELECT site, sec // 3600 AS hour, sum(n) AS samples_read, count(*) AS positions, sum(n) - count(*) AS overlaps
+  FROM (SELECT site, sec, count(*) AS n FROM ev GROUP BY ALL) GROUP BY ALL""")
+def overlap_counter(t):
+    d = ev(t).select("site", F.timestamp_seconds("sec").alias("ts"))
+    return landing.overlap_counter(d, "ts", ["site"]).select("site", F.floor(F.unix_timestamp("window.start") / 3600).alias("hour"), "samples_read", "positions", "overlaps")
+
+
+@query("sliding_correlation", "site:b t0:b r2:d n:b", "R3", with_(EV) + """SELECT site, w * 1800 AS t0, pow(covar_pop(value, k), 2) / nullif(var_pop(value) * var_pop(k), 0) AS r2, count(*) AS n
+  FROM (SELECT site, value, k, unnest([sec // 1800, sec // 1800 - 1]) AS w FROM ev) GROUP BY ALL""")
+def sliding_correlation(t):
+    d = ev(t).select("site", F.timestamp_seconds("sec").alias("ts"), "value", "k")
+    g = quality.sliding_correlation(d, "ts", ["site"], "value", "k")
+    return g.select("site", F.unix_timestamp("t_start").alias("t0"), "r2", "n")

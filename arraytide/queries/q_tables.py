@@ -5,6 +5,7 @@ from pyspark.sql import Window, functions as F
 
 from ..functions import cells, names
 from ..operators import tables
+from ..sources import survey
 from .registry import query
 
 # one text cell per order: undecided, assumed, blank or a value
@@ -257,3 +258,28 @@ def pool_thresholds(t):
 def read_choices(t):
     d = t.customer.select(F.col("c_custkey").alias("site"), F.when(F.col("c_mktsegment") == "MACHINERY", " Analyst").otherwise(F.col("c_mktsegment")).alias("chosen_by"))
     return tables.read_choices(d, ["site", "chosen_by", "note"])
+
+
+@query("widen_append", "site:b run:s seq:b price:d note:s", "K6", f"""WITH {LED} SELECT site, run, seq, price, NULL AS note FROM led WHERE made
+  UNION ALL SELECT site, run, seq, NULL, 'stray ' || run FROM led WHERE NOT made""")
+def widen_append(t):
+    d = led(t)
+    rows = d.where(~F.col("made")).select("site", "run", "seq", F.concat(F.lit("stray "), "run").alias("note"))
+    return tables.widen_append(d.where("made").select("site", "run", "seq", "price"), rows)
+
+
+@query("with_schema", "site:b run:s rmse:s", "K15", f"WITH {LED} SELECT site, run, NULL AS rmse FROM led WHERE made")
+def with_schema(t):
+    return tables.with_schema(led(t).where("made"), ["site", "run", "rmse"])
+
+
+@query("to_build", "site:b run:s", "K1", f"""WITH {LED} SELECT DISTINCT site, run FROM led l WHERE NOT EXISTS (SELECT 1 FROM led m WHERE m.made AND m.site = l.site AND m.run = l.run)""")
+def to_build(t):
+    d = led(t)
+    return survey.to_build(d.select("site", "run").distinct(), d.where("made"), ["site", "run"])
+
+
+@query("unledgered", "path:s", "S18", f"""WITH {LED} SELECT DISTINCT site || '/' || run AS path FROM led WHERE site || '/' || run NOT IN (SELECT site || '/' || run FROM led WHERE made)""")
+def unledgered(t):
+    d = led(t).select(F.concat_ws("/", F.col("site").cast("string"), "run").alias("path"), "made")
+    return survey.unledgered(d.select("path").distinct(), d.where("made"))

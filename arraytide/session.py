@@ -40,6 +40,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return named
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     fresh = tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(fresh)
     return fresh

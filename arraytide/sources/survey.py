@@ -1,8 +1,6 @@
 """Survey tables as text, comparison tables, arm lengths, records and the response ledger."""
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import names
@@ -11,12 +9,18 @@ from ..functions import names
 def read_text_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A CSV with every column text, an empty cell '' and not NULL; a missing file is an empty table."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    if "://" not in path and not os.path.exists(path):
+    if not on_store(spark, path):
         return spark.createDataFrame([], schema)
     d = spark.read.option("header", True).option("inferSchema", False).option("emptyValue", "").option("nullValue", "\u0000").csv(path)
     return d.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in d.columns])
 
 
+def on_store(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there on the file system that the session reads it from."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def is_stub(table: DataFrame) -> bool:
     """A header and no row."""
     return table.isEmpty()
@@ -47,9 +51,16 @@ def default_length(per_instrument: DataFrame, survey_default: Column | None, ins
     return per_instrument.select(instrument, F.coalesce(survey_default, own).alias("metres") if survey_default is not None else own.alias("metres"))
 
 
+def with_text_partitions(spark: SparkSession, root: str, text: list[str]) -> DataFrame:
+    """A partitioned table whose named partition columns stay text: '007' is not the number 7."""
+    found = spark.read.parquet(root).schema
+    typed = T.StructType([T.StructField(f.name, T.StringType() if f.name in text else f.dataType) for f in found])
+    return spark.read.schema(typed).parquet(root)
+
+
 def read_record(spark: SparkSession, root: str, rate_hz: int, sites: list[str] | None = None, channels: list[str] | None = None) -> DataFrame:
     """A record from the partitioned store: station and rate prune partitions, the channel list prunes columns."""
-    d = spark.read.parquet(root).where(F.col("rate_hz") == rate_hz)
+    d = with_text_partitions(spark, root, ["site"]).where(F.col("rate_hz") == rate_hz)
     d = d if sites is None else d.where(F.col("site").isin(*sites))
     return d if channels is None else d.select("site", "rate_hz", "i", *channels)
 

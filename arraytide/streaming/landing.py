@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import axis
 from ..operators.blocks import block_of
+from ..sources.survey import on_store
 
 HOUR = 3600
 
@@ -27,13 +28,12 @@ def land(stream: DataFrame, root: str, checkpoint: str, keys: list[str], pos: st
         spark = batch.sparkSession
         new = batch.select(*cols).withColumn("part", block_of(pos, partition))
         touched = new.select(*keys, "part").distinct()
-        try:
-            held = spark.read.parquet(root).select(*cols, "part").join(touched, [*keys, "part"], "left_semi")
-            both = held.unionByName(new)
-        except Exception as exc:
-            if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-                raise
-            both = new
+        both = new
+        if on_store(spark, root):
+            # the batch's own types: a key such as '007' stays text; the span of its parts prunes folders
+            span = touched.agg(F.min("part").alias("lo"), F.max("part").alias("hi")).first()
+            held = spark.read.schema(new.schema).parquet(root).where(F.col("part").between(span["lo"], span["hi"])) if span["lo"] is not None else new.limit(0)
+            both = held.select(*cols, "part").join(touched, [*keys, "part"], "left_semi").unionByName(new)
         placed = axis.place(both, [*keys, "part"], pos, [*values, *order], order).drop("n_read")
         staged = f"{checkpoint}/staged/{batch_id}"
         placed.write.mode("overwrite").parquet(staged)
@@ -45,6 +45,10 @@ def land(stream: DataFrame, root: str, checkpoint: str, keys: list[str], pos: st
 
 
 def overlap_counter(stream: DataFrame, ts: str, keys: list[str], lateness: str = "1 hour", window: str = "1 hour") -> DataFrame:
-    """Samples and distinct-position overlaps per station and hour; rows later than the watermark go to batch repair."""
-    return (stream.withWatermark(ts, lateness).groupBy(F.window(ts, window), *keys)
-            .agg(F.count(F.lit(1)).alias("samples_read"), F.approx_count_distinct(F.col(ts)).alias("positions")))
+    """Samples, positions and overlaps per station and hour, counted exactly: first per position, then per window.
+
+    Rows later than the watermark go to batch repair.
+    """
+    per = stream.withWatermark(ts, lateness).groupBy(F.window(ts, window).alias("window"), *keys, F.unix_micros(ts).alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    both = per.groupBy("window", *keys).agg(F.sum("_n").alias("samples_read"), F.count(F.lit(1)).alias("positions"))
+    return both.withColumn("overlaps", F.col("samples_read") - F.col("positions"))

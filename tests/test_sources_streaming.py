@@ -53,6 +53,14 @@ def test_record_store_replaces_only_its_partitions(spark, tmp_path):
     assert got == {"A": 1.0, "B": 3.0}
 
 
+def test_station_ids_stay_text_in_the_store(spark, tmp_path):
+    root = str(tmp_path / "rec")
+    rows = spark.createDataFrame([(s, 1, i, float(i)) for s in ("007", "7", "1e3") for i in range(3)], "site string, rate_hz int, i long, hx double")
+    survey.write_record(rows, root)
+    assert sorted(r.site for r in survey.read_record(spark, root, 1).select("site").distinct().collect()) == ["007", "1e3", "7"]
+    assert survey.read_record(spark, root, 1, ["007"]).count() == 3
+
+
 def test_year_file_is_rewritten_only_when_complete(spark, tmp_path):
     rows = spark.createDataFrame([(d * 86400,) for d in (0, 1, 3)], "sec long")
     cal = spark.range(4).withColumnRenamed("id", "day")
@@ -95,6 +103,22 @@ def test_landing_keeps_the_later_file(spark, tmp_path):
     assert got == {1: 1.0, 2: 9.0, 3700: 5.0}
 
 
+def test_landing_later_file_wins_for_ids_that_look_like_numbers(spark, tmp_path):
+    schema = "site string, i long, v double, f int"
+    pdf = pd.DataFrame([("007", 1, 1.0, 1), ("7", 1, 5.0, 1), ("007", 1, 9.0, 2), ("007", 2, 3.0, 2)], columns=["site", "i", "v", "f"])
+    st = source(spark, str(tmp_path / "in"), pdf, schema, 2)
+    landing.land(st, str(tmp_path / "out"), str(tmp_path / "ck"), ["site"], "i", ["v"], ["f"]).awaitTermination(120)
+    out = survey.with_text_partitions(spark, str(tmp_path / "out"), ["site"])
+    assert {(r.site, r.i): r.v for r in out.collect()} == {("007", 1): 9.0, ("7", 1): 5.0, ("007", 2): 3.0}
+
+
+def test_overlaps_are_counted_exactly(spark, tmp_path):
+    t = pd.to_datetime("2024-01-01") + pd.to_timedelta([*range(0, 3000, 3), *range(0, 300, 3), 90000], unit="s")
+    st = source(spark, str(tmp_path / "in"), pd.DataFrame({"ts": t, "site": "A"}), "ts timestamp, site string", 2000)
+    got = run(landing.overlap_counter(st, "ts", ["site"]), "overlaps").collect()
+    assert [(r.samples_read, r.positions, r.overlaps) for r in got] == [(1100, 1000, 100)]
+
+
 def run(df, name):
     q = df.writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(120)
