@@ -187,7 +187,7 @@ x AS (SELECT site, i, CASE WHEN pi IS NULL THEN nv WHEN ni IS NULL OR ni = pi TH
 rw AS (SELECT j, CASE WHEN j = 40 THEN 1.0 ELSE sin(pi() * (j - 40) / 4.0) / (pi() * (j - 40) / 4.0) END * (0.54 - 0.46 * cos(2 * pi() * j / 80.0)) AS w FROM (SELECT unnest(range(81)) AS j)),
 h AS (SELECT j, w / sum(w) OVER () AS h FROM rw),
 sl AS (SELECT site, unnest(range((min(i) + 3) // 4, (max(i) + 1) // 4)) AS slot FROM dax GROUP BY site),
-y AS (SELECT x.site, slot, sum(h * x) AS y FROM sl, h, x WHERE x.site = sl.site AND x.i = slot * 4 + j - 40 GROUP BY ALL),
+y AS (SELECT site, slot, sum(h * x) AS y FROM (SELECT site, i, x, unnest(range((i - 37) // 4, (i + 40) // 4 + 1)) AS slot FROM x) JOIN h ON j = i - slot * 4 + 40 GROUP BY ALL),
 c AS (SELECT site, i // 4 AS slot, count(hx) AS n FROM dax GROUP BY ALL)"""
 
 
