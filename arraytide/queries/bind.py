@@ -54,13 +54,13 @@ def sc(t) -> DataFrame:
 
 # ---------------------------------------------------------------- lineitem as a daily five-channel record
 
-REC = """rec AS (SELECT s_nationkey AS site, epoch_us(l_shipdate) // 86400000000 AS i,
+REC = """rec AS MATERIALIZED (SELECT s_nationkey AS site, epoch_us(l_shipdate) // 86400000000 AS i,
   CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS hx, CAST(sum(l_linenumber) AS DOUBLE) AS hy,
   CAST(count(*) AS DOUBLE) AS hz, sum(CAST(round(l_discount * 100) AS BIGINT)) / 100.0 AS ex,
   sum(CAST(round(l_tax * 100) AS BIGINT)) / 100.0 AS ey
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)"""
 
-DAX = """dax AS (SELECT b.site, b.i, r.hx, r.hy, r.hz, r.ex, r.ey FROM
+DAX = """dax AS MATERIALIZED (SELECT b.site, b.i, r.hx, r.hy, r.hz, r.ex, r.ey FROM
   (SELECT site, unnest(generate_series(min(i), max(i))) AS i FROM rec GROUP BY site) b
   LEFT JOIN rec r ON r.site = b.site AND r.i = b.i)"""
 

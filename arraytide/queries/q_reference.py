@@ -79,7 +79,7 @@ def decimation_blanks(t):
 
 MB = """rx AS (SELECT n_regionkey AS target, rec.* FROM rec JOIN nation ON n_nationkey = site),
 ax AS (SELECT target, min(i) AS t0, max(i) - min(i) + 1 AS n FROM rx GROUP BY target),
-mb AS (SELECT a.target, m.member, a.i, rx.hx AS x FROM (SELECT target, unnest(generate_series(t0, t0 + n - 1)) AS i FROM ax) a
+mb AS MATERIALIZED (SELECT a.target, m.member, a.i, rx.hx AS x FROM (SELECT target, unnest(generate_series(t0, t0 + n - 1)) AS i FROM ax) a
   JOIN (SELECT DISTINCT target, site AS member FROM rx) m ON m.target = a.target LEFT JOIN rx ON rx.site = m.member AND rx.i = a.i)"""
 
 
@@ -94,7 +94,7 @@ def mb(t):
     return axis.densify(r, ["target", "member"], "i", ["x"], spans, block=DAY_BLOCK)
 
 
-SCR = """dd AS (SELECT *, x - lag(x) OVER (PARTITION BY member ORDER BY i) AS d FROM mb),
+SCR = """dd AS MATERIALIZED (SELECT *, x - lag(x) OVER (PARTITION BY member ORDER BY i) AS d FROM mb),
 de AS (SELECT *, count(d) OVER w AS nfin, median(d) OVER w AS med, sum(abs(d)) OVER w AS abs_sum FROM dd WINDOW w AS (PARTITION BY target, i)),
 df AS (SELECT *, CASE WHEN nfin >= 3 THEN d - med END AS r FROM de),
 m3 AS (SELECT member, median(r) AS c3, median(d) AS c2 FROM df GROUP BY member),
