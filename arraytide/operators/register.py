@@ -62,6 +62,14 @@ def core_groups(spans: DataFrame, peak_days: DataFrame, half_days: int = HALF_DA
     return g.withColumn("days", block_of(F.col("common_end") - F.col("common_start"), DAY))
 
 
+def named_overlaps(pairs: DataFrame, spans: DataFrame, site: str = "site", start: str = "t_start", end: str = "t_end") -> DataFrame:
+    """Days of overlap of the named pairs (a, b) that overlap: no other pair is made."""
+    s = lambda n: spans.select(F.col(site).alias(n), F.col(start).alias(n + "0"), F.col(end).alias(n + "1"))
+    j = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(s("a"), "a").join(s("b"), "b")
+    sec = F.least("a1", "b1") - F.greatest("a0", "b0")
+    return j.where(sec > 0).select("a", "b", F.round(sec / float(DAY), 2).alias("overlap_days"))
+
+
 def overlap_pairs(spans: DataFrame, site: str = "site", start: str = "t_start", end: str = "t_end",
                   cell_days: int = 64) -> DataFrame:
     """Days of overlap of every pair of stations that overlap, rounded to 2 decimals.

@@ -154,26 +154,35 @@ def asof_nearest(t):
 GRID_SQL = "SELECT unnest(generate_series(5, 47)) AS k"
 
 
-@query("interp_join", "site:b comp:s k:b re:d im:d err:d", "J15 W18 M8", with_(TF, f"""n0 AS (SELECT site, comp, log10(period) AS lx, log10(sqrt(re * re + im * im)) AS mag, atan2(im, re) AS ang, log10(err) AS le FROM tf WHERE kind = 'remote' AND rate_hz = 1),
-n1 AS (SELECT *, ang - lag(ang) OVER (PARTITION BY site, comp ORDER BY lx) AS d FROM n0),
-n AS (SELECT *, ang - 2 * pi() * sum(coalesce(round(d / (2 * pi())), 0)) OVER (PARTITION BY site, comp ORDER BY lx) AS ph FROM n1),
-g AS (SELECT site, comp, k, CAST(log10(pow(10.0, k / 10.0)) AS DOUBLE) AS x FROM (SELECT DISTINCT site, comp FROM n), ({GRID_SQL})),
+CV = "site, kind, rate_hz, comp"
+SAME = lambda n: " AND ".join(f"g.{c} = {n}.{c}" for c in CV.split(", "))
+
+
+def on_grid(t):
+    """Every curve of every station, kind and rate, and the ten-per-decade periods that it may be asked for."""
+    d = tf(t).select("site", "kind", "rate_hz", "comp", "period", "re", "im", "err")
+    g = d.select("site", "kind", "rate_hz", "comp").distinct().withColumn("k", F.explode(F.sequence(F.lit(5), F.lit(47))))
+    return d, g.withColumn("period", F.pow(F.lit(10.0), F.col("k") / 10.0))
+
+
+@query("interp_join", "site:b kind:s rate_hz:d comp:s k:b re:d im:d err:d", "J15 W18 M8", with_(TF, f"""n0 AS (SELECT {CV}, log10(period) AS lx, log10(sqrt(re * re + im * im)) AS mag, atan2(im, re) AS ang, log10(err) AS le FROM tf),
+n1 AS (SELECT *, ang - lag(ang) OVER (PARTITION BY {CV} ORDER BY lx) AS d FROM n0),
+n AS (SELECT *, ang - 2 * pi() * sum(coalesce(round(d / (2 * pi())), 0)) OVER (PARTITION BY {CV} ORDER BY lx) AS ph FROM n1),
+g AS (SELECT {CV}, k, CAST(log10(pow(10.0, k / 10.0)) AS DOUBLE) AS x FROM (SELECT DISTINCT {CV} FROM n), ({GRID_SQL})),
 j AS (SELECT g.*, a.lx AS ax, b.lx AS bx, a.mag + coalesce((b.mag - a.mag) * (x - a.lx) / nullif(b.lx - a.lx, 0), 0) AS m, a.ph + coalesce((b.ph - a.ph) * (x - a.lx) / nullif(b.lx - a.lx, 0), 0) AS p,
-  a.le + coalesce((b.le - a.le) * (x - a.lx) / nullif(b.lx - a.lx, 0), 0) AS e FROM g ASOF LEFT JOIN n a ON a.site = g.site AND a.comp = g.comp AND g.x >= a.lx ASOF LEFT JOIN n b ON b.site = g.site AND b.comp = g.comp AND g.x <= b.lx)""")
-       + "SELECT site, comp, k, pow(10, m) * cos(p) AS re, pow(10, m) * sin(p) AS im, pow(10, e) AS err FROM (SELECT site, comp, k, CASE WHEN ax IS NOT NULL AND bx - ax <= 0.3 THEN m END AS m, CASE WHEN bx - ax <= 0.3 THEN p END AS p, CASE WHEN bx - ax <= 0.3 THEN e END AS e FROM j)")
+  a.le + coalesce((b.le - a.le) * (x - a.lx) / nullif(b.lx - a.lx, 0), 0) AS e FROM g ASOF LEFT JOIN n a ON {SAME("a")} AND g.x >= a.lx ASOF LEFT JOIN n b ON {SAME("b")} AND g.x <= b.lx)""")
+       + f"SELECT {CV}, k, pow(10, m) * cos(p) AS re, pow(10, m) * sin(p) AS im, pow(10, e) AS err FROM (SELECT {CV}, k, CASE WHEN ax IS NOT NULL AND bx - ax <= 0.3 THEN m END AS m, CASE WHEN bx - ax <= 0.3 THEN p END AS p, CASE WHEN bx - ax <= 0.3 THEN e END AS e FROM j)")
 def interp_join(t):
-    d = tf(t).where((F.col("kind") == "remote") & (F.col("rate_hz") == 1)).select("site", "comp", "period", "re", "im", "err")
-    k = F.explode(F.sequence(F.lit(5), F.lit(47)))
-    g = d.select("site", "comp").distinct().withColumn("k", k).withColumn("period", F.pow(F.lit(10.0), F.col("k") / 10.0))
-    return curves.on_periods(d, g, ["site"])
+    return curves.on_periods(*on_grid(t), ["site", "kind", "rate_hz"])
 
 
-@query("trim_band", "site:b comp:s period:d re:d applied:z", "P17", with_(TF, """a AS (SELECT site, comp, period, re FROM tf WHERE kind = 'remote' AND rate_hz = 1), b AS (SELECT DISTINCT site, comp, CASE WHEN site % 4 = 0 THEN 1e6 WHEN comp = 'xy' THEN 20.0 ELSE 50.0 END AS lo,
-  CASE WHEN site % 4 = 0 THEN 1e7 ELSE 900.0 END AS hi FROM a), l AS (SELECT a.*, period BETWEEN lo AND hi AS live FROM a JOIN b USING (site, comp)), w AS (SELECT *, bool_or(live) OVER (PARTITION BY site) AS applied FROM l)""") + "SELECT site, comp, period, re, applied FROM w WHERE NOT applied OR live")
+@query("trim_band", "site:b kind:s rate_hz:d comp:s period:d re:d applied:z", "P17", with_(TF, f"""b AS (SELECT DISTINCT {CV}, CASE WHEN site % 4 = 0 THEN 1e6 WHEN comp = 'xy' THEN 20.0 ELSE 50.0 END AS lo,
+  CASE WHEN site % 4 = 0 THEN 1e7 ELSE 900.0 END AS hi FROM tf), l AS (SELECT {CV}, period, re, period BETWEEN lo AND hi AS live FROM tf JOIN b USING ({CV})), w AS (SELECT *, bool_or(live) OVER (PARTITION BY site, kind, rate_hz) AS applied FROM l)""")
+       + f"SELECT {CV}, period, re, applied FROM w WHERE NOT applied OR live")
 def trim_band(t):
-    d = tf(t).where((F.col("kind") == "remote") & (F.col("rate_hz") == 1)).select("site", "comp", "period", "re", "im", "err")
-    b = d.select("site", "comp").distinct().select("site", "comp", F.when(F.col("site") % 4 == 0, 1e6).when(F.col("comp") == "xy", 20.0).otherwise(50.0).alias("lo"), F.when(F.col("site") % 4 == 0, 1e7).otherwise(900.0).alias("hi"))
-    return curves.trim(d, ["site"], b)
+    d, k = tf(t).select("site", "kind", "rate_hz", "comp", "period", "re", "im", "err"), ["site", "kind", "rate_hz"]
+    b = d.select(*k, "comp").distinct().select(*k, "comp", F.when(F.col("site") % 4 == 0, 1e6).when(F.col("comp") == "xy", 20.0).otherwise(50.0).alias("lo"), F.when(F.col("site") % 4 == 0, 1e7).otherwise(900.0).alias("hi"))
+    return curves.trim(d, k, b)
 
 
 @query("merge_rows", "site:b comp:s period:d re:d kind:s", "J21", with_(TF) + "SELECT site, comp, period, re, kind FROM tf WHERE rate_hz = 1 AND ((comp = 'xy' AND kind = 'remote') OR (comp = 'yx' AND kind = 'stack'))")
@@ -295,13 +304,10 @@ def first_delivered(t):
     return splice.first_delivered(tf(t), ["site", "kind"])
 
 
-@query("tipper_on_periods", "site:b comp:s k:b re:d im:d err:d", "J15", with_(TF, f"""n AS (SELECT site, comp, log10(period) AS lx, re, im, err FROM tf WHERE kind = 'remote' AND rate_hz = 1),
-g AS (SELECT site, comp, k, CAST(log10(pow(10.0, k / 10.0)) AS DOUBLE) AS x FROM (SELECT DISTINCT site, comp FROM n), ({GRID_SQL})),
+@query("tipper_on_periods", "site:b kind:s rate_hz:d comp:s k:b re:d im:d err:d", "J15", with_(TF, f"""n AS (SELECT {CV}, log10(period) AS lx, re, im, err FROM tf),
+g AS (SELECT {CV}, k, CAST(log10(pow(10.0, k / 10.0)) AS DOUBLE) AS x FROM (SELECT DISTINCT {CV} FROM n), ({GRID_SQL})),
 j AS (SELECT g.*, a.lx AS ax, b.lx AS bx, a.re + coalesce((b.re - a.re) * (x - a.lx) / nullif(b.lx - a.lx, 0), 0) AS re, a.im + coalesce((b.im - a.im) * (x - a.lx) / nullif(b.lx - a.lx, 0), 0) AS im,
-  a.err + coalesce((b.err - a.err) * (x - a.lx) / nullif(b.lx - a.lx, 0), 0) AS err FROM g ASOF LEFT JOIN n a ON a.site = g.site AND a.comp = g.comp AND g.x >= a.lx ASOF LEFT JOIN n b ON b.site = g.site AND b.comp = g.comp AND g.x <= b.lx)""")
-       + "SELECT site, comp, k, CASE WHEN bx - ax <= 0.3 THEN re END AS re, CASE WHEN bx - ax <= 0.3 THEN im END AS im, CASE WHEN bx - ax <= 0.3 THEN err END AS err FROM j")
+  a.err + coalesce((b.err - a.err) * (x - a.lx) / nullif(b.lx - a.lx, 0), 0) AS err FROM g ASOF LEFT JOIN n a ON {SAME("a")} AND g.x >= a.lx ASOF LEFT JOIN n b ON {SAME("b")} AND g.x <= b.lx)""")
+       + f"SELECT {CV}, k, CASE WHEN bx - ax <= 0.3 THEN re END AS re, CASE WHEN bx - ax <= 0.3 THEN im END AS im, CASE WHEN bx - ax <= 0.3 THEN err END AS err FROM j")
 def tipper_on_periods(t):
-    d = tf(t).where((F.col("kind") == "remote") & (F.col("rate_hz") == 1)).select("site", "comp", "period", "re", "im", "err")
-    k = F.explode(F.sequence(F.lit(5), F.lit(47)))
-    g = d.select("site", "comp").distinct().withColumn("k", k).withColumn("period", F.pow(F.lit(10.0), F.col("k") / 10.0))
-    return curves.tipper_on_periods(d, g, ["site"])
+    return curves.tipper_on_periods(*on_grid(t), ["site", "kind", "rate_hz"])

@@ -38,10 +38,10 @@ def delivered_rows(t):
     return delivery.deliver(tf(t), ["site", "rate_hz", "comp"], "kind", "kind", slope_limit=1e9, held_bar=0.1)
 
 
-@query("common_grid", "site:b comp:s period:d re:d im:d", "J15 M8 K15")
+@query("common_grid", "site:b kind:s rate_hz:d comp:s period:d re:d im:d", "J15 M8 K15")
 def common_grid(t):
-    d = tf(t).where((F.col("kind") == "remote") & (F.col("rate_hz") == 1)).select("site", "comp", "period", "re", "im", "err")
-    return delivery.common_grid(d, ["site"]).where(F.col("re").isNotNull())
+    d = tf(t).select("site", "kind", "rate_hz", "comp", "period", "re", "im", "err")
+    return delivery.common_grid(d, ["site", "kind", "rate_hz"]).where(F.col("re").isNotNull())
 
 
 @query("build_remote", "target:b i:b x:d mask:z", "T2", with_(REC) + "SELECT site AS target, i, coalesce(CASE WHEN site % 2 = 0 THEN hx ELSE ex END, 0) AS x, CASE WHEN site % 2 = 0 THEN hx ELSE ex END IS NOT NULL AS mask FROM rec")
