@@ -6,7 +6,7 @@ lines, length), so a text of any length is scored in one pass. The model is fitt
 smallest hash of their id; nothing else is sampled.
 
 Defined results: a null text is empty and scored by its shape; labels with a null, and labels of unknown documents, are not used; of repeated
-labels the lowest grade holds; without labels of two grades there is no model and a ValueError says so; an empty table of documents gives no rows.
+labels the lowest grade holds; without labelled documents of two grades there is no model, and every document is selected with null scores; an empty table gives no rows.
 """
 from __future__ import annotations
 
@@ -136,7 +136,7 @@ def fit(idx: np.ndarray, at: np.ndarray, grade: np.ndarray, grades: int, bits: i
     return Model(bits, w.astype(np.float32), np.concatenate([gaps[:1], gaps[0] + np.cumsum(np.exp(gaps[1:]))]))
 
 
-def train(docs: DataFrame, graded: DataFrame, max_rows: int = 8_000, bits: int = 18, doc_id: str = "doc_id", text: str = "text", **how) -> Model:
+def train(docs: DataFrame, graded: DataFrame, max_rows: int = 8_000, bits: int = 18, doc_id: str = "doc_id", text: str = "text", **how) -> Model | None:
     """Fit on at most `max_rows` rows of `graded` (doc_id, grade from 0 up); the sample is a bounded table and is sent to the documents."""
     spark = docs.sparkSession
     grades = graded.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
@@ -156,7 +156,7 @@ def train(docs: DataFrame, graded: DataFrame, max_rows: int = 8_000, bits: int =
 
     rows = sample.mapInArrow(task, "doc_id long, grade int, idx binary").toPandas().drop_duplicates().sort_values(["doc_id", "idx"])
     if rows["grade"].nunique() < 2:
-        raise ValueError("the labelled documents hold fewer than two grades")
+        return None
     lists = [np.frombuffer(x, "<u4").astype(np.int64) for x in rows["idx"]]
     return fit(np.concatenate(lists), np.concatenate([[0], np.cumsum([len(x) for x in lists])]), rows["grade"].to_numpy(np.int64),
                int(rows["grade"].max()) + 1, bits, **how)
@@ -192,4 +192,7 @@ def grade_of(quality: str = "quality", toxic: str = "toxic") -> Column:
 
 def selected(docs: DataFrame, graded: DataFrame, least_tail: float = 0.5, names: tuple[str, str] = ("expected_grade", "tails"), **how) -> DataFrame:
     """The documents whose probability of the highest grade is at least `least_tail`, with expected grade and tails."""
-    return scored(docs, train(docs, graded, **how), names=names).where(F.element_at(names[1], -1) >= least_tail)
+    model = train(docs, graded, **how)
+    if model is None:
+        return docs.withColumns({names[0]: F.lit(None).cast("double"), names[1]: F.lit(None).cast("array<double>")})
+    return scored(docs, model, names=names).where(F.element_at(names[1], -1) >= least_tail)
