@@ -258,10 +258,16 @@ def merge_rows(base: DataFrame, x_from: DataFrame, y_from: DataFrame, keys: list
     return a.unionByName(b).unionByName(rest)
 
 
-def splice_period(points: DataFrame, keys: list[str], rho_tol: float = 0.05, phase_tol: float = 5.0, lo: float = 10.0, hi: float = 3000.0) -> DataFrame:
-    """The shortest period from which two curves agree and keep agreeing up to `hi`."""
+def splice_period(points: DataFrame, keys: list[str], rho_tol: float = 0.05, phase_tol: float = 5.0, lo: float = 10.0, hi: float = 3000.0,
+                  apart: Column | None = None, combined: Column | None = None, sigmas: float = 2.0) -> DataFrame:
+    """The shortest period from which two curves agree and keep agreeing up to `hi`.
+
+    The looser of two rules holds: both tolerances, or `apart` within `sigmas` times the `combined` deviation where there is one.
+    """
     d = points.where((F.col("period") >= lo) & (F.col("period") <= hi))
     close = (F.abs(F.col("ratio") - 1) <= rho_tol) & (F.abs("dphi") <= phase_tol)
+    if combined is not None:
+        close = close | F.coalesce((combined > 0) & (F.abs(apart) <= sigmas * combined), F.lit(False))
     w = Window.partitionBy(*keys).orderBy("period").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     d = d.withColumn("_c", close).withColumn("_all", F.min("_c").over(w))
     return d.groupBy(*keys).agg(F.min(F.when(F.col("_all"), F.col("period"))).alias("t_c"), F.count(F.lit(1)).alias("n_tested"),

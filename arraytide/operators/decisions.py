@@ -174,3 +174,11 @@ def line_summary(states: DataFrame, keys: list[str], lines: list[str], order: st
     g = d.groupBy(*keys).agg(*aggs, F.count_if(both).alias("both_sound"))
     n = F.greatest(F.lit(1), F.col("days_scored"))
     return g.withColumns({f"{x}_sound_frac": F.col(f"{x}_sound") / n for x in lines})
+
+
+def sign_prediction(table: DataFrame, key: str, ex: str = "sign_ex", ey: str = "sign_ey") -> DataFrame:
+    """(key, s_pred, undecided): the sign that the decided line signs predict, nothing where one of them is open."""
+    x, y = cells.sign(F.col(ex)), cells.sign(F.col(ey))
+    same = (x["value"] > 0) == (y["value"] > 0)
+    und = F.array_compact(F.array(F.when(~x["decided"], "Ex"), F.when(~y["decided"], "Ey")))
+    return table.select(key, F.when(F.size(und) == 0, F.when(same, 1.0).otherwise(-1.0)).alias("s_pred"), F.array_join(und, ", ").alias("undecided"))

@@ -109,3 +109,18 @@ def agreement_counts(pairs: DataFrame, by: list[str]) -> DataFrame:
     both = pairs.groupBy(*by, "a", "b").agg(F.bool_and("agrees").alias("_ok"))
     worst = pairs.groupBy(*by).agg(F.max_by("rho_ratio", F.struct(F.round(F.abs(F.log("rho_ratio")), 12), F.col("a"), F.col("b"))).alias("worst_rho_ratio"))
     return both.groupBy(*by).agg(F.count(F.lit(1)).alias("pairs"), F.count_if("_ok").alias("agreeing")).join(worst, by)
+
+
+def choice_in_force(targets: DataFrame, keys: list[str], choices: DataFrame, cell: str, rule: str, readings: DataFrame, name: str = "tf", bar: str = "bar") -> DataFrame:
+    """Whose choice stands for every target and the reading that it names: the analyst's row, then the cell, then the rule.
+
+    Columns: keys, name, chosen_by, bar (the smallest of several readings of that name), matched, departs (from the rule). `cell` and `rule`
+    are columns of `targets`; a name that picks out no reading stays, unmatched.
+    """
+    a = choices.where(F.lower("chosen_by") == "analyst").groupBy(*keys).agg(F.max(name).alias("_a"))
+    d = targets.join(a, keys, "left")
+    held = F.coalesce(F.trim(F.col(cell)), F.lit("")) != ""
+    d = d.select(*keys, F.coalesce("_a", F.when(held, F.col(cell)), F.col(rule)).alias(name),
+                 F.when(F.col("_a").isNotNull(), "analyst").when(held, "cell").otherwise("rule").alias("chosen_by"), F.col(rule).alias("_rule"))
+    r = readings.where("status = 'ok'").groupBy(*keys, name).agg(F.min(bar).alias(bar))
+    return d.join(r, [*keys, name], "left").select(*keys, name, "chosen_by", bar, F.col(bar).isNotNull().alias("matched"), (F.col(name) != F.col("_rule")).alias("departs"))

@@ -199,10 +199,10 @@ def quadrant_sign(t):
     return curves.quadrant_sign(tf(t), [*W, "kind"])
 
 
-@query("splice_period", IN + " a:s b:s t_c:d n_tested:b frac_agree:d", "W19", with_(TF, SCAL, _pts("pt", 10.0, 3000.0), "c AS (SELECT *, abs(ratio - 1) <= 0.25 AND abs(dphi) <= 8 AS ok FROM pt)", "l AS (SELECT *, bool_and(ok) OVER (PARTITION BY site, rate_hz, comp, a, b ORDER BY period ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS al FROM c)")
+@query("splice_period", IN + " a:s b:s t_c:d n_tested:b frac_agree:d", "W19", with_(TF, SCAL, _pts("pt", 10.0, 3000.0), "c AS (SELECT *, (abs(ratio - 1) <= 0.25 AND abs(dphi) <= 8) OR abs(ratio - 1) <= 2 * 0.004 * nb AS ok FROM pt)", "l AS (SELECT *, bool_and(ok) OVER (PARTITION BY site, rate_hz, comp, a, b ORDER BY period ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS al FROM c)")
        + "SELECT site, rate_hz, comp, a, b, min(period) FILTER (WHERE al) AS t_c, count(*) AS n_tested, avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END) AS frac_agree FROM l GROUP BY ALL")
 def splice_period(t):
-    return curves.splice_period(pts(t, 10.0, 3000.0), [*W, "a", "b"], 0.25, 8.0)
+    return curves.splice_period(pts(t, 10.0, 3000.0), [*W, "a", "b"], 0.25, 8.0, apart=F.col("ratio") - 1, combined=0.004 * F.col("n_b"))
 
 
 @query("smoothness", IN + " kind:s n_periods:b max_phase_step_deg:d max_phase_step_deg_per_decade:d median_abs_dphi_deg:d", "A19", with_(TF, SCAL, """g AS (SELECT *, log10(period) AS lt, log10(rho) AS lr FROM sl), d AS (SELECT *, ph - lag(ph) OVER w AS dp, lt - lag(lt) OVER w AS hl, lead(lt) OVER w - lt AS hr, lr - lag(lr) OVER w AS fl, lead(lr) OVER w - lr AS fr FROM g WINDOW w AS (PARTITION BY site, rate_hz, comp, kind ORDER BY period)),

@@ -278,3 +278,9 @@ def tipper_refusal(t):
     k = F.col("o_orderkey")
     c = t.orders.groupBy(F.col("o_custkey").alias("site")).agg((F.max(k % 101) / 100.0).alias("hz_hx"), (F.min(k % 53 + 40) / 92.0).alias("hz_hy"), (F.min(k % 37) / 36.0).alias("hz_neighbour"))
     return site.tipper_refusal(c)
+
+
+@query("sign_prediction", "site:b s_pred:d undecided:s", "M5", with_(DEC, "n AS (SELECT site, CASE WHEN sign_ex IN ('1', '+1', '-1') THEN CAST(sign_ex AS DOUBLE) END AS x, CASE WHEN sign_ey IN ('1', '+1', '-1') THEN CAST(sign_ey AS DOUBLE) END AS y FROM dc)")
+       + "SELECT site, CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN CASE WHEN (x > 0) = (y > 0) THEN 1.0 ELSE -1.0 END END AS s_pred, concat_ws(', ', CASE WHEN x IS NULL THEN 'Ex' END, CASE WHEN y IS NULL THEN 'Ey' END) AS undecided FROM n")
+def sign_prediction(t):
+    return decisions.sign_prediction(dec(t), "site")

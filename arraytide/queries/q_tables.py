@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from ..functions import cells, names
-from ..operators import tables
+from ..operators import readings, tables
 from ..sources import survey
 from .registry import query
 
@@ -283,3 +283,20 @@ def to_build(t):
 def unledgered(t):
     d = led(t).select(F.concat_ws("/", F.col("site").cast("string"), "run").alias("path"), "made")
     return survey.unledgered(d.select("path").distinct(), d.where("made"))
+
+
+# customers as stations: orders are readings and, some of them, an analyst's rows
+RD = """rd AS (SELECT o_custkey AS site, o_orderpriority AS tf, CASE WHEN o_orderkey % 7 = 0 THEN 'failed' ELSE 'ok' END AS status, o_totalprice AS bar, CASE WHEN o_orderkey % 5 = 0 THEN 'Analyst' ELSE 'rule' END AS chosen_by FROM orders),
+tg AS (SELECT DISTINCT site, CASE site % 3 WHEN 0 THEN '1-URGENT' WHEN 1 THEN '' END AS cell, '2-HIGH' AS the_rule FROM rd)"""
+
+
+@query("choice_in_force", "site:b tf:s chosen_by:s bar:d matched:z departs:z", "T8", f"""WITH {RD}, a AS (SELECT site, max(tf) AS a FROM rd WHERE chosen_by = 'Analyst' GROUP BY site),
+c AS (SELECT tg.site, coalesce(a, nullif(cell, ''), the_rule) AS tf, CASE WHEN a IS NOT NULL THEN 'analyst' WHEN cell <> '' THEN 'cell' ELSE 'rule' END AS chosen_by, the_rule FROM tg LEFT JOIN a ON a.site = tg.site),
+r AS (SELECT site, tf, min(bar) AS bar FROM rd WHERE status = 'ok' GROUP BY ALL)
+SELECT c.site, c.tf, chosen_by, bar, bar IS NOT NULL AS matched, c.tf <> the_rule AS departs FROM c LEFT JOIN r ON r.site = c.site AND r.tf = c.tf""")
+def choice_in_force(t):
+    k, s = F.col("o_orderkey"), F.col("o_custkey")
+    rd = t.orders.select(s.alias("site"), F.col("o_orderpriority").alias("tf"), F.when(k % 7 == 0, "failed").otherwise("ok").alias("status"), F.col("o_totalprice").alias("bar"),
+                         F.when(k % 5 == 0, "Analyst").otherwise("rule").alias("chosen_by"))
+    tg = rd.select("site").distinct().withColumns({"cell": F.when(F.col("site") % 3 == 0, "1-URGENT").when(F.col("site") % 3 == 1, ""), "the_rule": F.lit("2-HIGH")})
+    return readings.choice_in_force(tg, ["site"], rd, "cell", "the_rule", rd)
