@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import cells, rotation
-from . import robust
+from . import intervals, robust
 from .axis import AXIS_BLOCK
 
 # fixed thresholds
@@ -84,14 +84,15 @@ def rotate_to_mean_field(samples: DataFrame, keys: list[str], pos: str, regimes:
     """hx, hy turned into the mean-field frame, per regime where any are named, with the angle used.
 
     `regimes` and `drop` are (keys, p0, p1) position ranges, an open p1 NULL. Dropped samples are NULL and enter
-    no mean; a sample of a station with regimes that lies in none of them is NULL too. A station has a few ranges.
+    no mean; a sample of a station with regimes that lies in none of them is NULL too. A station has a few regimes.
     """
     d = samples
     if drop is not None:
-        g = drop.groupBy(*keys).agg(F.collect_list(F.struct("p0", "p1")).alias("_dr"))
-        d = d.join(g, keys, "left")
-        out = F.coalesce(F.exists("_dr", lambda r: (F.col(pos) >= r["p0"]) & (r["p1"].isNull() | (F.col(pos) < r["p1"]))), F.lit(False))
-        d = d.withColumns({"hx": F.when(~out, F.col("hx")), "hy": F.when(~out, F.col("hy"))}).drop("_dr")
+        # a station may drop thousands of days: ranges meet samples slot by slot, an open one ends with the record
+        ends = samples.groupBy(*keys).agg((F.max(pos) + 1).alias("_end"))
+        ranges = drop.join(ends, keys).select(*keys, "p0", F.coalesce("p1", "_end").alias("p1"))
+        d = intervals.mark(d, ranges, keys, pos, "p0", "p1", "_out")
+        d = d.withColumns({c: F.when(~F.col("_out"), F.col(c)) for c in ("hx", "hy")}).drop("_out")
     d = d.withColumn("_reg", F.lit(0))
     if regimes is not None:
         g = regimes.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("p0", "p1"))).alias("_rg"))
