@@ -6,7 +6,7 @@ A document is its set of distinct `k`-word shingles. Shingles are hashed into gr
   group untouched. Documents therefore meet under (group, its content): that is exact, no pair at or over the threshold is missed, and a
   shingle that many documents share leads nowhere unless it is a whole group. Sizes of one octave share their cut; smaller documents also
   enter the next octave's.
-* Below it a document is a point of 64 group counts. The overlap of two sets is at most the sum of the smaller coordinates, and the overlap of
+* Below it a document is a point of group counts. The overlap of two sets is at most the sum of the smaller coordinates, and the overlap of
   anything in two boxes at most that sum over the boxes' upper corners. Leaves of points are compared box by box, then point by point; what the
   bound leaves is verified on the texts.
 
@@ -29,7 +29,7 @@ from arraytide.llm import common, rounds
 from arraytide.llm.components import components
 from arraytide.llm.hashing import U, mix, windows, words
 
-POINTS = 64
+LEAST_GROUPS, MOST_GROUPS = 64, 4096
 LEAF = 32
 
 
@@ -48,7 +48,22 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def counts(shingles: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((shingles >> U(58)).astype(np.int64), minlength=POINTS), 0xFFFF).astype("<u2").tobytes()
+    """The point of a set: how many shingles each of its groups has, two to four groups per shingle.
+
+    Groups are ranges of the hash and powers of two in number, so that points of two sizes are compared after adding up neighbours. Nearly all
+    groups then hold one shingle at most, and the bound is close to the overlap itself. Counts that need more than 16 bits raise an error.
+    """
+    groups = min(max(LEAST_GROUPS, 2 << len(shingles).bit_length()), MOST_GROUPS)
+    found = np.bincount((shingles >> U(64 - groups.bit_length() + 1)).astype(np.int64), minlength=groups)
+    if found.max(initial=0) > 0xFFFF:
+        raise OverflowError("a group of shingles is too large to count")
+    return found.astype("<u2").tobytes()
+
+
+def coarsest(points: list[np.ndarray]) -> np.ndarray:
+    """Points as one matrix, with as many groups as the smallest has."""
+    groups = min(map(len, points))
+    return np.stack([p if len(p) == groups else p.reshape(groups, -1).sum(1, dtype=p.dtype if p.max(initial=0) < 0x100 else np.uint32) for p in points])
 
 
 def cuts(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -139,8 +154,8 @@ def points(docs: DataFrame, nodes: DataFrame, k: int, text: str) -> DataFrame:
     return common.stored(t.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "points")
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(common.byte_column(column)[0].tobytes(), "<u2").reshape(-1, POINTS).astype(np.int64)
+def _points(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u2") for x in column.to_pylist()]
 
 
 def bounded(pairs: DataFrame, at: DataFrame, num: int, den: int) -> DataFrame:
@@ -152,7 +167,7 @@ def bounded(pairs: DataFrame, at: DataFrame, num: int, den: int) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                most = np.minimum(_matrix(batch.column("cu")), _matrix(batch.column("cv"))).sum(1)
+                most = np.array([int(np.minimum(*coarsest([x, y])).sum()) for x, y in zip(_points(batch.column("cu")), _points(batch.column("cv")), strict=True)])
                 ok = most * (num + den) >= num * (batch.column("nu").to_numpy() + batch.column("nv").to_numpy())
                 yield batch.select(["u", "v"]).filter(pa.array(ok))
 
@@ -183,25 +198,36 @@ def verified(pairs: DataFrame, at: DataFrame, k: int, num: int, den: int) -> Dat
 
 
 def tree_pairs(n: np.ndarray, count: np.ndarray, root: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of different roots whose counts leave the threshold within reach, by a join of the leaves of a packed R-tree."""
-    by = np.lexsort((count[:, 0], n))
-    n, count, root = n[by], count[by], root[by]
+    """Pairs of rows of different roots whose counts leave the threshold within reach, by a join of the leaves of a packed R-tree.
+
+    The tree holds the points with few groups, which is enough to part most of them; what is left is bounded again with all groups.
+    """
+    by = np.lexsort((n, root))
+    by = by[np.argsort(n[by], kind="stable")]
+    n, root, fine = n[by], root[by], count[by]
+    count = fine.reshape(len(fine), LEAST_GROUPS, -1).sum(2, dtype=np.int32)
     edges = np.arange(0, len(n), LEAF)
     top = np.maximum.reduceat(count, edges, axis=0)
     least, most = np.minimum.reduceat(n, edges), np.maximum.reduceat(n, edges)
+    first, last = np.minimum.reduceat(root, edges), np.maximum.reduceat(root, edges)
     us, vs = [], []
     for i, a in enumerate(edges.tolist()):
         # leaves are in order of size: those within reach of leaf i from i on; boxes first
         far = int(np.searchsorted(least, most[i] * den // num, "right"))
         box = np.minimum(top[i: far], top[i]).sum(1) * (num + den) >= num * (least[i: far] + least[i])
+        box &= ~((first[i: far] == last[i]) & (last[i: far] == first[i]))  # two leaves of one root have nothing to find
         rows = np.arange(a, min(a + LEAF, len(n)))
         for j in (np.flatnonzero(box) + i).tolist():
             cols = np.arange(edges[j], min(edges[j] + LEAF, len(n)))
             over = np.minimum(count[rows][:, None], count[cols][None]).sum(2) * (num + den) >= num * (n[rows][:, None] + n[cols][None])
             over &= (root[rows][:, None] != root[cols][None]) & (rows[:, None] < cols[None])
             x, y = np.nonzero(over)
-            us.append(by[rows[x]])
-            vs.append(by[cols[y]])
+            x, y = rows[x], cols[y]
+            if len(x) and fine.shape[1] > LEAST_GROUPS:
+                keep = np.minimum(fine[x], fine[y]).sum(1, dtype=np.int64) * (num + den) >= num * (n[x] + n[y])
+                x, y = x[keep], y[keep]
+            us.append(by[x])
+            vs.append(by[y])
     return (np.concatenate(us), np.concatenate(vs)) if us else (np.empty(0, np.int64),) * 2
 
 
@@ -233,7 +259,7 @@ def set_components(docs: DataFrame, k: int, num: int, den: int, text: str) -> Da
 
     def search(key: tuple, t: pa.Table) -> pa.Table:
         node = t.column("node").to_numpy()
-        u, v = tree_pairs(t.column("n").to_numpy(), _matrix(t.column("counts")), t.column("root").to_numpy(), num, den)
+        u, v = tree_pairs(t.column("n").to_numpy(), coarsest(_points(t.column("counts"))), t.column("root").to_numpy(), num, den)
         return pa.table({"u": pa.array(np.maximum(node[u], node[v])), "v": pa.array(np.minimum(node[u], node[v]))})
 
     across = apart.groupBy("key").applyInArrow(search, "u long, v long").distinct()
@@ -243,12 +269,12 @@ def set_components(docs: DataFrame, k: int, num: int, den: int, text: str) -> Da
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` with one document of each component: that with the smallest id, once if its row repeats. Rows without an id stay."""
     found = near_duplicates(docs.select(doc_id, text), k, num, den, doc_id, text)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    kept = common.stored(kept.withColumnRenamed("doc_id", "_kept"), "kept")
-    marked = docs.join(kept, F.col(doc_id) == F.col("_kept"))
-    once = marked.where("rows = 1").select(*docs.columns)
+    kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_kept_rows"))
+    kept = common.stored(kept.withColumnRenamed("doc_id", "_kept_id"), "kept")
+    marked = docs.join(kept, F.col(doc_id) == F.col("_kept_id"))
+    once = marked.where("_kept_rows = 1").select(*docs.columns)
     # rows that repeat an id are few: only they are sorted out
-    again = marked.where("rows > 1").dropDuplicates([doc_id]).select(*docs.columns)
+    again = marked.where("_kept_rows > 1").dropDuplicates([doc_id]).select(*docs.columns)
     return once.unionByName(again).unionByName(docs.where(F.col(doc_id).isNull()))
 
 
