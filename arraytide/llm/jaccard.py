@@ -48,22 +48,25 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def counts(shingles: np.ndarray) -> bytes:
-    """The point of a set: how many shingles each of its groups has, two to four groups per shingle.
+    """The point of a set: how many shingles each of its groups has, one to two groups per shingle; the first byte tells the width of a count.
 
     Groups are ranges of the hash and powers of two in number, so that points of two sizes are compared after adding up neighbours. Nearly all
-    groups then hold one shingle at most, and the bound is close to the overlap itself. Counts that need more than 16 bits raise an error.
+    groups then hold one shingle at most, and the bound is close to the overlap itself.
     """
-    groups = min(max(LEAST_GROUPS, 2 << len(shingles).bit_length()), MOST_GROUPS)
+    groups = min(max(LEAST_GROUPS, 1 << len(shingles).bit_length()), MOST_GROUPS)
     found = np.bincount((shingles >> U(64 - groups.bit_length() + 1)).astype(np.int64), minlength=groups)
-    if found.max(initial=0) > 0xFFFF:
-        raise OverflowError("a group of shingles is too large to count")
-    return found.astype("<u2").tobytes()
+    width = 1 if found.max(initial=0) < 0x100 else 4
+    return bytes([width]) + found.astype(f"<u{width}").tobytes()
+
+
+def point(stored: bytes) -> np.ndarray:
+    return np.frombuffer(stored, f"<u{stored[0]}", offset=1)
 
 
 def coarsest(points: list[np.ndarray]) -> np.ndarray:
     """Points as one matrix, with as many groups as the smallest has."""
     groups = min(map(len, points))
-    return np.stack([p if len(p) == groups else p.reshape(groups, -1).sum(1, dtype=p.dtype if p.max(initial=0) < 0x100 else np.uint32) for p in points])
+    return np.stack([p.reshape(groups, -1).sum(1, dtype=np.uint32) for p in points])
 
 
 def cuts(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -155,7 +158,7 @@ def points(docs: DataFrame, nodes: DataFrame, k: int, text: str) -> DataFrame:
 
 
 def _points(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(x, "<u2") for x in column.to_pylist()]
+    return [point(x) for x in column.to_pylist()]
 
 
 def bounded(pairs: DataFrame, at: DataFrame, num: int, den: int) -> DataFrame:
@@ -174,10 +177,10 @@ def bounded(pairs: DataFrame, at: DataFrame, num: int, den: int) -> DataFrame:
     return both.select("u", "v", "nu", "nv", "cu", "cv").mapInArrow(task, "u long, v long")
 
 
-def verified(pairs: DataFrame, at: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs u, v that link, by their whole sets; stored."""
+def verified(pairs: DataFrame, at: DataFrame, k: int, num: int, den: int, bound: bool = True) -> DataFrame:
+    """The pairs u, v that link, by their whole sets; stored. `bound` false: the pairs have met the bound already."""
     t = at.select("node", "text")
-    both = (bounded(pairs, at, num, den).join(t.select(F.col("node").alias("u"), F.col("text").alias("x")), "u")
+    both = ((bounded(pairs, at, num, den) if bound else pairs).join(t.select(F.col("node").alias("u"), F.col("text").alias("x")), "u")
             .join(t.select(F.col("node").alias("v"), F.col("text").alias("y")), "v"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,15 +258,36 @@ def set_components(docs: DataFrame, k: int, num: int, den: int, text: str) -> Da
     # groups of the same members hold the same pairs: one of them is searched
     lists = inside.groupBy("key").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("what"), F.count(F.lit(1)).alias("n"))
     inside = inside.join(lists.groupBy("what", "n").agg(F.min("key").alias("key")), "key", "left_semi")
-    apart = _rooted(inside, roots, "node", "root").join(at.select("node", "n", "counts"), "node")
+    n = at.select("node", "n", "counts")
+
+    def found(of: np.ndarray, u: np.ndarray, v: np.ndarray) -> pa.Table:
+        return pa.table({"u": pa.array(np.maximum(of[u], of[v])), "v": pa.array(np.minimum(of[u], of[v]))})
+
+    def delegate(key: tuple, t: pa.Table) -> pa.Table:
+        """Every member outside the largest component of its group against one member of it, another one in each group."""
+        node, root, size = (t.column(c).to_numpy() for c in ("node", "root", "n"))
+        names, each = np.unique(root, return_counts=True)
+        inner = np.flatnonzero(root == names[each.argmax()])
+        one = inner[mix(node[inner].view(np.uint64) ^ np.int64(key[0].as_py()).view(np.uint64)).argmin()]
+        rest = np.flatnonzero(root != root[one])
+        if len(rest):
+            count = coarsest(_points(t.column("counts")))
+            rest = rest[np.minimum(count[rest], count[one]).sum(1, dtype=np.int64) * (num + den) >= num * (size[rest] + size[one])]
+        return found(node, rest, np.full(len(rest), one))
 
     def search(key: tuple, t: pa.Table) -> pa.Table:
         node = t.column("node").to_numpy()
         u, v = tree_pairs(t.column("n").to_numpy(), coarsest(_points(t.column("counts"))), t.column("root").to_numpy(), num, den)
-        return pa.table({"u": pa.array(np.maximum(node[u], node[v])), "v": pa.array(np.minimum(node[u], node[v]))})
-
-    across = apart.groupBy("key").applyInArrow(search, "u long, v long").distinct()
-    return components(links.unionByName(verified(across, at, k, num, den)))
+        return found(node, u, v)
+
+    # what one member of a component stands for is joined first; the search is left with what is really apart
+    for step in (delegate, search):
+        held = _rooted(inside, roots, "node", "root")
+        mixed = held.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+        across = held.join(mixed, "key", "left_semi").join(n, "node").groupBy("key").applyInArrow(step, "u long, v long").distinct()
+        links = links.unionByName(verified(across, at, k, num, den, bound=False))
+        roots = components(links)
+    return roots
 
 
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
