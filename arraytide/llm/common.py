@@ -65,7 +65,7 @@ def byte_column(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray
     return data[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-def row_slices(offsets: np.ndarray, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def row_slices(offsets: np.ndarray, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Row ranges of about `limit` bytes each, so that work arrays stay small; one long row makes its own range."""
     row, n = 0, len(offsets) - 1
     while row < n:

@@ -164,8 +164,7 @@ def train(docs: DataFrame, graded: DataFrame, max_rows: int = 8_000, bits: int =
 
 def scored(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("expected_grade", "tails")) -> DataFrame:
     """`docs` with the expected grade (double) and its tails (array<double>: P(grade > 0), P(grade > 1), ...); columns of those names are replaced."""
-    body = common.text_of(text).alias("_scored_text")
-    docs = docs.select(*(c for c in docs.columns if c not in names), body)
+    docs = docs.select(*(c for c in docs.columns if c not in names))
     used = np.flatnonzero(model.weights)
     small = (model.bits, used.astype(np.int32), model.weights[used], model.thresholds)
 
@@ -174,14 +173,13 @@ def scored(docs: DataFrame, model: Model, text: str = "text", names: tuple[str,
         w[small[1]] = small[2]
         m = Model(small[0], w, small[3])
         for batch in batches:
-            data, offsets = common.byte_column(batch.column("_scored_text"))
+            data, offsets = common.byte_column(batch.column(text))
             out = np.concatenate([m.tails(m.position(*features(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a], m.bits)))
                                   for a, b in common.row_slices(offsets)] or [np.zeros((0, len(m.thresholds)))])
-            own = [batch.column(i) for i in range(batch.num_columns - 1)]
             tails = pa.FixedSizeListArray.from_arrays(pa.array(out.reshape(-1)), out.shape[1]).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*own, pa.array(out.sum(1)), tails], [*batch.schema.names[:-1], *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out.sum(1)), tails], [*batch.schema.names, *names])
 
-    kinds = T.StructType([*docs.schema.fields[:-1], T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.ArrayType(T.DoubleType()))])
+    kinds = T.StructType([*docs.schema.fields, T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.ArrayType(T.DoubleType()))])
     return docs.mapInArrow(task, kinds)
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from arraytide.llm import common
 from arraytide.llm.hashing import Substrings
 
-CACHE_IDS = 12_000_000
+CACHE_IDS, LEARN = 8_000_000, 2_000
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
@@ -62,18 +62,22 @@ class Encoder:
     def _clear(self) -> None:
         self.keys = np.empty(0, np.uint64)
         self.first = np.empty(0, np.int64)
-        self.count = np.empty(0, np.int64)
+        self.count = np.empty(0, np.uint32)
         self.ids = np.empty(0, np.uint32)
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        count = np.fromiter(map(len, found), np.int64, len(found))
-        if len(self.ids) + count.sum() > CACHE_IDS:
+        counts, ids = [], []
+        for a in range(0, len(pieces), LEARN):  # the library's results are large objects: a few at a time
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[a: a + LEARN], add_special_tokens=False)]
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter((i for x in found for i in x), np.uint32, int(counts[-1].sum())))
+        count, new = np.concatenate(counts), np.concatenate(ids)
+        if len(self.ids) + len(new) > CACHE_IDS:
             self._clear()
         first = np.cumsum(count) - count + len(self.ids)
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.uint32, int(count.sum()))])
+        self.ids = np.concatenate([self.ids, new])
         at = np.searchsorted(self.keys, keys)
-        self.keys, self.first, self.count = (np.insert(a, at, b) for a, b in ((self.keys, keys), (self.first, first), (self.count, count)))
+        self.keys, self.first, self.count = (np.insert(a, at, b) for a, b in ((self.keys, keys), (self.first, first), (self.count, count.astype(np.uint32))))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows back to back, n + 1 offsets in ids)."""
@@ -96,7 +100,7 @@ class Encoder:
                 old = np.flatnonzero(known)
                 self._learn(distinct[old], [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[example[old]].tolist(), end[example[old]].tolist(), strict=True)])
             at = np.searchsorted(self.keys, distinct)
-        first, count = self.first[at][back], self.count[at][back]
+        first, count = self.first[at][back], self.count[at][back].astype(np.int64)
         total = np.concatenate([[0], np.cumsum(count)])
         ids = self.ids[np.arange(total[-1]) + np.repeat(first - total[:-1], count)]
         return ids, total[np.searchsorted(start, offsets)]
