@@ -29,7 +29,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, with_spac
         part, row = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids = batch.column("doc_id")
-            for a, found in tokens.encoded(batch, "text", tokenizer, with_space, end_id):
+            for a, found in tokens.encoded(batch, "text", tokenizer, with_space, end_id, literal=False):
                 n = len(found)
                 at = np.concatenate([[0], np.cumsum([len(x) for x in found])])
                 values = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(found).view(np.int32)))

@@ -31,7 +31,7 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
     """The pieces of every document; only longer ones are cut, and then the first piece takes what is over."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, found in tokens.encoded(batch, "text", tokenizer, with_space, end_id):
+            for a, found in tokens.encoded(batch, "text", tokenizer, with_space, end_id, literal=False):
                 rows: list[tuple] = []
                 for own, ids in zip(batch.column("doc_id").slice(a, len(found)).to_pylist(), found, strict=True):
                     first = (len(ids) - 1) % capacity + 1

@@ -3,6 +3,9 @@
 A text is cut only where no token of the pre-tokenisers in use can cross: at single white space between other characters. Pieces are looked
 up by hash in a per-worker cache and only new ones go through the library; ids are then gathered with numpy. `tests/llm` holds the result
 against encoding whole texts directly.
+
+A special token of the file (<|endoftext|>) written out in a text is that token, as in the library's own call; no piece is cut inside one, since
+they hold no white space, full stop or comma. With `literal` its characters are encoded like any other text.
 """
 from __future__ import annotations
 
@@ -16,7 +19,7 @@ from arraytide.llm import common
 from arraytide.llm.hashing import Substrings
 
 CACHE_IDS, LEARN = 8_000_000, 2_000
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[tuple[str, bool, bool], Encoder] = {}
 
 
 def piece_starts(data: np.ndarray, offsets: np.ndarray, with_space: bool) -> np.ndarray:
@@ -52,10 +55,10 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray, with_space: bool) -> np.
 class Encoder:
     """One tokenizer and the pieces it has seen. The cache is dropped when full, which costs time and changes nothing."""
 
-    def __init__(self, path: str, with_space: bool):
+    def __init__(self, path: str, with_space: bool, literal: bool = True):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
         self.with_space = with_space
         self._clear()
 
@@ -106,17 +109,17 @@ class Encoder:
         return ids, total[np.searchsorted(start, offsets)]
 
 
-def encoder(path: str, with_space: bool) -> Encoder:
-    if (path, with_space) not in _ENCODERS:
-        _ENCODERS[path, with_space] = Encoder(path, with_space)
-    return _ENCODERS[path, with_space]
+def encoder(path: str, with_space: bool, literal: bool = True) -> Encoder:
+    if (path, with_space, literal) not in _ENCODERS:
+        _ENCODERS[path, with_space, literal] = Encoder(path, with_space, literal)
+    return _ENCODERS[path, with_space, literal]
 
 
-def encoded(batch: pa.RecordBatch, text: str, path: str, with_space: bool, end_id: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+def encoded(batch: pa.RecordBatch, text: str, path: str, with_space: bool, end_id: int, literal: bool = True) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(first row, ids of each row with `end_id` after them), a few MB of text at a time."""
     data, offsets = common.byte_column(batch.column(text))
     for a, b in common.row_slices(offsets):
-        ids, at = encoder(path, with_space).encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
+        ids, at = encoder(path, with_space, literal).encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
         yield a, [np.append(ids[i:j], np.uint32(end_id)) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 

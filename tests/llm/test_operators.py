@@ -342,6 +342,22 @@ def test_orc_round_trip_and_lookup(spark, docs, texts):
     assert orc_tokens.index(orc_tokens.read(spark, empty)).count() == 0
 
 
+def test_special_tokens_in_texts_are_the_librarys_default(spark):
+    from tokenizers import Tokenizer
+    rng = random.Random(4)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|endoftext|>", "<|endof", "text|>", "a", "The", " ", " ", "\n", ".", ",", "é", "'s", "12", "<", "|", "́", "😀"]
+    texts = ["one document<|endoftext|>another one", "a <|endoftext|> b", "a.<|startoftext|>\n<|endoftext|>x", "<|endoftext|>", "  <|endoftext|>\n\n<|startoftext|> ,"]
+    texts += ["".join(rng.choice(parts) for _ in range(30)) for _ in range(300)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    path = common.shared_path(spark, "ids")
+    orc_tokens.write(rows, path, tokenizer_files.path("word_bpe_49k.json"))
+    for name, end, got in (("byte_bpe_50k.json", 0, packing.pack(rows, tokenizer_files.path("byte_bpe_50k.json")).withColumn("n", F.col("length"))),
+                           ("word_bpe_49k.json", 2, orc_tokens.index(orc_tokens.read(spark, path)).withColumn("n", F.col("n_tokens")))):
+        direct = Tokenizer.from_file(tokenizer_files.path(name))
+        want = [np.array([*e.ids, end], "<u4") for e in direct.encode_batch(texts, add_special_tokens=False)]
+        assert {r["doc_id"]: (r["n"], r["ids_crc32"]) for r in spark_rows(got)} == {i: (len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(want)}
+
+
 # ---- quality
 
 
