@@ -11,7 +11,8 @@ A document is its set of distinct `k`-word shingles. Shingles are hashed into gr
   bound leaves is verified on the texts.
 
 A group of documents is not expanded into its pairs: members are verified against the smallest member first, what that connects is one
-component, and only pairs across components are searched further. Equal sets are one node from the start.
+component, and only pairs across components are searched further. Equal sets are one node from the start. The search cuts a group into blocks
+in order of size, the members of its largest component apart, and a task gets two blocks whose corners leave the threshold within reach.
 
 Sets are compared by 64-bit shingle hashes, and a set is known by a 64-bit hash. Defined results: a text without words, or null, has the empty
 set and links with nothing; a null doc_id can link and names no component; repeated rows are equal sets; an empty table gives no rows.
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ from arraytide.llm.components import components
 from arraytide.llm.hashing import U, mix, windows, words
 
 LEAST_GROUPS, MOST_GROUPS = 64, 4096
-LEAF = 32
+LEAF, BLOCK = 32, 1024
 
 
 def sets_of(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -200,14 +202,15 @@ def verified(pairs: DataFrame, at: DataFrame, k: int, num: int, den: int, bound:
     return common.stored(both.select("u", "v", "x", "y").mapInArrow(task, "u long, v long"), "set-links")
 
 
-def tree_pairs(n: np.ndarray, count: np.ndarray, root: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of different roots whose counts leave the threshold within reach, by a join of the leaves of a packed R-tree.
+def tree_pairs(n: np.ndarray, count: np.ndarray, root: np.ndarray, num: int, den: int, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of different roots (and different sides) whose counts leave the threshold within reach, by a join of the leaves of a packed R-tree.
 
     The tree holds the points with few groups, which is enough to part most of them; what is left is bounded again with all groups.
     """
     by = np.lexsort((n, root))
     by = by[np.argsort(n[by], kind="stable")]
     n, root, fine = n[by], root[by], count[by]
+    side = side if side is None else side[by]
     count = fine.reshape(len(fine), LEAST_GROUPS, -1).sum(2, dtype=np.int32)
     edges = np.arange(0, len(n), LEAF)
     top = np.maximum.reduceat(count, edges, axis=0)
@@ -224,6 +227,8 @@ def tree_pairs(n: np.ndarray, count: np.ndarray, root: np.ndarray, num: int, den
             cols = np.arange(edges[j], min(edges[j] + LEAF, len(n)))
             over = np.minimum(count[rows][:, None], count[cols][None]).sum(2) * (num + den) >= num * (n[rows][:, None] + n[cols][None])
             over &= (root[rows][:, None] != root[cols][None]) & (rows[:, None] < cols[None])
+            if side is not None:
+                over &= side[rows][:, None] != side[cols][None]
             x, y = np.nonzero(over)
             x, y = rows[x], cols[y]
             if len(x) and fine.shape[1] > LEAST_GROUPS:
@@ -239,6 +244,97 @@ def _rooted(nodes: DataFrame, roots: DataFrame, name: str, out: str) -> DataFram
     return nodes.join(r, name, "left").withColumn(out, F.coalesce(out, name))
 
 
+def mixed(held: DataFrame) -> DataFrame:
+    """key, main, size: the groups of `held` (key, node, root) with several roots, the root that most members have, and how many members there are."""
+    per = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+    found = per.groupBy("key").agg(F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("roots"), F.sum("c").alias("size"))
+    return found.where("roots > 1").select("key", F.col("top.root").alias("main"), "size")
+
+
+def delegated(held: DataFrame) -> DataFrame:
+    """u, v: every member outside the largest component of its group with one member of it, another one in each group."""
+    t = held.join(mixed(held), "key")
+    one = t.where("root = main").groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("one"))
+    rest = t.where("root <> main").join(one, "key")
+    return rest.select(F.greatest("node", "one").alias("u"), F.least("node", "one").alias("v")).distinct()
+
+
+def blocks(held: DataFrame, at: DataFrame, block: int) -> DataFrame:
+    """key, block, node, n, root: the members of mixed groups of more than `block`, at most `block` to a block; stored. A row without a node closes
+    a block, with least (n) and most (n_most) size, least (root) and last root (root_most) and the upper corner of its points."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, open_at, held = TaskContext.get().partitionId() << 32, None, 0
+        low = high = first = last = 0
+        corner = np.zeros(LEAST_GROUPS, np.int64)
+
+        def closed() -> pa.RecordBatch:
+            row = (open_at[0], number, None, low, high, first, last, corner.tolist())
+            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, kinds, strict=True)], schema=kinds)
+
+        kinds = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("n_most", pa.int64()),
+                           ("root", pa.int64()), ("root_most", pa.int64()), ("corner", pa.list_(pa.int64()))])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, main, n, root = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "inner", "n", "root"))
+            edge = np.flatnonzero((key[1:] != key[:-1]) | (main[1:] != main[:-1])) + 1
+            for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(key)], strict=True):
+                while a < b:
+                    mine = (int(key[a]), bool(main[a]))
+                    if open_at is not None and (open_at != mine or held == block):
+                        yield closed()
+                        number, open_at, held = number + 1, None, 0
+                    c = min(b, a + block - held)
+                    top = coarsest([p.reshape(LEAST_GROUPS, -1).sum(1, dtype=np.uint32) for p in _points(batch.column("counts").slice(a, c - a))]).max(0)
+                    of_n, of_root = (int(n[a:c].min()), int(n[a:c].max())), (int(root[a:c].min()), int(root[a:c].max()))
+                    if open_at is None:
+                        open_at, corner, (low, high), (first, last) = mine, top.astype(np.int64), of_n, of_root
+                    else:
+                        corner = np.maximum(corner, top)
+                        low, high, first, last = min(low, of_n[0]), max(high, of_n[1]), min(first, of_root[0]), max(last, of_root[1])
+                    m, part = c - a, batch.slice(a, c - a)
+                    yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(np.full(m, number)), part.column("node"), part.column("n"), part.column("n"),
+                                                      part.column("root"), part.column("root"),
+                                                      pa.nulls(m, pa.list_(pa.int64()))], schema=kinds)
+                    held, a = held + m, c
+        if open_at is not None:
+            yield closed()
+
+    t = held.join(mixed(held).where(F.col("size") > block), "key").select("key", "node", "root", (F.col("root") == F.col("main")).alias("inner")).join(at.select("node", "n", "counts"), "node")
+    # a group of any size is spread over the tasks: its members are dealt in ranges of size
+    order = ("key", "inner", "n", "node")
+    t = t.select("key", "inner", "n", "node", "root", "counts").repartitionByRange(*order).sortWithinPartitions(*order)
+    return common.stored(t.mapInArrow(task, "key long, block long, node long, n long, n_most long, root long, root_most long, corner array<long>"), "blocks")
+
+
+def block_pairs(cut: DataFrame, num: int, den: int) -> DataFrame:
+    """key, a, b and the members of both blocks (`block` tells which), for the blocks of one group that can hold a pair of different roots."""
+    closed = cut.where("node is null")
+    x, y = (closed.select("key", *(F.col(c).alias(f"{c}_{i}") for c in ("block", "n", "n_most", "root", "root_most", "corner"))) for i in "xy")
+    both = x.join(y, "key").where("block_x <= block_y").where((F.col("n_most_x") * den >= F.col("n_y") * num) & (F.col("n_most_y") * den >= F.col("n_x") * num))
+    both = both.where("not (root_x = root_most_x and root_y = root_most_y and root_x = root_y)")
+    most = F.aggregate(F.zip_with("corner_x", "corner_y", lambda p, q: F.least(p, q)), F.lit(0).cast("long"), lambda s, c: s + c)
+    pairs = both.where(most * (num + den) >= (F.col("n_x") + F.col("n_y")) * num).select("key", F.col("block_x").alias("a"), F.col("block_y").alias("b"))
+    sides = pairs.select("key", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
+    members = sides.join(cut.where("node is not null").select("block", "node", "root"), "block")
+    return members.select("key", "a", "b", "block", "node", "root")
+
+
+def searched(held: DataFrame, at: DataFrame, num: int, den: int, block: int = BLOCK) -> DataFrame:
+    """u, v: the pairs of different roots inside a group of `held` (key, node, root) that the counts leave; a task holds two blocks at a time."""
+    def search(key: tuple, t: pa.Table) -> pa.Table:
+        node, n, root, side = (t.column(c).to_numpy() for c in ("node", "n", "root", "block"))
+        one = key[1].as_py() == key[2].as_py()
+        u, v = tree_pairs(n, coarsest(_points(t.column("counts"))), root, num, den, None if one else side)
+        return pa.table({"u": pa.array(np.maximum(node[u], node[v])), "v": pa.array(np.minimum(node[u], node[v]))})
+
+    # a group that fits one block is one
+    small, no = held.join(mixed(held).where(F.col("size") <= block), "key"), F.lit(-1).cast("long")
+    small = small.select("key", no.alias("a"), no.alias("b"), no.alias("block"), "node", "root")
+    both = small.unionByName(block_pairs(blocks(held, at, block), num, den)).join(at.select("node", "n", "counts"), "node")
+    return both.groupBy("key", "a", "b").applyInArrow(search, "u long, v long").distinct()
+
+
 def set_components(docs: DataFrame, k: int, num: int, den: int, text: str) -> DataFrame:
     """node, component_id of every set that links with a set of a smaller number."""
     met = meetings(docs, k, num, den, text)
@@ -258,34 +354,11 @@ def set_components(docs: DataFrame, k: int, num: int, den: int, text: str) -> Da
     # groups of the same members hold the same pairs: one of them is searched
     lists = inside.groupBy("key").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("what"), F.count(F.lit(1)).alias("n"))
     inside = inside.join(lists.groupBy("what", "n").agg(F.min("key").alias("key")), "key", "left_semi")
-    n = at.select("node", "n", "counts")
-
-    def found(of: np.ndarray, u: np.ndarray, v: np.ndarray) -> pa.Table:
-        return pa.table({"u": pa.array(np.maximum(of[u], of[v])), "v": pa.array(np.minimum(of[u], of[v]))})
-
-    def delegate(key: tuple, t: pa.Table) -> pa.Table:
-        """Every member outside the largest component of its group against one member of it, another one in each group."""
-        node, root, size = (t.column(c).to_numpy() for c in ("node", "root", "n"))
-        names, each = np.unique(root, return_counts=True)
-        inner = np.flatnonzero(root == names[each.argmax()])
-        one = inner[mix(node[inner].view(np.uint64) ^ np.int64(key[0].as_py()).view(np.uint64)).argmin()]
-        rest = np.flatnonzero(root != root[one])
-        if len(rest):
-            count = coarsest(_points(t.column("counts")))
-            rest = rest[np.minimum(count[rest], count[one]).sum(1, dtype=np.int64) * (num + den) >= num * (size[rest] + size[one])]
-        return found(node, rest, np.full(len(rest), one))
-
-    def search(key: tuple, t: pa.Table) -> pa.Table:
-        node = t.column("node").to_numpy()
-        u, v = tree_pairs(t.column("n").to_numpy(), coarsest(_points(t.column("counts"))), t.column("root").to_numpy(), num, den)
-        return found(node, u, v)
-
     # what one member of a component stands for is joined first; the search is left with what is really apart
-    for step in (delegate, search):
+    for bound in (True, False):
         held = _rooted(inside, roots, "node", "root")
-        mixed = held.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-        across = held.join(mixed, "key", "left_semi").join(n, "node").groupBy("key").applyInArrow(step, "u long, v long").distinct()
-        links = links.unionByName(verified(across, at, k, num, den, bound=False))
+        across = delegated(held) if bound else searched(held, at, num, den)
+        links = links.unionByName(verified(across, at, k, num, den, bound))
         roots = components(links)
     return roots
 

@@ -212,6 +212,32 @@ def test_tree_finds_all_pairs_the_bound_leaves():
     assert {(min(a, b), max(a, b)) for a, b in zip(u.tolist(), v.tolist(), strict=True)} == want and want
 
 
+def test_search_of_a_large_group_is_cut_into_blocks(spark):
+    rng = np.random.default_rng(6)
+    bases = [np.unique(rng.integers(0, 2 ** 64, n, dtype=np.uint64)) for n in (40, 44, 50)]
+    rows, held = [], []
+    for i in range(240):
+        base = bases[i % 3]
+        s = np.unique(np.concatenate([base[rng.permutation(len(base))[: len(base) - int(rng.integers(0, 9))]], rng.integers(0, 2 ** 64, 3, dtype=np.uint64)]))
+        rows.append((i, len(s), bytearray(jaccard.counts(s))))
+        # one group with a large component, one with none and one of a single component
+        held += [(1, i, 0 if i < 150 else i), (2, i, i)] if i < 200 else [(1, i, 7), (3, i, 7)]
+    at = spark.createDataFrame(rows, "node long, n long, counts binary").repartition(3)
+    t = spark.createDataFrame(held, "key long, node long, root long").repartition(3)
+    got = spark_rows(jaccard.searched(t, at, 85, 100, block=16))
+    point = {i: jaccard.point(bytes(c)).astype(int) for i, _, c in rows}
+    size = {i: n for i, n, _ in rows}
+    want = set()
+    for g in (1, 2, 3):
+        own = [(i, r) for k, i, r in held if k == g]
+        want |= {(max(a, b), min(a, b)) for (a, x), (b, y) in itertools.combinations(own, 2)
+                 if x != y and np.minimum(*(p.reshape(64, -1).sum(1) for p in (point[a], point[b]))).sum() * 185 >= 85 * (size[a] + size[b])}
+    assert {(r["u"], r["v"]) for r in got} == want and len(got) == len(want) > 500
+    cut = jaccard.blocks(t, at, 16)
+    assert {r["count"] for r in cut.where("node is not null").groupBy("block").count().collect()} <= set(range(1, 17))
+    assert max(r["count"] for r in jaccard.block_pairs(cut, 85, 100).groupBy("a", "b").count().collect()) <= 32
+
+
 def test_points_of_two_sizes_bound_the_overlap():
     rng = np.random.default_rng(8)
     for n in (1, 10, 60, 130, 700, 9000):
