@@ -62,11 +62,11 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, row) of every run of bytes outside [\\x20\\x09-\\x0D]; a run ends where its row ends."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of every run of bytes outside `parts` ([\\x20\\x09-\\x0D]); a run ends where its row ends."""
     if not len(data):
         return (np.empty(0, np.int64),) * 3
-    inside = ~SPACE[data]
+    inside = ~parts[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     heads = offsets[:-1][offsets[:-1] < len(data)]
