@@ -147,7 +147,7 @@ def pair_prices(own: DataFrame, groups: DataFrame, segments: DataFrame, scale: i
     return found.groupBy("lang", "x", "y").agg(F.sum("value").alias("value"))
 
 
-def audit(docs: DataFrame, min_docs: int = 30, top: int = 50, scale: int = 1_000_000_000, smooth: int = 5, leaves: int = 4096, block: int = 64,
+def audit(docs: DataFrame, min_docs: int = 30, top: int = 50, scale: int = 1_000_000_000, smooth: int = 5, leaves: int = 512, block: int = 64,
           text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """lang, source, part, item, value, rank: every other source by difference (part `pair`), the `top` terms a source overuses (part `term`)."""
     counts = common.stored(term_counts(docs, text, lang, source), "term-counts")
