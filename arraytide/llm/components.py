@@ -4,7 +4,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from arraytide.llm import common
@@ -31,24 +31,42 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int64())], ["u", "v"])
 
 
-def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links, stored, and what tells one set of links from another, counted while they are written."""
+    seen = Observation()
+    counted = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s"))
+    out = common.stored(counted, "links")
+    return out, (seen.get["n"], seen.get["s"])
+
+
+def _named(edges: DataFrame, stars: DataFrame, column: str) -> DataFrame:
+    """`edges` with the root of `column` in its place."""
+    root = stars.select(F.col("node").alias(column), F.col("component_id").alias("_root")).hint("merge")
+    return edges.join(root, column, "left").withColumn(column, F.coalesce("_root", column)).drop("_root")
+
+
+def components(links: DataFrame, stars: DataFrame | None = None, u: str = "u", v: str = "v") -> DataFrame:
     """node, component_id (the smallest node reachable) of every node that is not the smallest of its own component.
 
-    Every pass is stored, so a lost executor costs one pass. Hot nodes are aggregated before the shuffle; the joins back are plain
-    equi-joins, which adaptive execution splits.
+    `stars` is what an earlier call returned: the links then join its components, and only their smallest nodes are worked on.
+
+    Every pass is stored, so a lost executor costs one pass. Hot nodes are aggregated before the shuffle. What grows with the links is joined by
+    sort-merge, so the driver holds no relation; adaptive execution splits hot keys.
     """
-    edges = links.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v")).where("u <> v")
-    edges = common.stored(edges.mapInArrow(_local, EDGES).distinct(), "links")
+    edges = links.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v"))
+    if stars is not None:
+        edges = _named(_named(edges, stars, "u"), stars, "v").select("u", "v")
+    edges, now = _stored(edges.where("u <> v").mapInArrow(_local, EDGES).distinct())
     before = None
-    while True:
-        now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.hash("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component_id"))
+    while now != before and now[0]:
         before = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).hint("merge")
         edges = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        hung = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        edges = common.stored(hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        least = edges.groupBy("u").agg(F.min("v").alias("m")).hint("merge")
+        hung = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        edges, now = _stored(hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+    fresh = edges.select(F.col("u").alias("node"), F.col("v").alias("component_id"))
+    if stars is None:
+        return fresh
+    return common.stored(_named(stars, fresh, "component_id").select("node", "component_id").unionByName(fresh), "stars") if now[0] else stars

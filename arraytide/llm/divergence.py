@@ -40,7 +40,7 @@ def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source:
             group = code_of[0] * len(names[1].dictionary) + code_of[1]
             data, offsets = common.byte_column(batch.column("text"))
             for a, b in common.row_slices(offsets, slice_bytes):
-                code, row, words = vocab.coded(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a], vocab.NOT_TERM)
+                code, words, row = vocab.coded(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a], vocab.NOT_TERM)
                 size = max(len(words), 1)
                 once = np.unique(row * size + code)  # a term of a document
                 found, n = np.unique(group[a:b][row] * size + code, return_counts=True)

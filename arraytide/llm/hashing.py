@@ -1,4 +1,4 @@
-"""Polynomial hashes of substrings, words and word windows over whole byte arrays (numpy, no per-word Python)."""
+"""Polynomial hashes of substrings and word windows over whole byte arrays (numpy, no per-word Python)."""
 from __future__ import annotations
 
 import numpy as np
@@ -79,12 +79,6 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray = SPACE)
     return start, end, np.searchsorted(offsets, start, "right") - 1
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of every word after A-Z became a-z."""
-    start, end, row = word_spans(data, offsets)
-    return Substrings(LOWER[data], seed=7).of(start, end), row
-
-
 def windows(hashes: np.ndarray, row: np.ndarray, rows: int, k: int) -> list[np.ndarray]:
     """Per row the sorted distinct hashes of its k-word windows; a row of 1 to k - 1 words has one, the whole row."""
     bounds = np.searchsorted(row, np.arange(rows + 1))

@@ -26,10 +26,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arraytide.llm import common, rounds
 from arraytide.llm.components import components
-from arraytide.llm.hashing import U, mix, windows, words
+from arraytide.llm.hashing import U, mix, windows
+from arraytide.llm.vocab import words
 
 LEAST_GROUPS, MOST_GROUPS = 64, 4096
 LEAF, BLOCK = 32, 1024
@@ -342,11 +344,9 @@ def set_components(docs: DataFrame, k: int, num: int, den: int, text: str) -> Da
     at = points(docs, stars.select("node").union(stars.select(F.col("leader").alias("node"))).distinct(), k, text)
     # first each node against the smallest leader it has, then every leader that is not of its component yet
     first = stars.groupBy("node").agg(F.min("leader").alias("v")).select(F.col("node").alias("u"), "v")
-    links = verified(first, at, k, num, den)
-    roots = components(links)
+    roots = components(verified(first, at, k, num, den))
     odd = _rooted(_rooted(stars, roots, "node", "ru"), roots, "leader", "rv").where("ru <> rv").select(F.col("node").alias("u"), F.col("leader").alias("v"))
-    links = links.unionByName(verified(odd.join(first, ["u", "v"], "left_anti"), at, k, num, den))
-    roots = components(links)
+    roots = components(verified(odd.join(first, ["u", "v"], "left_anti"), at, k, num, den), roots)
     # groups with members still apart: search them for the pairs that no leader stands for
     odd = common.stored(_rooted(_rooted(stars, roots, "node", "ru"), roots, "leader", "rv").where("ru <> rv").select("node", "leader"), "apart")
     groups = met.where("members > 2").join(odd, ["node", "leader"], "left_semi").select("key").distinct()
@@ -358,21 +358,29 @@ def set_components(docs: DataFrame, k: int, num: int, den: int, text: str) -> Da
     for bound in (True, False):
         held = _rooted(inside, roots, "node", "root")
         across = delegated(held) if bound else searched(held, at, num, den)
-        links = links.unionByName(verified(across, at, k, num, den, bound))
-        roots = components(links)
+        roots = components(verified(across, at, k, num, den, bound), roots)
     return roots
 
 
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with one document of each component: that with the smallest id, once if its row repeats. Rows without an id stay."""
-    found = near_duplicates(docs.select(doc_id, text), k, num, den, doc_id, text)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_kept_rows"))
-    kept = common.stored(kept.withColumnRenamed("doc_id", "_kept_id"), "kept")
-    marked = docs.join(kept, F.col(doc_id) == F.col("_kept_id"))
-    once = marked.where("_kept_rows = 1").select(*docs.columns)
-    # rows that repeat an id are few: only they are sorted out
-    again = marked.where("_kept_rows > 1").dropDuplicates([doc_id]).select(*docs.columns)
-    return once.unionByName(again).unionByName(docs.where(F.col(doc_id).isNull()))
+    """`docs` with one row of each component: one of those with the smallest id (a null id is the largest), and of rows of that id one with the smallest
+    set. Rows that share an id and nothing else are no copies and all stay, as do rows without words."""
+    sets = described(docs, k, doc_id, text)
+    named = _rooted(sets.where("node <> 0"), set_components(docs, k, num, den, text), "node", "root")
+    per = named.groupBy("root", "doc_id", "node").agg(F.count(F.lit(1)).alias("n"))
+    least = per.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "n")).alias("k"))
+    least = common.stored(least.select(F.col("k.doc_id").alias("_kept_id"), F.col("k.node").alias("_kept_node"), F.col("k.n").alias("_kept_rows")), "kept")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([node_of(s) for s in sets_of(batch.column(text), k)], pa.int64())], [*batch.schema.names, "_set_node"])
+
+    marked = docs.mapInArrow(task, T.StructType([*docs.schema.fields, T.StructField("_set_node", T.LongType())]))
+    held = marked.join(least, (F.col("_set_node") == F.col("_kept_node")) & F.col(doc_id).cast("long").eqNullSafe(F.col("_kept_id")), "left")
+    held = common.stored(held.where("_set_node = 0 or _kept_rows is not null"), "kept-rows")
+    # rows equal in id and set are few: only they are sorted out
+    once = held.where("_set_node = 0 or _kept_rows = 1").select(*docs.columns)
+    return once.unionByName(held.where("_kept_rows > 1").dropDuplicates(["_kept_node"]).select(*docs.columns))
 
 
 def near_duplicates(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

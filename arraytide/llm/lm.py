@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arraytide.llm import common, rounds
-from arraytide.llm.hashing import U, mix, value_table, words
+from arraytide.llm.hashing import U, mix, value_table
+from arraytide.llm.vocab import words
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 END = U(0x5851F42D4C957F2D)

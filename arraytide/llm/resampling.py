@@ -33,7 +33,7 @@ ROWS = 256  # documents whose planes are held at a time
 
 def features(data: np.ndarray, offsets: np.ndarray, most: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bucket, row) of every feature, and the words of each row."""
-    code, row, known = vocab.coded(data, offsets, vocab.NOT_WORD)
+    code, known, row = vocab.coded(data, offsets, vocab.NOT_WORD)
     words = known.to_pylist()
     run, crc = code, np.array([zlib.crc32(w) for w in words], np.int64)
     found, rows = [crc[run] % buckets], [row]

@@ -1,10 +1,12 @@
 """Words of many texts as exact codes: equal codes are equal bytes, whatever the words look like."""
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
-from arraytide.llm.hashing import LOWER, word_spans
+from arraytide.llm.hashing import LOWER, SPACE, word_spans
 
 
 def outside(*ranges: tuple[int, int]) -> np.ndarray:
@@ -20,11 +22,25 @@ NOT_WORD = outside((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 NOT_TERM = outside((0x00, 0x60), (0x7B, 0x7F))
 
 
-def coded(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """(code, row, words by code) of the words of all rows, lower-cased in A-Z."""
+def coded(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(code, words by code, row) of the words of all rows, lower-cased in A-Z."""
     data = LOWER[data]
     start, end, row = word_spans(data, offsets, parts)
-    edges = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
-    inside = np.ascontiguousarray(data[~parts[data]])
-    words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(edges), pa.py_buffer(inside)]).dictionary_encode()
-    return words.indices.to_numpy().astype(np.int64), row, words.dictionary
+    return *codes(data[~parts[data]], np.concatenate([[0], np.cumsum(end - start)])), row
+
+
+def codes(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(code, strings by code) of the strings between one edge of `data` and the next."""
+    found = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+    return found.indices.to_numpy().astype(np.int64), found.dictionary
+
+
+def hashed(strings: pa.Array) -> np.ndarray:
+    """A 64-bit BLAKE2 hash of every string: no texts are known that share one, unlike sums of powers, which whole families of texts share."""
+    return np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=8).digest() for x in strings.to_pylist()), "<u8").astype(np.uint64)
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of every run of bytes outside [\\x20\\x09-\\x0D] after A-Z became a-z."""
+    code, known, row = coded(data, offsets, SPACE)
+    return hashed(known)[code], row
