@@ -31,7 +31,7 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
     """The pieces of every document; only longer ones are cut, and then the first piece takes what is over."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, found in tokens.encoded(batch, "text", tokenizer, with_space, end_id, literal=False):
+            for a, found in tokens.encoded(batch, "text", tokenizer, with_space, end_id):
                 rows: list[tuple] = []
                 for own, ids in zip(batch.column("doc_id").slice(a, len(found)).to_pylist(), found, strict=True):
                     first = (len(ids) - 1) % capacity + 1
@@ -167,14 +167,16 @@ def plan(histogram: dict[int, int], capacity: int = 2048, small_share: float = 0
     return p.runs, p.sequences
 
 
-def assign(pieces: DataFrame, capacity: int = 2048, small_share: float = 0.4, groups: int = 1024, shards: int = 64) -> DataFrame:
-    """`pieces` (a stored table) with sequence_id and offset. One length may hold most rows: ranks are taken per shard and carried over."""
+def assign(pieces: DataFrame, capacity: int = 2048, small_share: float = 0.4, groups: int = 1024, shard_rows: int = 200_000) -> DataFrame:
+    """`pieces` (a stored table) with sequence_id and offset. One length may hold most rows: ranks are taken per shard of about `shard_rows` pieces and
+    carried over; the most frequent length sets the number of shards."""
     spark = pieces.sparkSession
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
+    shards = max(histogram.values(), default=0) // shard_rows + 1
     runs, _ = plan(histogram, capacity, small_share, groups)
     table = spark.createDataFrame([tuple(map(int, r)) for r in runs], RUNS)
     own = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
-    before = own.groupBy("length", "shard").agg(F.count(F.lit(1)).alias("n"))  # at most capacity * shards rows
+    before = own.groupBy("length", "shard").agg(F.count(F.lit(1)).alias("n"))  
     before = before.select("length", "shard", (F.sum("n").over(Window.partitionBy("length").orderBy("shard")) - F.col("n")).alias("before"))
     inside = F.row_number().over(Window.partitionBy("length", "shard").orderBy("doc_id", "piece", "ids_crc32")) - 1
     ranked = own.withColumn("inside", inside).join(before, ["length", "shard"]).withColumn("rank", F.col("before") + F.col("inside"))

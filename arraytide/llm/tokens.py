@@ -1,11 +1,11 @@
 """Token ids of whole texts by the `tokenizers` library, encoding each distinct piece of text once per worker.
 
-A text is cut only where no token of the pre-tokenisers in use can cross: at single white space between other characters. Pieces are looked
-up by hash in a per-worker cache and only new ones go through the library; ids are then gathered with numpy. `tests/llm` holds the result
-against encoding whole texts directly.
+A text is cut only where no token of the pre-tokenisers in use can cross: at single white space between other characters. The pieces of a few
+hundred KB are told apart by their bytes, distinct ones looked up by a 64-bit BLAKE2 hash in a per-worker cache and only new ones go through the
+library; ids are then gathered with numpy. `tests/llm` holds the result against encoding whole texts directly.
 
 A special token of the file (<|endoftext|>) written out in a text is that token, as in the library's own call; no piece is cut inside one, since
-they hold no white space, full stop or comma. With `literal` its characters are encoded like any other text.
+they hold no white space, full stop or comma.
 """
 from __future__ import annotations
 
@@ -15,11 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from arraytide.llm import common
-from arraytide.llm.hashing import Substrings
+from arraytide.llm import common, vocab
 
 CACHE_IDS, LEARN = 8_000_000, 2_000
-_ENCODERS: dict[tuple[str, bool, bool], Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
 def piece_starts(data: np.ndarray, offsets: np.ndarray, with_space: bool) -> np.ndarray:
@@ -55,10 +54,9 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray, with_space: bool) -> np.
 class Encoder:
     """One tokenizer and the pieces it has seen. The cache is dropped when full, which costs time and changes nothing."""
 
-    def __init__(self, path: str, with_space: bool, literal: bool = True):
+    def __init__(self, path: str, with_space: bool):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = literal
         self.with_space = with_space
         self._clear()
 
@@ -68,6 +66,10 @@ class Encoder:
         self.count = np.empty(0, np.uint32)
         self.ids = np.empty(0, np.uint32)
 
+    @staticmethod
+    def _texts(pieces: pa.Array, at: np.ndarray) -> list[str]:
+        return [p.decode("utf-8", "replace") for p in pieces.take(pa.array(at)).to_pylist()]
+
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
         counts, ids = [], []
         for a in range(0, len(pieces), LEARN):  # the library's results are large objects: a few at a time
@@ -88,20 +90,20 @@ class Encoder:
         if not len(data):
             return np.empty(0, np.uint32), np.zeros(n + 1, np.int64)
         start = piece_starts(data, offsets, self.with_space)
-        end = np.append(start[1:], len(data))
-        hashes = Substrings(data, seed=3).of(start, end)
-        distinct, example, back = np.unique(hashes, return_index=True, return_inverse=True)
+        code, pieces = vocab.codes(data, np.append(start, len(data)))
+        hashes = vocab.hashed(pieces)
+        distinct, example = np.unique(hashes, return_index=True)
+        back = np.searchsorted(distinct, hashes)[code]
         at = np.searchsorted(self.keys, distinct)
         known = np.zeros(len(distinct), bool)
         inside = at < len(self.keys)
         known[inside] = self.keys[at[inside]] == distinct[inside]
         if not known.all():
-            raw, before = data.tobytes(), len(self.keys)
-            new = np.flatnonzero(~known)
-            self._learn(distinct[new], [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[example[new]].tolist(), end[example[new]].tolist(), strict=True)])
+            before, new = len(self.keys), np.flatnonzero(~known)
+            self._learn(distinct[new], self._texts(pieces, example[new]))
             if len(self.keys) < before + len(new):  # the cache was dropped: the pieces that were known come again
                 old = np.flatnonzero(known)
-                self._learn(distinct[old], [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[example[old]].tolist(), end[example[old]].tolist(), strict=True)])
+                self._learn(distinct[old], self._texts(pieces, example[old]))
             at = np.searchsorted(self.keys, distinct)
         first, count = self.first[at][back], self.count[at][back].astype(np.int64)
         total = np.concatenate([[0], np.cumsum(count)])
@@ -109,17 +111,17 @@ class Encoder:
         return ids, total[np.searchsorted(start, offsets)]
 
 
-def encoder(path: str, with_space: bool, literal: bool = True) -> Encoder:
-    if (path, with_space, literal) not in _ENCODERS:
-        _ENCODERS[path, with_space, literal] = Encoder(path, with_space, literal)
-    return _ENCODERS[path, with_space, literal]
+def encoder(path: str, with_space: bool) -> Encoder:
+    if (path, with_space) not in _ENCODERS:
+        _ENCODERS[path, with_space] = Encoder(path, with_space)
+    return _ENCODERS[path, with_space]
 
 
-def encoded(batch: pa.RecordBatch, text: str, path: str, with_space: bool, end_id: int, literal: bool = True) -> Iterator[tuple[int, list[np.ndarray]]]:
+def encoded(batch: pa.RecordBatch, text: str, path: str, with_space: bool, end_id: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(first row, ids of each row with `end_id` after them), a few MB of text at a time."""
     data, offsets = common.byte_column(batch.column(text))
     for a, b in common.row_slices(offsets):
-        ids, at = encoder(path, with_space, literal).encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
+        ids, at = encoder(path, with_space).encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
         yield a, [np.append(ids[i:j], np.uint32(end_id)) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
