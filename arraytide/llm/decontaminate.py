@@ -2,10 +2,11 @@
 
 Tokens are runs of letters and digits of the lower-cased text. An item is found in a document where, on one alignment, `window` tokens in a
 row agree but for at most `max_subs` substitutions; an item of fewer tokens is one window, with proportionally fewer. The two masks are
-chosen so that every such window holds a seed hit, whatever positions are substituted (a test tries them all), so no overlap is missed.
+chosen so that every such window holds a seed hit, whatever positions are substituted (a test tries them all), so no overlap is missed. An item of
+fewer than `min_tokens` tokens has no room for a mask: it is found where all its tokens stand in a row, by the hash of the whole of it.
 
-Defined results: a null text is empty; items of fewer than `min_tokens` tokens are no evidence and never match; repeated items or documents
-are matched each; an empty table on either side gives no matches.
+Defined results: a null text is empty; an item without tokens never matches; repeated items or documents are matched each, equal alignments once;
+an empty table on either side gives no matches; very long texts are compared whole; of further columns none is read, whatever its name.
 
 A benchmark whose seeds fit `broadcast_bytes` is sent to every executor and the documents are not shuffled at all; a larger one is joined by
 seed hash and the few documents hit are joined back for the verification. Both ways give the same rows.
@@ -26,25 +27,30 @@ def tokens(text: str | Column = "text") -> Column:
     return F.split(F.lower(common.text_of(text)), r"[^\p{L}\p{Nd}]+", -1)
 
 
-def seeds(table: DataFrame, tok: str, start: str = "j") -> DataFrame:
-    """The table once per place and mask, with the place as `start` and the seed hash as `h`. Places past the end look at nothing."""
-    places = F.explode(F.sequence(F.lit(0), F.size(tok) - min(m[-1] for m in MASKS) - 1))
-    t = table.where(F.size(tok) > min(m[-1] for m in MASKS)).select("*", places.alias(start))
+def seeds(table: DataFrame, tok: str, start: str = "j", masks: dict[int, tuple[int, ...]] | None = None) -> DataFrame:
+    """The table once per place and mask, with the place as `start` and the seed hash as `h`. Places past the end look at nothing.
+
+    A mask's number is part of its hashes, so only seeds of one mask meet.
+    """
+    masks = dict(enumerate(MASKS)) if masks is None else masks
+    least = min(m[-1] for m in masks.values())
+    t = table.where(F.size(tok) > least).select("*", F.explode(F.sequence(F.lit(0), F.size(tok) - least - 1)).alias(start))
 
     def seed(k: int, mask: tuple[int, ...]) -> Column:
         h = F.xxhash64(F.lit(k), *(F.get(tok, F.col(start) + p) for p in mask))
         return F.when(F.col(start) + mask[-1] < F.size(tok), h)
 
-    return t.select("*", F.explode(F.array(*(seed(k, m) for k, m in enumerate(MASKS)))).alias("h")).where("h is not null")
+    return t.select("*", F.explode(F.array(*(seed(k, m) for k, m in masks.items()))).alias("h")).where("h is not null")
 
 
-def _verified(window: int, max_subs: int) -> Column:
+def _verified(window: int, max_subs: int, min_tokens: int) -> Column:
     """array of first positions (in the document) of the good windows of `tok` against `item_tok` on the alignment `shift`."""
     lo, hi = F.greatest(F.lit(0), -F.col("shift")), F.least(F.size("item_tok"), F.size("tok") - F.col("shift"))
     n = F.greatest(hi - lo, F.lit(0))
     same = F.zip_with(F.slice("tok", lo + F.col("shift") + 1, n), F.slice("item_tok", lo + 1, n), lambda a, b: F.when(a == b, 0).otherwise(1))
     w = F.least(F.lit(window), F.size("item_tok"))
-    subs = F.when(F.size("item_tok") >= window, F.lit(max_subs)).otherwise(F.floor(F.size("item_tok") * max_subs / window))
+    subs = (F.when(F.size("item_tok") >= window, F.lit(max_subs)).when(F.size("item_tok") < min_tokens, F.lit(0))
+            .otherwise(F.floor(F.size("item_tok") * max_subs / window)))
     good = F.filter(F.sequence(F.lit(0), n - w), lambda k: F.size(F.filter(F.slice(same, k + 1, w), lambda x: x == 1)) <= subs)
     return F.when(n >= w, F.transform(good, lambda k: k + lo + F.col("shift"))).otherwise(F.array().cast("array<int>"))
 
@@ -53,25 +59,33 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, max_subs: i
             text: str = "text", item_id: str = "item_id", item_text: str = "text", broadcast_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, item_id, shift, n_windows, first_token, last_token: one row per document, item and alignment that holds a good window."""
     items = benchmark.select(F.col(item_id).alias("item_id"), F.array_remove(tokens(item_text), "").alias("item_tok"))
-    items = items.where(F.size("item_tok") >= min_tokens).distinct().withColumn("item", F.xxhash64("item_id", "item_tok"))
+    items = items.where(F.size("item_tok") > 0).distinct().withColumn("item", F.xxhash64("item_id", "item_tok"))
     items = common.stored(items, "benchmark-items")
     held = items.agg(F.sum(F.size("item_tok") * len(MASKS) * 40 + F.octet_length(F.array_join("item_tok", " "))).alias("n")).first()["n"] or 0
     small = held <= broadcast_bytes
-    keys = seeds(items, "item_tok", "j").select("h", "item", "j")
+    short = F.size("item_tok") < min_tokens
+    # the lengths of short items: fewer than `min_tokens` numbers
+    lengths = sorted(r[0] for r in items.where(short).select(F.size("item_tok")).distinct().collect())
+    whole = {-n: tuple(range(n)) for n in lengths}
+    keys = seeds(items.where(~short), "item_tok", "j").select("h", "item", "j")
+    for k, mask in whole.items():
+        keys = keys.unionByName(seeds(items.where(F.size("item_tok") == len(mask)), "item_tok", "j", {k: mask}).select("h", "item", "j"))
+    masks = dict(enumerate(MASKS)) | whole
     own = docs.select(F.col(doc_id).alias("doc_id"), tokens(text).alias("tok"))
     shift = (F.col("i") - F.col("j")).alias("shift")
     if small:
-        hits = (seeds(own, "tok", "i").join(F.broadcast(keys), "h").select("doc_id", "tok", "item", shift)
+        hits = (seeds(own, "tok", "i", masks).join(F.broadcast(keys), "h").select("doc_id", "tok", "item", shift)
                 .join(F.broadcast(items), "item"))
     else:
         # documents without or with the same id meet their own text again through its hash
         marked = own.withColumn("mark", F.xxhash64("doc_id", "tok"))
-        hits = (seeds(marked, "tok", "i").select("mark", "i", "h").join(keys, "h").select("mark", "item", shift).distinct()
+        hits = (seeds(marked, "tok", "i", masks).select("mark", "i", "h").join(keys, "h").select("mark", "item", shift).distinct()
                 .join(marked, "mark").join(items, "item"))
-    good = hits.select("doc_id", "item_id", "shift", _verified(window, max_subs).alias("good")).where(F.size("good") > 0)
+    good = hits.select("doc_id", "item_id", "shift", _verified(window, max_subs, min_tokens).alias("good"),
+                       F.least(F.lit(window), F.size("item_tok")).alias("width")).where(F.size("good") > 0)
     return good.groupBy("doc_id", "item_id", "shift").agg(
         F.max(F.size("good")).alias("n_windows"), F.min(F.get("good", F.lit(0))).alias("first_token"),
-        F.max(F.element_at("good", -1) + F.lit(window - 1)).alias("last_token"))
+        F.max(F.element_at("good", -1) + F.col("width") - 1).alias("last_token"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
