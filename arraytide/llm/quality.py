@@ -154,7 +154,9 @@ def train(docs: DataFrame, graded: DataFrame, max_rows: int = 8_000, bits: int =
                                                   pa.array([idx[i:j].astype("<u4").tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())],
                                                  ["doc_id", "grade", "idx"])
 
-    rows = sample.mapInArrow(task, "doc_id long, grade int, idx binary").toPandas().drop_duplicates().sort_values(["doc_id", "idx"])
+    # an id may have many rows: one of them learns, so the sample is bounded in rows as it is in labels
+    one = sample.mapInArrow(task, "doc_id long, grade int, idx binary").groupBy("doc_id", "grade").agg(F.min("idx").alias("idx"))
+    rows = one.toPandas().sort_values("doc_id")
     if rows["grade"].nunique() < 2:
         return None
     lists = [np.frombuffer(x, "<u4").astype(np.int64) for x in rows["idx"]]
