@@ -1,9 +1,9 @@
 """Secret scans: spans found by patterns inside texts, judged by how many owners and repositories share each candidate.
 
 Everything runs as column expressions. Patterns give the spans (code points, end exclusive); candidate values are hashed and counted over
-the corpus by distinct repository and distinct owner. A value that at most `max_owners` owners hold looks live, one that more hold is a
-copied example. `opaque` runs (32 and more mixed characters with no keyword) are too vague to be secrets by shape alone, so they count only
-where the corpus says that they belong to one owner; the other kinds count always and carry the verdict in n_live and n_copied.
+the corpus by distinct repository and distinct owner. A value that at most `max_owners` owners hold, in at most `max_repositories` of
+their repositories, looks live; one that more owners or repositories hold is a copied example. `opaque` runs (32 and more mixed characters with no keyword) are too vague to be secrets by shape alone, so they count only
+where the corpus says that they are live; the other kinds count always and carry the verdict in n_live and n_copied.
 
 Defined results: a null text is empty; a null owner or repository is one owner or repository of its own; repeated rows are judged each and
 add nothing to distinct counts; an empty table gives an empty result.
@@ -72,11 +72,11 @@ def ownership(scanned: DataFrame) -> DataFrame:
     return owners.join(repos, "value")
 
 
-def judged(scanned: DataFrame, max_owners: int = 1) -> DataFrame:
+def judged(scanned: DataFrame, max_owners: int = 1, max_repositories: int = 3) -> DataFrame:
     """uid, spans (start, kind, end): those that count, in order; n_live and n_copied of them. Rows without a candidate are not listed."""
     c = scanned.where(F.size("spans") > 0).select("uid", F.explode("spans").alias("s")).select(
         "uid", F.col("s.start").alias("start"), F.col("s.kind").alias("kind"), F.col("s.end").alias("end"), F.col("s.value").alias("value"))
-    c = c.join(ownership(scanned), "value").withColumn("live", F.col("n_owners") <= max_owners)
+    c = c.join(ownership(scanned), "value").withColumn("live", (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories))
     c = c.where((F.col("kind") != OPAQUE) | F.col("live"))
     return c.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"),
                                 F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_copied"))
@@ -88,7 +88,7 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def report(docs: DataFrame, max_owners: int = 1, doc_id: str = "doc_id", text: str = "text", owner: str = "source",
+def report(docs: DataFrame, max_owners: int = 1, max_repositories: int = 3, doc_id: str = "doc_id", text: str = "text", owner: str = "source",
            repository: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """Per document: counts of the base kinds, SHA-256 of the base spans, all spans that count, n_live and n_copied."""
     scanned = scan(docs, text, owner, repository, (doc_id,))
@@ -96,7 +96,7 @@ def report(docs: DataFrame, max_owners: int = 1, doc_id: str = "doc_id", text: s
     counts = [F.size(F.filter("spans", _of_kind(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(BASE)]
     own = scanned.select(F.col(f"k_{doc_id}").alias(doc_id), "uid", *counts, F.sha2(written(base), 256).alias("base_sha256"),
                          (F.size("spans") > 0).alias("any"))
-    found = judged(scanned, max_owners).select("uid", written(F.col("spans")).alias("spans"), "n_live", "n_copied")
+    found = judged(scanned, max_owners, max_repositories).select("uid", written(F.col("spans")).alias("spans"), "n_live", "n_copied")
     none = own.where(~F.col("any")).select("*", F.lit("").alias("spans"), F.lit(0).cast("long").alias("n_live"), F.lit(0).cast("long").alias("n_copied"))
     some = own.where("any").join(found, "uid", "left").fillna({"spans": "", "n_live": 0, "n_copied": 0})
     return none.unionByName(some).drop("uid", "any")
@@ -115,14 +115,14 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     return F.when(F.size(spans) > 0, done).otherwise(text)
 
 
-def redact(docs: DataFrame, max_owners: int = 1, text: str = "text", owner: str = "source",
+def redact(docs: DataFrame, max_owners: int = 1, max_repositories: int = 3, text: str = "text", owner: str = "source",
            repository: tuple[str, ...] = ("source", "lang"), n_chars: str | None = "n_chars") -> DataFrame:
     """`docs` with every secret that counts replaced and `n_chars` recounted where something was; a null text stays null."""
     columns = docs.columns
     scanned = scan(docs, text, owner, repository, tuple(columns), "secret-rows")
     whole = scanned.select(F.col("uid").alias("_secret_uid"), F.size("spans").alias("_secret_n"), *(F.col(f"k_{c}").alias(c) for c in columns))
     clean = whole.where("_secret_n = 0").select(*columns)
-    found = judged(scanned, max_owners).select(F.col("uid").alias("_secret_uid"), F.col("spans").alias("_secret_spans"))
+    found = judged(scanned, max_owners, max_repositories).select(F.col("uid").alias("_secret_uid"), F.col("spans").alias("_secret_spans"))
     dirty, spans = whole.where("_secret_n > 0").join(found, "_secret_uid", "left"), F.col("_secret_spans")
     dirty = dirty.withColumn(text, F.when(spans.isNotNull(), redacted(F.col(text), spans)).otherwise(F.col(text)))
     if n_chars in columns:
