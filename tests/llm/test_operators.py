@@ -97,7 +97,7 @@ def test_masks_hit_every_window_with_substitutions():
 
 def test_decontamination_tolerates_substitutions_both_ways(spark, docs, texts):
     rng = random.Random(9)
-    items = [(1, prose(rng, 30)), (2, prose(rng, 9)), (3, "too short"), (4, None), (5, prose(rng, 13)), (1, prose(rng, 20)), (None, prose(rng, 15))]
+    items = [(1, prose(rng, 30)), (2, prose(rng, 9)), (3, "too short"), (6, prose(rng, 7)), (7, "Qxone"), (4, None), (8, " .,"), (5, prose(rng, 13)), (1, prose(rng, 20)), (None, prose(rng, 15))]
     extra = []
     for n, (_, text) in enumerate(items):
         for subs in (0, 1, 2, 3):
@@ -115,7 +115,7 @@ def test_decontamination_tolerates_substitutions_both_ways(spark, docs, texts):
         for i, item in items:
             b = tok(item)
             w = min(13, len(b))
-            if len(b) >= 8 and any(sum(a[x + k] != b[y + k] for k in range(w)) <= (2 if len(b) >= 13 else 2 * len(b) // 13)
+            if b and any(sum(a[x + k] != b[y + k] for k in range(w)) <= (2 if len(b) >= 13 else 2 * len(b) // 13 if len(b) >= 8 else 0)
                                    for x in range(len(a) - w + 1) for y in range(len(b) - w + 1)):
                 want.add((d, i))
     for limit in (1 << 24, 0):
@@ -193,6 +193,54 @@ def test_jaccard_components_are_exact(docs, texts, k, num):
     assert max(map(len, names.values())) >= 5
 
 
+def test_short_items_and_the_last_token(spark):
+    rng = random.Random(4)
+    item = {n: [f"t{n}x{j}" for j in range(n)] for n in range(1, 14)}
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in item.items()], "item_id long, text string")
+    rows = [(n, " ".join([*prose(rng, 20).split(), *w, *prose(rng, 5).split()])) for n, w in item.items()] + [(100 + n, " ".join(w)) for n, w in item.items()]
+    rows += [(200 + n, " ".join(w[:-1])) for n, w in item.items() if n < 8]  # all but the last token
+    t = spark.createDataFrame(rows, "doc_id long, text string")
+    for limit in (1 << 24, 0):
+        got = {(r["doc_id"], r["item_id"]): (r["first_token"], r["last_token"]) for r in spark_rows(decontaminate.matches(t, bench, broadcast_bytes=limit))}
+        assert got == {**{(n, n): (20, 19 + n) if n < 13 else got[n, n] for n in item}, **{(100 + n, n): (0, n - 1) for n in item}}
+
+
+def thue_morse(a, b, turns):
+    one, two = a, b
+    for _ in range(turns):
+        one, two = one + two, two + one
+    return one, two
+
+
+def test_texts_that_sums_of_powers_confuse_stay_apart(spark):
+    from tokenizers import Tokenizer
+    one, two = thue_morse("a", "b", 11)
+    t = spark.createDataFrame([(1, one), (2, two), (3, f"{one} x"), (4, f"{two} x")], "doc_id long, text string").coalesce(1)
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = tokenizer_files.path(name)
+        direct = Tokenizer.from_file(path)
+        got = {r["doc_id"]: r["ids_crc32"] for r in packing.cut(t, path, capacity=10 ** 6, with_space=name.startswith("byte")).collect()}
+        for i, x in ((1, one), (2, two), (3, one + " x"), (4, two + " x")):
+            assert got[i] == zlib.crc32(np.array([*direct.encode(x, add_special_tokens=False).ids, 0], "<u4").tobytes())
+    assert len({r["component_id"] for r in jaccard.near_duplicates(t).collect()}) == 4
+    scored = {r["doc_id"]: r for r in lm.score(t).collect()}
+    learned = [i for i in range(1, 5) if not scored[i]["held_out"]]
+    texts = {1: one, 2: two, 3: one + " x", 4: two + " x"}
+    words = collections.Counter(w for i in learned for w in texts[i].split())
+    assert all(scored[i]["n_known"] == sum(w in words for w in texts[i].split()) + 1 for i in texts)
+
+
+def test_one_of_each_tells_texts_of_one_id_apart(spark):
+    rng = random.Random(8)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    near = " ".join([*a.split()[:-1], "end"])
+    rows = [(1, a), (1, b), (2, near), (3, b), (None, c), (None, c), (7, None), (8, ""), (1, a), (4, near)]
+    t = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumn("_note", F.lit(1)).withColumn("node", F.lit("x"))
+    kept = jaccard.one_of_each(t)
+    assert kept.columns == t.columns
+    assert sorted((tuple(r)[:2] for r in kept.collect()), key=str) == sorted([(1, a), (1, b), (None, c), (7, None), (8, "")], key=str)
+
+
 def test_one_of_each_keeps_columns_and_one_row(spark, docs):
     kept = jaccard.one_of_each(docs)
     assert kept.columns == docs.columns
@@ -268,6 +316,14 @@ def test_components_of_chains_stars_and_loops(spark):
     rng.shuffle(pairs)
     got = {r["node"]: r["component_id"] for r in spark_rows(components.components(spark.createDataFrame(pairs, "u long, v long").repartition(6)))}
     assert got == {**{i: 0 for i in range(1, 201)}, **{500 + i: 500 for i in range(1, 60)}, 901: 900}
+    # the same in steps: every call joins what the last one found
+    stars = None
+    for k in range(4):
+        some = spark.createDataFrame([p for i, p in enumerate(pairs) if i % 4 == k] if k < 3 else pairs[3::4], "u long, v long")
+        stars = components.components(some, stars)
+    assert {r["node"]: r["component_id"] for r in spark_rows(stars)} == got
+    none = spark.createDataFrame([], "u long, v long")
+    assert components.components(none).count() == 0 and components.components(none, stars).count() == len(got)
 
 
 # ---- packing and token files
@@ -284,7 +340,6 @@ def test_cached_encoding_equals_direct_encoding(texts, name, with_space):
     from tokenizers import Tokenizer
     path = tokenizer_files.path(name)
     direct = Tokenizer.from_file(path)
-    direct.encode_special_tokens = True
     rng = random.Random(1)
     parts = ["a", "The", " ", " ", "\n", ".", ",", "é", "'s", "12", "ß", "\t", "!", "-", "的", "́", "😀"]
     all_texts = SAMPLES + ["".join(rng.choice(parts) for _ in range(30)) for _ in range(300)] + [t or "" for _, t in texts[:60]]
@@ -325,10 +380,16 @@ def test_plan_is_gapless_and_close_to_the_least(lengths):
 def direct_ids(texts, name, end):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizer_files.path(name))
-    t.encode_special_tokens = True
     return [np.array([*e.ids, end], "<u4") for e in t.encode_batch([x or "" for _, x in texts], add_special_tokens=False)]
 
 
+def test_one_length_is_ranked_in_shards(spark):
+    t = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("same words").alias("text"))
+    pieces = common.stored(packing.cut(t, tokenizer_files.path("byte_bpe_50k.json")), "pieces")
+    got = packing.assign(pieces, shard_rows=300).groupBy("sequence_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("offset").alias("d"), F.max("offset").alias("o"), F.max("length").alias("l")).collect()
+    assert sum(r["n"] for r in got) == 5000 and all(r["n"] == r["d"] and r["o"] == (r["n"] - 1) * r["l"] and r["o"] + r["l"] <= 2048 for r in got)
+
+
 def test_packing_covers_every_document(docs, texts):
     got = spark_rows(packing.pack(docs, tokenizer_files.path("byte_bpe_50k.json")))
     want = collections.Counter()
@@ -591,6 +652,15 @@ def test_secret_spans_and_ownership(secret_docs):
     assert secrets.report(secret_docs.limit(0)).count() == 0
 
 
+def test_secrets_in_many_repositories_of_one_owner_are_copies(spark):
+    rows = [(i, f"k {OPAQUE} secret=abcdefghijklmn{i % 2}", "s1", f"l{i % n}") for n, at in ((2, 0), (5, 100)) for i in range(at, at + 10)]
+    rows = [(i, x.replace("Zz9", "Zz8") if i < 100 else x, s, g) for i, x, s, g in rows]
+    t = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    by = {r["doc_id"]: r for r in spark_rows(secrets.report(t))}
+    assert all("opaque" in by[i]["spans"] and "opaque" not in by[100 + i]["spans"] for i in range(10))
+    assert {by[100 + i]["n_live"] for i in range(10)} == {0} and secrets.report(t, max_repositories=9).where("n_live > 0").count() == 20
+
+
 def test_secret_redaction_keeps_rows_and_columns(secret_docs):
     out = secrets.redact(secret_docs)
     assert out.columns == secret_docs.columns and out.count() == len(SECRETS)
