@@ -31,11 +31,22 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """`df` computed once, written to the shared folder and read back: a lineage cut that survives lost executors."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def stored(df: DataFrame, name: str, batch_bytes: int = 8 << 20) -> DataFrame:
+    """`df` computed once, written to the shared folder and read back: a lineage cut that survives lost executors.
+
+    While it is written, Python tasks get batches of about `batch_bytes`, since a batch is held by the executor and by the worker at once.
+    """
+    spark = df.sparkSession
+    path, before = shared_path(spark, name), spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, str(batch_bytes))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_of(col: str | Column = "text") -> Column:

@@ -1,6 +1,12 @@
-"""Polynomial hashes of substrings and word windows over whole byte arrays (numpy, no per-word Python)."""
+"""Hashes of substrings, words and word windows over whole byte arrays (numpy, no per-word Python).
+
+Sums of powers (`Substrings`) serve windows of one width; strings that decide what a text is are hashed by `chained`, since whole families of
+texts share sums of powers.
+"""
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 U = np.uint64
@@ -56,6 +62,8 @@ class Substrings:
         return mix((self.sums[lo + width: hi + width] - self.sums[lo:hi]) * self.inverse[lo:hi])
 
 
+LONG = 512  # strings beyond it are hashed one by one
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
@@ -79,6 +87,28 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray = SPACE)
     return start, end, np.searchsorted(offsets, start, "right") - 1
 
 
+def chained(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each [start, end), eight bytes a step. A step is one to one in the bytes and in what came before, so strings of up to eight bytes of
+    one length never share a hash, and there is no rule by which longer ones do."""
+    length = end - start
+    at = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))  # the eight bytes from each place on
+    out = mix((length + 1).astype(np.uint64) * U(0x9E3779B97F4A7C15))
+    for i in np.flatnonzero(length > LONG).tolist():
+        out[i] ^= U(int.from_bytes(hashlib.blake2b(data[start[i]: end[i]].tobytes(), digest_size=8).digest(), "little"))
+    now, done = np.flatnonzero((length > 0) & (length <= LONG)), 0
+    while len(now):
+        left = length[now] - done
+        out[now] = mix(out[now] ^ (at[start[now] + done] & LOW_BYTES[np.minimum(left, 8)]))
+        now, done = now[left > 8], done + 8
+    return out
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of every word after A-Z became a-z."""
+    start, end, row = word_spans(data, offsets)
+    return chained(LOWER[data], start, end), row
+
+
 def windows(hashes: np.ndarray, row: np.ndarray, rows: int, k: int) -> list[np.ndarray]:
     """Per row the sorted distinct hashes of its k-word windows; a row of 1 to k - 1 words has one, the whole row."""
     bounds = np.searchsorted(row, np.arange(rows + 1))
