@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import stretches
+from ..session import cut_lineage
 
 
 def select_stretches(scores: DataFrame, kept: DataFrame, keys: list[str], hour: str, lines: list[str], pos: str,
@@ -14,6 +15,7 @@ def select_stretches(scores: DataFrame, kept: DataFrame, keys: list[str], hour:
     `scores` is the hour table and `kept` the sample positions the mask keeps; `scale` samples make one hour.
     A refused row keeps its bounds, so what was chosen is still reported.
     """
+    scores = cut_lineage(scores)  # one row per hour, read by all that follows
     best = stretches.longest_stretch(scores, keys, hour, lines, coh_min, max_hours, block)
     spans = scores.groupBy(*keys).agg(F.min(hour).alias("t0"), (F.max(hour) + 1).alias("t1"))
     ctrl = stretches.control_stretch(best, spans, keys, seed)

@@ -1,7 +1,7 @@
 """How the driver's tables stand in for station records, once in Spark and once as SQL common table expressions.
 
     events      user -> station, event -> sample, event type -> channel
-    lineitem    nation of the supplier -> station, ship date -> axis position, five daily channels
+    lineitem    nation (or region) of the supplier -> station, ship date -> axis position, five daily channels
     orders      customer -> station span; rows of a run ledger
     embeddings  one array-valued signal per row
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import axis
+from ..operators import axis, hours
 
 # ---------------------------------------------------------------- events
 
@@ -39,19 +39,6 @@ def hs(t) -> DataFrame:
     return axis.place(d, ["site"], "i", ["value"], ["us", "event_id"]).withColumnRenamed("value", "v")
 
 
-# six-hour quality scores of one station, both in (0, 1)
-SCORE_S = 21600
-SC = f"""sc AS (SELECT site, sec // {SCORE_S} AS i, 5000.0 * count(*) / (5000.0 * count(*) + sum(cents)) AS coh_xy,
-  1.0 - sum(k) / (100.0 * count(*)) AS coh_yx FROM ev GROUP BY 1, 2)"""
-
-
-def sc(t) -> DataFrame:
-    n = F.count(F.lit(1))
-    return (ev(t).withColumn("i", F.floor(F.col("sec") / SCORE_S)).groupBy("site", "i")
-            .agg((5000.0 * n / (5000.0 * n + F.sum("cents"))).alias("coh_xy"),
-                 (1.0 - F.sum("k") / (100.0 * n)).alias("coh_yx")))
-
-
 # ---------------------------------------------------------------- lineitem as a daily five-channel record
 
 REC = """rec AS MATERIALIZED (SELECT s_nationkey AS site, epoch_us(l_shipdate) // 86400000000 AS i,
@@ -65,6 +52,14 @@ DAX = """dax AS MATERIALIZED (SELECT b.site, b.i, r.hx, r.hy, r.hz, r.ex, r.ey F
   LEFT JOIN rec r ON r.site = b.site AND r.i = b.i)"""
 
 
+# the regions as stations: enough rows a day that whole segments exist at every scale; every 97th day is out of service
+RGN = """rgn AS MATERIALIZED (SELECT n_regionkey AS site, i, sum(hx) AS hx, sum(hy) AS hy, sum(hz) AS hz, CAST(round(sum(ex) * 100) AS BIGINT) / 100.0 AS ex,
+  CAST(round(sum(ey) * 100) AS BIGINT) / 100.0 AS ey FROM rec JOIN nation ON n_nationkey = rec.site WHERE i % 97 <> 13 GROUP BY 1, 2)"""
+
+RAX = """rax AS MATERIALIZED (SELECT b.site, b.i, r.hx, r.hy, r.hz, r.ex, r.ey FROM
+  (SELECT site, unnest(generate_series(min(i), max(i))) AS i FROM rgn GROUP BY site) b LEFT JOIN rgn r ON r.site = b.site AND r.i = b.i)"""
+
+
 def day_no(c):
     return F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
 
@@ -91,6 +86,17 @@ def dax(t) -> DataFrame:
     return axis.densify(rec(t), ["site"], "i", CH, block=DAY_BLOCK)
 
 
+def rgn(t) -> DataFrame:
+    d = rec(t).where(F.col("i") % 97 != 13).join(t.nation.select(F.col("n_nationkey").cast("bigint").alias("site"), F.col("n_regionkey").cast("bigint").alias("region")), "site")
+    cents = lambda c: F.round(F.sum(c) * 100).cast("bigint") / 100.0
+    return d.groupBy(F.col("region").alias("site"), "i").agg(F.sum("hx").alias("hx"), F.sum("hy").alias("hy"), F.sum("hz").alias("hz"), cents("ex").alias("ex"), cents("ey").alias("ey"))
+
+
+def rax(t) -> DataFrame:
+    """The daily record of every region on its dense axis, gaps as NULL."""
+    return axis.densify(rgn(t), ["site"], "i", CH, block=DAY_BLOCK)
+
+
 # ---------------------------------------------------------------- orders as spans and as a ledger
 
 SP = """sp AS (SELECT o_custkey AS site, epoch_us(min(o_orderdate)) // 1000000 AS t_start,
@@ -108,6 +114,29 @@ def sp(t) -> DataFrame:
 
 # ---------------------------------------------------------------- lineitem as response curves
 
+# hour scores of the regions: 32 days make an hour, segments are 16 days long
+HOUR, SEGMENT = 32, 16
+SCORED = """hb AS (SELECT site, i // 32 AS hour, i % 32 AS p, unnest(['ex', 'hy', 'ey', 'hx']) AS chan, unnest([ex, hy, ey, hx]) AS x FROM rax),
+hw AS MATERIALIZED (SELECT site, hour, chan, count(x) AS n FROM hb GROUP BY ALL HAVING count(*) = 32),
+hg AS (SELECT hb.site, hb.hour, hb.chan, s, p - 8 * s AS q, x FROM hb JOIN hw USING (site, hour, chan), (SELECT unnest([0, 1, 2]) AS s) WHERE n = 32 AND p BETWEEN 8 * s AND 8 * s + 15),
+hm AS (SELECT site, hour, s, chan, avg(x) AS m FROM hg GROUP BY ALL),
+hf AS MATERIALIZED (SELECT hg.site, hg.hour, hg.s, hg.chan, f, sum((0.5 - 0.5 * cos(2 * pi() * q / 16.0)) * (x - m) * cos(2 * pi() * f * q / 16.0)) AS re,
+  -sum((0.5 - 0.5 * cos(2 * pi() * q / 16.0)) * (x - m) * sin(2 * pi() * f * q / 16.0)) AS im FROM hg JOIN hm USING (site, hour, s, chan), (SELECT unnest(range(1, 7)) AS f) GROUP BY ALL),
+hc AS (SELECT a.site, a.hour, a.chan, a.f, (pow(sum(a.re * b.re + a.im * b.im), 2) + pow(sum(a.im * b.re - a.re * b.im), 2)) / nullif(sum(a.re * a.re + a.im * a.im) * sum(b.re * b.re + b.im * b.im), 0) AS g
+  FROM hf a JOIN hf b ON a.site = b.site AND a.hour = b.hour AND a.s = b.s AND a.f = b.f AND b.chan = CASE a.chan WHEN 'ex' THEN 'hy' WHEN 'ey' THEN 'hx' END GROUP BY ALL),
+hv AS (SELECT site, hour, median(g) FILTER (WHERE chan = 'ex') AS xy, median(g) FILTER (WHERE chan = 'ey') AS yx FROM hc GROUP BY ALL),
+sc AS MATERIALIZED (SELECT site, hour AS i, round(xy, 6) AS coh_xy, round(yx, 6) AS coh_yx FROM (SELECT DISTINCT site, hour FROM hw) LEFT JOIN hv USING (site, hour))"""
+
+
+def scored(t) -> DataFrame:
+    """site, hour, coh_xy, coh_yx, score."""
+    return hours.hour_scores(rax(t), ["site"], "i", HOUR, SEGMENT, (2.5, 20.0))
+
+
+def sc(t) -> DataFrame:
+    return scored(t).select("site", F.col("hour").alias("i"), "coh_xy", "coh_yx")
+
+
 KINDS = ("remote", "stack", "obs")
 # the three kinds sit on grids 5 % and 3 % apart, so a comparison of two kinds has to interpolate
 SHIFT = "CASE kind WHEN 'stack' THEN 1.05 WHEN 'obs' THEN 0.97 ELSE 1.0 END"

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import axis, intervals, islands, stretches
-from .bind import CH, DAX, DAY_BLOCK, EV, HS, REC, SC, SCORE_S, dax, ev, hs, rec, sc, with_
+from .bind import CH, DAX, DAY_BLOCK, EV, HOUR, HS, RAX, REC, RGN, SCORED, dax, ev, hs, rec, rgn, sc, with_
 from .registry import query
 
 HB = 96          # hourly block: small, so that the local tables cross many block edges
@@ -146,8 +146,8 @@ def half_masks(t):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-STRETCH = """f AS (SELECT site, i, (coh_xy + coh_yx) / 2 AS s, coh_xy > 0.3 AND coh_yx > 0.3 AS ok FROM sc),
-cnt AS (SELECT site, count(*) AS n_scored, count(*) FILTER (WHERE ok) AS n_above FROM f GROUP BY site),
+STRETCH = """f AS (SELECT site, i, (coh_xy + coh_yx) / 2 AS s, coalesce(coh_xy > 0.3 AND coh_yx > 0.3, false) AS ok, coh_xy, coh_yx FROM sc),
+cnt AS (SELECT site, count(*) FILTER (WHERE coh_xy IS NOT NULL OR coh_yx IS NOT NULL) AS n_scored, count(*) FILTER (WHERE ok) AS n_above FROM f GROUP BY site),
 r AS (SELECT site, min(i) AS a, max(i) AS z, count(*) AS len FROM (SELECT site, i, i - row_number() OVER (PARTITION BY site ORDER BY i) AS g
   FROM f WHERE ok) GROUP BY site, g),
 b AS (SELECT *, count(*) OVER (PARTITION BY site) AS n_runs FROM r QUALIFY row_number() OVER (PARTITION BY site ORDER BY len DESC, a) = 1),
@@ -168,14 +168,14 @@ def best(t):
 
 
 @query("runs_above", "site:b run_start:b run_end:b run_len:b", "W4",
-       with_(EV, SC) + """SELECT site, min(i) AS run_start, max(i) AS run_end, count(*) AS run_len FROM (SELECT site, i,
+       with_(REC, RGN, RAX, SCORED) + """SELECT site, min(i) AS run_start, max(i) AS run_end, count(*) AS run_len FROM (SELECT site, i,
   i - row_number() OVER (PARTITION BY site ORDER BY i) AS g FROM sc WHERE coh_xy > 0.5 AND coh_yx > 0.5) GROUP BY site, g""")
 def runs_above(t):
     return stretches.runs_above(sc(t), ["site"], "i", ["coh_xy", "coh_yx"], block=32)
 
 
 @query("best_stretch", BEST_COLS, "W5 D12",
-       with_(EV, SC, STRETCH) + """SELECT *, coalesce(t_end - t_start, 0) AS hours, CASE WHEN t_start IS NULL THEN
+       with_(REC, RGN, RAX, SCORED, STRETCH) + """SELECT *, coalesce(t_end - t_start, 0) AS hours, CASE WHEN t_start IS NULL THEN
   'no hour reads above the threshold on every named line' WHEN cut THEN 'the best hours inside the longest contiguous run'
   ELSE 'the longest contiguous run' END AS reason FROM st""")
 def best_stretch(t):
@@ -195,16 +195,16 @@ def control(t, b):
 
 
 @query("control_stretch", "site:b t_start:b t_end:b hours:b n_free:b", "W21",
-       with_(EV, SC, STRETCH, CONTROL) + """SELECT site, t AS t_start, t + hours AS t_end, CASE WHEN n_free > 0 THEN hours ELSE 0 END AS hours, n_free FROM ct""")
+       with_(REC, RGN, RAX, SCORED, STRETCH, CONTROL) + """SELECT site, t AS t_start, t + hours AS t_end, CASE WHEN n_free > 0 THEN hours ELSE 0 END AS hours, n_free FROM ct""")
 def control_stretch(t):
     return control(t, best(t))
 
 
 @query("stretch_verdict", "site:b rule:s t_start:b t_end:b n_runs_kept:b kept_samples:b refused:s", "T7 A29",
-       with_(EV, SC, STRETCH, CONTROL, """sel AS (SELECT site, 'stretch' AS rule, t_start, t_end FROM st
+       with_(REC, RGN, RAX, SCORED, STRETCH, CONTROL, """sel AS (SELECT site, 'stretch' AS rule, t_start, t_end FROM st
   UNION ALL SELECT site, 'control' AS rule, t AS t_start, t + hours AS t_end FROM ct),
-kept AS (SELECT DISTINCT site, sec // 3600 AS h FROM ev WHERE etype <> 'error'),
-ki AS (SELECT sel.site, sel.rule, h FROM sel JOIN kept ON kept.site = sel.site AND h >= t_start * 6 AND h < t_end * 6),
+kept AS (SELECT site, i AS h FROM rgn WHERE hz > ex),
+ki AS (SELECT sel.site, sel.rule, h FROM sel JOIN kept ON kept.site = sel.site AND h >= t_start * 32 AND h < t_end * 32),
 kr AS (SELECT site, rule, count(*) AS len FROM (SELECT *, h - row_number() OVER (PARTITION BY site, rule ORDER BY h) AS g FROM ki) GROUP BY site, rule, g HAVING count(*) >= 2),
 ka AS (SELECT site, rule, count(*) AS n_runs_kept, sum(len) AS kept_samples FROM kr GROUP BY 1, 2)""")
        + """SELECT sel.site, sel.rule, t_start, t_end, coalesce(n_runs_kept, 0) AS n_runs_kept, coalesce(kept_samples, 0) AS kept_samples,
@@ -212,9 +212,9 @@ ka AS (SELECT site, rule, count(*) AS n_runs_kept, sum(len) AS kept_samples FROM
   FROM sel LEFT JOIN ka ON ka.site = sel.site AND ka.rule = sel.rule""")
 def stretch_verdict(t):
     from ..plans.selection import select_stretches
-    kept = ev(t).where(F.col("etype") != "error").select("site", F.floor(F.col("sec") / 3600).alias("h")).distinct()
+    kept = rgn(t).where(F.col("hz") > F.col("ex")).select("site", F.col("i").alias("h"))
     return select_stretches(sc(t), kept, ["site"], "i", ["coh_xy", "coh_yx"], "h", coh_min=0.3, max_hours=6, seed=7,
-                            scale=SCORE_S // 3600, min_run=2, block=32)
+                            scale=HOUR, min_run=2, block=32)
 
 
 @query("quiet_window", "site:b slot:b std:d n_whole:b", "W22", with_(REC, DAX) + """SELECT site, slot, std, n_whole FROM (SELECT *, count(*) OVER (PARTITION BY site) AS n_whole,

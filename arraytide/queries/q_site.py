@@ -108,11 +108,6 @@ def states(t):
     return decisions.line_states(mon(t), ["site"], {"ex": "coh_ex_hy", "ey": "coh_ey_hx"}, 0.8)
 
 
-@query("daily_states", "site:b day:b ex_state:s ey_state:s", "M5 X2", with_(REC, MON, STT) + "SELECT site, day, ex_state, ey_state FROM sg")
-def daily_states(t):
-    return states(t)
-
-
 @query("line_summary", "site:b days_total:b days_scored:b ex_sound:b ex_weak:b ex_dead:b ex_gap:b ex_longest_sound:b ey_sound:b both_sound:b ex_sound_frac:d", "A5", with_(REC, MON, STT, """rn AS (SELECT site, max(n) AS m FROM (SELECT site, g, count(*) AS n FROM
   (SELECT site, ex_state, row_number() OVER (PARTITION BY site ORDER BY day) - row_number() OVER (PARTITION BY site, ex_state ORDER BY day) AS g FROM sg) WHERE ex_state = 'sound' GROUP BY site, g) GROUP BY site)""") + """SELECT s.*, coalesce(m, 0) AS ex_longest_sound, ex_sound / CAST(greatest(1, days_scored) AS DOUBLE) AS ex_sound_frac FROM
   (SELECT site, count(*) AS days_total, count(*) FILTER (WHERE ex_state <> 'gap' OR ey_state <> 'gap') AS days_scored, count(*) FILTER (WHERE ex_state = 'sound') AS ex_sound, count(*) FILTER (WHERE ex_state = 'weak') AS ex_weak, count(*) FILTER (WHERE ex_state = 'dead') AS ex_dead,

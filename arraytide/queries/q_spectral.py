@@ -1,44 +1,39 @@
-"""Segment spectra and what is summed from them, on the daily record of every nation (a day without rows is zero)."""
+"""Segment spectra and what is summed from them, on the daily record of every region; a segment with a missing day is refused."""
 from __future__ import annotations
 
 import math
 
 from pyspark.sql import functions as F
 
-from ..operators import estimate, robust, spectral
-from .bind import DAX, DAY_BLOCK, REC, dax, with_
+from ..operators import estimate, spectral
+from .bind import DAX, RAX, REC, RGN, dax, rax, with_
 from .registry import query
 
-DZ = "dz AS (SELECT site, i, coalesce(hx, 0) AS hx, coalesce(hy, 0) AS hy, coalesce(ex, 0) AS ex, coalesce(ey, 0) AS ey FROM dax)"
 N = 16
-FC = f"""sg AS (SELECT site, i // {N} AS seg, i % {N} AS p, unnest(['hx', 'hy', 'ex', 'ey']) AS chan, unnest([hx, hy, ex, ey]) AS x FROM dz),
-sm AS (SELECT site, seg, chan, avg(x) AS m FROM sg GROUP BY ALL HAVING count(*) = {N}),
+FC = f"""sg AS (SELECT site, i // {N} AS seg, i % {N} AS p, unnest(['hx', 'hy', 'ex', 'ey']) AS chan, unnest([hx, hy, ex, ey]) AS x FROM rax),
+sm AS (SELECT site, seg, chan, avg(x) AS m FROM sg GROUP BY ALL HAVING count(x) = {N}),
 fc AS (SELECT sg.site, sg.seg, sg.chan, f, sum((0.5 - 0.5 * cos(2 * pi() * p / {N - 1}.0)) * (x - m) * cos(2 * pi() * f * p / {N}.0)) AS re, -sum((0.5 - 0.5 * cos(2 * pi() * p / {N - 1}.0)) * (x - m) * sin(2 * pi() * f * p / {N}.0)) AS im
-  FROM sg JOIN sm ON sm.site = sg.site AND sm.seg = sg.seg AND sm.chan = sg.chan, (SELECT unnest([1, 2, 3]) AS f) GROUP BY ALL)"""
-
-
-def dz(t):
-    return dax(t).withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("hx", "hy", "hz", "ex", "ey")})
+  FROM sg JOIN sm ON sm.site = sg.site AND sm.seg = sg.seg AND sm.chan = sg.chan, (SELECT unnest(range(1, {N // 2 + 1})) AS f) GROUP BY ALL)"""
 
 
 def fc(t, chans=("hx", "hy", "ex", "ey")):
-    a = spectral.as_arrays(dz(t), ["site"], "i", list(chans), N)
-    return spectral.segment_fft(a, ["site"], list(chans), 1, 3)
+    a = spectral.as_arrays(rax(t), ["site"], "i", list(chans), N)
+    return spectral.segment_fft(a, ["site"], list(chans), 1, N // 2)
 
 
-@query("segment_fft", "site:b seg:b chan:s f:b re:d im:d", "X3 D2", with_(REC, DAX, DZ, FC) + "SELECT * FROM fc")
+@query("segment_fft", "site:b seg:b chan:s f:b re:d im:d", "X3 D2", with_(REC, RGN, RAX, FC) + "SELECT * FROM fc")
 def segment_fft(t):
     return fc(t)
 
 
-@query("chunk_power", "site:b slot:b power:d", "X1", with_(REC, DAX, DZ, """ck AS (SELECT site, i // 32 AS slot, i % 32 AS q, hx FROM dz), wh AS (SELECT site, slot, avg(hx) AS m FROM ck GROUP BY ALL HAVING count(*) = 32),
+@query("chunk_power", "site:b slot:b power:d", "X1", with_(REC, RGN, RAX, """ck AS (SELECT site, i // 32 AS slot, i % 32 AS q, hx FROM rax), wh AS (SELECT site, slot, avg(hx) AS m FROM ck GROUP BY ALL HAVING count(hx) = 32),
 s AS (SELECT ck.site, ck.slot, s, q - 8 * s AS p, hx - m AS x FROM ck JOIN wh ON wh.site = ck.site AND wh.slot = ck.slot, (SELECT unnest([0, 1, 2]) AS s) WHERE q BETWEEN 8 * s AND 8 * s + 15),
 sm AS (SELECT site, slot, s, avg(x) AS m FROM s GROUP BY ALL),
 ft AS (SELECT s.site, s.slot, s.s, f, sum((0.5 - 0.5 * cos(2 * pi() * p / 16.0)) * (x - m) * cos(2 * pi() * f * p / 16.0)) AS re, sum((0.5 - 0.5 * cos(2 * pi() * p / 16.0)) * (x - m) * sin(2 * pi() * f * p / 16.0)) AS im
   FROM s JOIN sm ON sm.site = s.site AND sm.slot = s.slot AND sm.s = s.s, (SELECT unnest([2, 3, 4]) AS f) GROUP BY ALL),
 pw AS (SELECT site, slot, f, 2 * avg(re * re + im * im) / 6.0 AS p FROM ft GROUP BY ALL)""") + "SELECT site, slot, median(p) AS power FROM pw GROUP BY ALL")
 def chunk_power(t):
-    return spectral.chunk_power(dz(t), ["site"], "i", "hx", 32, 16, (0.1, 0.26))
+    return spectral.chunk_power(rax(t), ["site"], "i", "hx", 32, 16, (0.1, 0.26))
 
 
 @query("signal_power", "label:b n:b power:d", "X1 M8", """WITH s AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) - 1 AS q, len(embedding) // 32 AS whole FROM embeddings), s1 AS (SELECT vec_id, label, q // 32 AS k, q % 32 AS p, x FROM s WHERE q // 32 < whole), m AS (SELECT vec_id, k, avg(x) AS m FROM s1 GROUP BY ALL),
@@ -61,21 +56,21 @@ pc AS (SELECT a, b, chan, count(v) AS n, median(v) AS c FROM pv GROUP BY ALL)"""
 
 
 def near_pairs(t):
-    k = F.col("n_nationkey").cast("bigint")
-    return t.nation.select(k.alias("a"), F.explode(F.array(k + 1, k + 2)).alias("b"))
+    k = F.col("r_regionkey").cast("bigint")
+    return t.region.select(k.alias("a"), F.explode(F.array(k + 1, k + 2)).alias("b"))
 
 
-@query("segment_pairs", "a:b b:b chan:s coh:d chunks:b", "X3", with_(REC, DAX, DZ, FC, PAIRC) + "SELECT a, b, chan, CASE WHEN n >= 4 THEN c END AS coh, CASE WHEN n >= 4 THEN n ELSE 0 END AS chunks FROM pc")
+@query("segment_pairs", "a:b b:b chan:s coh:d chunks:b", "X3", with_(REC, RGN, RAX, FC, PAIRC) + "SELECT a, b, chan, CASE WHEN n >= 4 THEN c END AS coh, CASE WHEN n >= 4 THEN n ELSE 0 END AS chunks FROM pc")
 def segment_pairs(t):
     return spectral.pair_coherence(fc(t, ("hx", "hy")), near_pairs(t), F.floor(F.col("seg") / 8), 4, 4)
 
 
-@query("pair_coherence", "a:b b:b coh:d chunks:b", "X3 J9", with_(REC, DAX, DZ, FC, PAIRC) + "SELECT a, b, CASE WHEN count(*) FILTER (WHERE n >= 4) = 2 THEN avg(c) END AS coh, min(CASE WHEN n >= 4 THEN n ELSE 0 END) AS chunks FROM pc GROUP BY ALL")
+@query("pair_coherence", "a:b b:b coh:d chunks:b", "X3 J9", with_(REC, RGN, RAX, FC, PAIRC) + "SELECT a, b, CASE WHEN count(*) FILTER (WHERE n >= 4) = 2 THEN avg(c) END AS coh, min(CASE WHEN n >= 4 THEN n ELSE 0 END) AS chunks FROM pc GROUP BY ALL")
 def pair_coherence(t):
     return spectral.both_channels(spectral.pair_coherence(fc(t, ("hx", "hy")), near_pairs(t), F.floor(F.col("seg") / 8), 4, 4))
 
 
-@query("mean_coherence", "site:b coh:d n_segments:b", "X9 J19", with_(REC, DAX, DZ, FC, """w AS (SELECT site, seg, f, max(re) FILTER (WHERE chan = 'hx') AS ar, max(im) FILTER (WHERE chan = 'hx') AS ai, max(re) FILTER (WHERE chan = 'hy') AS br, max(im) FILTER (WHERE chan = 'hy') AS bi FROM fc GROUP BY ALL),
+@query("mean_coherence", "site:b coh:d n_segments:b", "X9 J19", with_(REC, RGN, RAX, FC, """w AS (SELECT site, seg, f, max(re) FILTER (WHERE chan = 'hx') AS ar, max(im) FILTER (WHERE chan = 'hx') AS ai, max(re) FILTER (WHERE chan = 'hy') AS br, max(im) FILTER (WHERE chan = 'hy') AS bi FROM fc GROUP BY ALL),
 s AS (SELECT site, f, sum(ar * br + ai * bi) AS xr, sum(ai * br - ar * bi) AS xi, sum(ar * ar + ai * ai) AS pa, sum(br * br + bi * bi) AS pb, count(*) AS n FROM w GROUP BY ALL)""") + "SELECT site, avg((xr * xr + xi * xi) / nullif(pa * pb, 0)) AS coh, min(n) AS n_segments FROM s GROUP BY site")
 def mean_coherence(t):
     z = fc(t, ("hx", "hy"))
@@ -83,33 +78,34 @@ def mean_coherence(t):
     return spectral.mean_coherence(s, ["site"], "hx", "hy")
 
 
-@query("decades_of_fall", "site:b chan:s decades_of_fall:d", "X10", with_(REC, DAX, DZ, FC, "p AS (SELECT site, chan, f, avg(re * re + im * im) AS p FROM fc GROUP BY ALL)") + "SELECT site, chan, log10(median(p) FILTER (WHERE f = 1)) - log10(median(p) FILTER (WHERE f >= 2)) AS decades_of_fall FROM p GROUP BY ALL")
+@query("decades_of_fall", "site:b chan:s decades_of_fall:d", "X10", with_(REC, RGN, RAX, FC, "p AS (SELECT site, chan, f, avg(re * re + im * im) AS p FROM fc GROUP BY ALL)") + "SELECT site, chan, log10(median(p) FILTER (WHERE f = 1)) - log10(median(p) FILTER (WHERE f >= 2)) AS decades_of_fall FROM p GROUP BY ALL")
 def decades_of_fall(t):
-    return spectral.fall(fc(t), ["site", "chan"], (1, 1), (2, 3))
+    return spectral.fall(fc(t), ["site", "chan"], (1, 1), (2, N // 2))
 
 
 BM = "bm AS (SELECT site, seg, chan, CASE WHEN f <= 2 THEN 0 ELSE 1 END AS bin, CASE WHEN avg(re * re + im * im) > 1e-12 THEN 10 * log10(avg(re * re + im * im)) END AS db FROM fc GROUP BY ALL), bn AS (SELECT * FROM bm WHERE db IS NOT NULL)"
 
 
-@query("power_map", "site:b seg:b chan:s bin:b db:d", "W13", with_(REC, DAX, DZ, FC, BM) + "SELECT * FROM bm")
+@query("power_map", "site:b seg:b chan:s bin:b db:d", "W13", with_(REC, RGN, RAX, FC, BM) + "SELECT * FROM bm")
 def power_map(t):
-    return spectral.band_map(fc(t), ["site"], [(1, 2), (3, 3)])
+    return spectral.band_map(fc(t), ["site"], [(1, 2), (3, N // 2)])
 
 
-@query("spectrogram_table", "site:b chan:s bin:b median_db:d below:d above:d windows:b", "A23 J22", with_(REC, DAX, DZ, FC, BM, "m AS (SELECT site, chan, bin, median(db) AS md FROM bn GROUP BY ALL)") + """SELECT bm.site, bm.chan, bm.bin, max(md) AS median_db, avg(CASE WHEN db < md - 10 THEN 1.0 ELSE 0 END) AS below, avg(CASE WHEN db > md + 10 THEN 1.0 ELSE 0 END) AS above, count(*) AS windows
+@query("spectrogram_table", "site:b chan:s bin:b median_db:d below:d above:d windows:b", "A23 J22", with_(REC, RGN, RAX, FC, BM, "m AS (SELECT site, chan, bin, median(db) AS md FROM bn GROUP BY ALL)") + """SELECT bm.site, bm.chan, bm.bin, max(md) AS median_db, avg(CASE WHEN db < md - 10 THEN 1.0 ELSE 0 END) AS below, avg(CASE WHEN db > md + 10 THEN 1.0 ELSE 0 END) AS above, count(*) AS windows
   FROM bn bm JOIN m ON m.site = bm.site AND m.chan = bm.chan AND m.bin = bm.bin GROUP BY ALL""")
 def spectrogram_table(t):
-    return spectral.away_from_median(spectral.band_map(fc(t), ["site"], [(1, 2), (3, 3)]), ["site", "chan", "bin"])
+    return spectral.away_from_median(spectral.band_map(fc(t), ["site"], [(1, 2), (3, N // 2)]), ["site", "chan", "bin"])
 
 
 @query("block_coherence", "site:b seg:b coh_ex_hy:d coh_ey_hx:d coh_ex_ey:d std_ex:d std_ey:d", "X2 X8")
 def block_coherence(t):
-    a = spectral.as_arrays(dz(t), ["site"], "i", ["hx", "hy", "ex", "ey"], 128)
+    # days out of service are bridged before the filter, up to a fifth of a stretch
+    a = spectral.as_arrays(rax(t), ["site"], "i", ["hx", "hy", "ex", "ey"], 128, whole=False).where("n = 128")
     return spectral.welch_coherence(a, ["site", "seg"], {"coh_ex_hy": ("ex", "hy"), "coh_ey_hx": ("ey", "hx"), "coh_ex_ey": ("ex", "ey")}, 3.0, 12.0, 32,
                                     prep=(2, [1 / 60.0], "high"), stds=["ex", "ey"])
 
 
-OCT = """df AS (SELECT site, i // 256 AS stretch, i % 256 - 1 AS p, unnest(['hx', 'hy']) AS chan, unnest([hx - lag(hx) OVER w, hy - lag(hy) OVER w]) AS x FROM dz WINDOW w AS (PARTITION BY site, i // 256 ORDER BY i)),
+OCT = """df AS (SELECT site, i // 256 AS stretch, i % 256 - 1 AS p, unnest(['hx', 'hy']) AS chan, unnest([hx - lag(hx) OVER w, hy - lag(hy) OVER w]) AS x FROM rax WINDOW w AS (PARTITION BY site, i // 256 ORDER BY i)),
 sg AS (SELECT site, stretch, s, p - 16 * s AS q, chan, x FROM df, (SELECT unnest(range(15)) AS s) WHERE p BETWEEN 16 * s AND 16 * s + 31),
 ln AS (SELECT site, stretch, s, chan, avg(x) AS m, regr_slope(x, q) AS b FROM sg GROUP BY ALL HAVING count(x) = 32),
 ft AS (SELECT sg.site, sg.stretch, sg.s, f, sg.chan, sum((0.5 - 0.5 * cos(2 * pi() * q / 32.0)) * (x - m - b * (q - 15.5)) * cos(2 * pi() * f * q / 32.0)) AS re, -sum((0.5 - 0.5 * cos(2 * pi() * q / 32.0)) * (x - m - b * (q - 15.5)) * sin(2 * pi() * f * q / 32.0)) AS im
@@ -119,16 +115,16 @@ pr AS (SELECT a.site, a.stretch, a.f, sum(a.re * b.re + a.im * b.im) AS xr, sum(
 bd AS (SELECT site, stretch, k, median((xr * xr + xi * xi) / nullif(pa * pb, 0)) AS g FROM pr, (SELECT unnest(range(4)) AS k) WHERE f / 32.0 > 1 / (2.5 * pow(8.0, (k + 1) / 4.0)) AND f / 32.0 < 1 / (2.5 * pow(8.0, k / 4.0)) GROUP BY ALL)"""
 
 
-@query("octave_coherence", "site:b stretch:b coh:d", "X4", with_(REC, DAX, DZ, OCT) + "SELECT site, stretch, least(greatest((median(g) - 1 / 12.3) / (1 - 1 / 12.3), 0), 1) AS coh FROM bd GROUP BY ALL")
+@query("octave_coherence", "site:b stretch:b coh:d", "X4", with_(REC, RGN, RAX, OCT) + "SELECT site, stretch, least(greatest((median(g) - 1 / 12.3) / (1 - 1 / 12.3), 0), 1) AS coh FROM bd GROUP BY ALL")
 def octave_coherence(t):
-    a = spectral.difference_segments(dz(t), ["site"], "i", ["hx", "hy"], 256, 32)
+    a = spectral.difference_segments(rax(t), ["site"], "i", ["hx", "hy"], 256, 32)
     z = spectral.segment_fft(a, ["site", "stretch"], ["hx", "hy"], 1, 16, "periodic", linear=True)
     return spectral.octave_coherence(z, ["site", "stretch"], "hx", "hy", 2.5, 20.0, 32, 256)
 
 
 @query("sliding_coherence", "site:b seg:b coh:d", "W13 R3")
 def sliding_coherence(t):
-    a = spectral.as_arrays(dz(t), ["site"], "i", ["hx", "hy"], 60, 30)
+    a = spectral.as_arrays(rax(t), ["site"], "i", ["hx", "hy"], 60, 30)
     return spectral.welch_coherence(a, ["site", "seg"], {"coh": ("hx", "hy")}, 3.0, 12.0, 15)
 
 
@@ -146,25 +142,6 @@ def centre_verdict(t):
     return site.centre_verdict(d, ["site"])
 
 
-@query("xcorr_lag", "a:b b:b lag_s:d spread:d n_windows:b note:s", "X6 W24")
-def xcorr_lag(t):
-    a = spectral.as_arrays(dz(t), ["site"], "i", ["hx"], 256)
-    p = near_pairs(t)
-    w = p.join(a.select(F.col("site").alias("a"), "seg", F.col("hx").alias("x")), "a").join(a.select(F.col("site").alias("b"), "seg", F.col("hx").alias("y")), ["b", "seg"])
-    lags = spectral.window_lags(w, ["a", "b", "seg"], "x", "y", 10)
-    return spectral.lag_verdict(lags, ["a", "b"], "seg", min_corr=0.05, max_spread=12.0)
-
-
-@query("clock_test", "site:b n_offered:b n_days:b judged:z median_lag_s:d ok:z", "X7")
-def clock_test(t):
-    d = dz(t)
-    late = robust.shift(d.select("site", "i", "hx"), ["site"], "i", "hx", -3, block=DAY_BLOCK).withColumnRenamed("hx", "y")
-    a = spectral.as_arrays(d.join(late, ["site", "i"]), ["site"], "i", ["hx", "y"], 256)
-    lags = spectral.window_lags(a, ["site", "seg"], "hx", "y", 20)
-    days = lags.withColumn("f_ratio", F.lit(1.0))
-    return spectral.clock_verdict(days, ["site"], min_days=3)
-
-
 @query("tf_estimate", "site:b band:b comp:s re:d im:d n:b", "X11")
 def tf_estimate(t):
     local = fc(t)
