@@ -92,7 +92,7 @@ def clock_days(t):
     return lags.clock_days(rax(t), following(t), "site", "i", **HOW)
 
 
-@query("daily_field", "site:b day:b f_ratio:d", "X7 A22", with_(REC, RGN, RAX, FIELD) + "SELECT * FROM fr")
+@query("daily_field", "site:b day:b f_ratio:d", "X7", with_(REC, RGN, RAX, FIELD) + "SELECT * FROM fr")
 def daily_field(t):
     return lags.daily_field(rax(t), ["site"], "i", model(t), 32, 24)
 
