@@ -50,13 +50,19 @@ def _z(name: str):
     return F.col(name + "_re"), F.col(name + "_im")
 
 
-def solve(wide: DataFrame, keys: list[str], e: list[str], h: tuple[str, str], r: tuple[str, str]) -> DataFrame:
-    """One impedance row per electric channel and group from weighted cross powers."""
+def solve(wide: DataFrame, keys: list[str], e: list[str], h: tuple[str, str], r: tuple[str, str], errors: bool = False) -> DataFrame:
+    """One impedance row per electric channel and group from weighted cross powers.
+
+    With `errors` every component has its standard error: the residual power per degree of freedom, n - 2 for two complex unknowns, times the
+    spread that the reference's own power gives the estimate. It is read off further cross powers of the same pass; NULL for n < 3 and without a solution.
+    """
+    pairs = [(a, b) for a in (*e, *h) for b in r]
+    if errors:
+        pairs += [(x, x) for x in e] + [(x, y) for x in e for y in h] + [(h[0], h[0]), (h[1], h[1]), (h[0], h[1]), (r[0], r[0]), (r[1], r[1]), (r[0], r[1])]
     aggs = []
-    for left in [*e, *h]:
-        for right in r:
-            re, im = scalars.cmul(_z(left), scalars.conj(_z(right)))
-            aggs += [F.sum(F.col("w") * re).alias(f"S_{left}_{right}_re"), F.sum(F.col("w") * im).alias(f"S_{left}_{right}_im")]
+    for left, right in dict.fromkeys(pairs):
+        re, im = scalars.cmul(_z(left), scalars.conj(_z(right)))
+        aggs += [F.sum(F.col("w") * re).alias(f"S_{left}_{right}_re"), F.sum(F.col("w") * im).alias(f"S_{left}_{right}_im")]
     s = wide.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("n"), F.sum("w").alias("sw"))
     S = lambda a, b: _z(f"S_{a}_{b}")
     det = scalars.csub(scalars.cmul(S(h[0], r[0]), S(h[1], r[1])), scalars.cmul(S(h[0], r[1]), S(h[1], r[0])))
@@ -67,21 +73,49 @@ def solve(wide: DataFrame, keys: list[str], e: list[str], h: tuple[str, str], r:
                                  scalars.csub(scalars.cmul(S(x, r[1]), S(h[0], r[0])), scalars.cmul(S(x, r[0]), S(h[0], r[1]))))):
             t = scalars.cmul(num, scalars.conj(det))
             out += [F.try_divide(t[0], dd).alias(f"Z_{x}_{h[k]}_re"), F.try_divide(t[1], dd).alias(f"Z_{x}_{h[k]}_im")]
-    return s.select(*keys, "n", "sw", *out)
-
-
-def remote_reference(fc: DataFrame, keys: list[str], e: list[str] = ("ex", "ey"), h=("hx", "hy"), r=("rx", "ry"), band=None, iterations: int = 3) -> DataFrame:
+    z = s.select(*keys, "n", "sw", *out, *([c for c in s.columns if c.startswith("S_")] if errors else []))
+    if not errors:
+        return z
+    power = lambda c: c[0] * c[0] + c[1] * c[1]
+    square = lambda a, b: scalars.cmul(a, scalars.conj(b))
+    made = {}
+    for x in e:
+        zs = [_z(f"Z_{x}_{c}") for c in h]
+        left = S(x, x)[0] + power(zs[0]) * S(h[0], h[0])[0] + power(zs[1]) * S(h[1], h[1])[0] + 2 * scalars.cmul(square(zs[0], zs[1]), S(h[0], h[1]))[0]
+        for c, v in zip(h, zs, strict=True):
+            left = left - 2 * square(S(x, c), v)[0]
+        var = F.greatest(left, F.lit(0.0)) / F.when(F.col("n") > 2, F.col("n") - 2)
+        for k, other in ((0, h[1]), (1, h[0])):
+            p, q = S(other, r[1]), S(other, r[0])
+            cross = scalars.cmul(square(p, q), scalars.conj(S(r[0], r[1])))
+            spread = F.try_divide(var * (power(p) * S(r[0], r[0])[0] + power(q) * S(r[1], r[1])[0] - 2 * cross[0]), dd)
+            made[f"Z_{x}_{h[k]}_err"] = F.when(spread.isNotNull(), F.sqrt(F.greatest(spread, F.lit(0.0))))
+    return z.withColumns(made).drop(*[c for c in z.columns if c.startswith("S_")])
+
+
+def in_bands(wide: DataFrame, bands: DataFrame) -> DataFrame:
+    """Harmonics with the bands that hold them: `bands` is (band, i_min, i_max), with a level where `wide` has one. A harmonic in several bands
+    counts in each. The table is opened to one row per band and harmonic, at most half a window each, and met by equality."""
+    on = ["f"] + (["level"] if "level" in wide.columns and "level" in bands.columns else [])
+    b = bands.select(*on[1:], "band", F.explode(F.sequence(F.col("i_min").cast("int"), F.col("i_max").cast("int"))).alias("f"))
+    return wide.join(b, on)
+
+
+def remote_reference(fc: DataFrame, keys: list[str], e: list[str] = ("ex", "ey"), h=("hx", "hy"), r=("rx", "ry"), band=None, iterations: int = 3,
+                     bands: DataFrame | None = None, errors: bool = False) -> DataFrame:
     """(keys, band, comp, re, im, err, n): robust remote-reference impedance per station and band.
 
-    `band` maps a harmonic to its band. Every reweighting is one aggregate and one join on (keys, band); the number
+    `band` maps a harmonic to its band, or `bands` is the table of them (`in_bands`); `err` is there with `errors`. Every reweighting is one aggregate and one join on (keys, band); the number
     of them is fixed and the lineage is cut between them.
     """
     chans = list(dict.fromkeys([*e, *h, *r]))
-    wide = _wide(fc, keys, chans).withColumn("band", F.col("f") if band is None else band).where(F.col("band").isNotNull()).withColumn("w", F.lit(1.0))
+    wide = _wide(fc, keys, chans)
+    wide = in_bands(wide, bands) if bands is not None else wide.withColumn("band", F.col("f") if band is None else band).where(F.col("band").isNotNull())
+    wide = wide.withColumn("w", F.lit(1.0))
     by = [*keys, "band"]
     wide = cut_lineage(wide)
     for step in range(iterations + 1):
-        z = cut_lineage(solve(wide, by, list(e), h, r))
+        z = cut_lineage(solve(wide, by, list(e), h, r, errors and step == iterations))
         if step == iterations:
             break
         j = wide.join(z.drop("n", "sw"), by)
@@ -93,7 +127,8 @@ def remote_reference(fc: DataFrame, keys: list[str], e: list[str] = ("ex", "ey")
         scale = group_percentiles(j, by, "_r", {"_s": 0.5})
         wide = cut_lineage(j.join(scale, by).withColumn("w", F.when(F.col("_r") <= HUBER * F.col("_s"), 1.0).otherwise(F.try_divide(HUBER * F.col("_s"), F.col("_r"))))
                            .select(wide.columns))
-    comps = F.array(*[F.struct(F.lit(f"{x}_{c}").alias("comp"), F.col(f"Z_{x}_{c}_re").alias("re"), F.col(f"Z_{x}_{c}_im").alias("im")) for x in e for c in h])
+    comps = F.array(*[F.struct(F.lit(f"{x}_{c}").alias("comp"), F.col(f"Z_{x}_{c}_re").alias("re"), F.col(f"Z_{x}_{c}_im").alias("im"),
+                               *([F.col(f"Z_{x}_{c}_err").alias("err")] if errors else [])) for x in e for c in h])
     return z.select(*by, "n", "sw", F.explode(comps).alias("c")).select(*by, "c.*", "n", "sw")
 
 

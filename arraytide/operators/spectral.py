@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import kernels, scalars
-from .blocks import block_of, neighbours
+from .blocks import BLK, block_of, neighbours
+from .islands import RUN_BLOCK, runs
 
 # fixed values
 PAIR_NPERSEG, PAIR_MIN_SEGMENTS = 1024, 24
@@ -42,6 +43,24 @@ def as_arrays(samples: DataFrame, keys: list[str], pos: str, values: list[str],
     return g.select(*keys, "seg", "n", *[F.col(f"_a.{v}").cast("array<double>").alias(v) for v in values])
 
 
+def run_segments(samples: DataFrame, keys: list[str], pos: str, values: list[str], size: int, step: int, min_len: int = 0, block: int = RUN_BLOCK) -> DataFrame:
+    """(keys, seg, <value> arrays): segments every `step` samples from the first one of each run of at least `min_len` positions on which every value
+    is there; `seg` is the segment's first position. Shorter runs, and what is left behind a run's last segment, are not used."""
+    c, ok = F.col, F.lit(True)
+    for v in values:
+        ok = ok & c(v).isNotNull()
+    d = samples.where(ok).select(*keys, c(pos).cast("bigint").alias(pos), *values)
+    r = runs(d, keys, pos, min_len=max(min_len, size), block=block)
+    # runs meet their samples block by block
+    r = r.withColumn(BLK, F.explode(F.sequence(block_of("run_start", block), block_of("run_end", block))))
+    d = d.withColumn(BLK, block_of(pos, block)).join(r, [*keys, BLK]).where(c(pos).between(c("run_start"), c("run_end")))
+    x = c(pos) - c("run_start")
+    lo, hi = F.greatest(block_of(x - size + step, step), F.lit(0)), F.least(block_of(x, step), block_of(c("run_len") - size, step))
+    d = d.where(lo <= hi).withColumn("seg", F.explode(F.sequence(lo, hi))).withColumn("seg", c("run_start") + c("seg") * step)
+    g = d.groupBy(*keys, "seg").agg(F.array_sort(F.collect_list(F.struct(c(pos).alias("p"), *values))).alias("_a"))
+    return g.select(*keys, "seg", *[c(f"_a.{v}").cast("array<double>").alias(v) for v in values])
+
+
 def _np(a) -> np.ndarray:
     return np.array([np.nan if v is None else v for v in a], float)
 

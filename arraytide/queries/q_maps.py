@@ -1,9 +1,9 @@
-"""Coherence maps by levels and spectra of longest runs, on the daily record of every region as samples of 1 Hz."""
+"""Coherence maps by levels, spectra of longest runs and responses with errors, on the daily record of every region as samples of 1 Hz."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import maps
+from ..operators import estimate, maps, spectral
 from .bind import RAX, REC, RGN, rax, with_
 from .registry import query
 
@@ -72,3 +72,47 @@ def run_spectra(t):
 def run_fall(t):
     s = maps.run_spectra(rax(t), ["site"], "i", CHANS, nperseg=64, block=512)
     return maps.decades_of_fall(s, ["site", "chan"], from_hz=1 / 32.0, power_band_s=(7.5, 12.5))
+
+
+# segments of 16 days, three quarters of them shared, inside runs of 40 days that station and reference both hold; the reference is the next region
+TFB = """jn AS (SELECT a.site, a.i, a.hx, a.hy, a.ex, a.ey, b.hx AS rx, b.hy AS ry FROM rax a JOIN rax b ON b.site = a.site + 1 AND b.i = a.i
+  WHERE a.hx IS NOT NULL AND a.hy IS NOT NULL AND a.ex IS NOT NULL AND a.ey IS NOT NULL AND b.hx IS NOT NULL AND b.hy IS NOT NULL),
+jr AS (SELECT *, min(i) OVER g AS a, count(*) OVER g AS len FROM (SELECT *, i - row_number() OVER (PARTITION BY site ORDER BY i) AS g FROM jn) WINDOW g AS (PARTITION BY site, g)),
+js AS (SELECT site, seg, i - seg AS p, unnest(['hx', 'hy', 'ex', 'ey', 'rx', 'ry']) AS chan, unnest([hx, hy, ex, ey, rx, ry]) AS x
+  FROM (SELECT *, unnest(range(a, a + len - 15, 4)) AS seg FROM jr WHERE len >= 40) WHERE i BETWEEN seg AND seg + 15),
+jm AS (SELECT site, seg, chan, avg(x) AS m FROM js GROUP BY ALL),
+kw AS (SELECT p, sum(pow(100 * (1 - pow((p - 7.5) / 7.5, 2)), k) / pow(CAST(factorial(CAST(k AS INTEGER)) AS DOUBLE), 2)) / (SELECT sum(pow(100.0, k) / pow(CAST(factorial(CAST(k AS INTEGER)) AS DOUBLE), 2)) FROM (SELECT unnest(range(33)) AS k)) AS w
+  FROM (SELECT unnest(range(16)) AS p), (SELECT unnest(range(33)) AS k) GROUP BY p),
+jf AS (SELECT js.site, js.seg, js.chan, f, sum(w * (x - m) * cos(2 * pi() * f * js.p / 16)) AS re, -sum(w * (x - m) * sin(2 * pi() * f * js.p / 16)) AS im FROM js JOIN jm USING (site, seg, chan) JOIN kw ON kw.p = js.p, (SELECT unnest(range(1, 9)) AS f) GROUP BY ALL),
+bd AS (SELECT * FROM (VALUES (1, 1, 3), (2, 3, 5), (3, 5, 8)) AS t(band, i0, i1)),
+cp AS MATERIALIZED (SELECT a.site, band, a.chan AS c1, b.chan AS c2, sum(a.re * b.re + a.im * b.im) AS re, sum(a.im * b.re - a.re * b.im) AS im, count(*) AS n
+  FROM jf a JOIN jf b ON a.site = b.site AND a.seg = b.seg AND a.f = b.f JOIN bd ON a.f BETWEEN i0 AND i1 GROUP BY ALL),
+rr AS (SELECT site, band, max(n) AS n, {sums} FROM cp GROUP BY ALL),
+dt AS (SELECT *, hxrx_re * hyry_re - hxrx_im * hyry_im - hxry_re * hyrx_re + hxry_im * hyrx_im AS dr, hxrx_re * hyry_im + hxrx_im * hyry_re - hxry_re * hyrx_im - hxry_im * hyrx_re AS di FROM rr),
+nm AS ({nums}),
+zz AS (SELECT *, (ar * dr + ai * di) / (dr * dr + di * di) AS z0r, (ai * dr - ar * di) / (dr * dr + di * di) AS z0i, (br * dr + bi * di) / (dr * dr + di * di) AS z1r, (bi * dr - br * di) / (dr * dr + di * di) AS z1i FROM nm),
+rs AS (SELECT *, (see + (z0r * z0r + z0i * z0i) * hxhx_re + (z1r * z1r + z1i * z1i) * hyhy_re + 2 * ((z0r * z1r + z0i * z1i) * hxhy_re - (z0i * z1r - z0r * z1i) * hxhy_im)
+  - 2 * (exr * z0r + exi * z0i) - 2 * (eyr * z1r + eyi * z1i)) / (n - 2) / (dr * dr + di * di) AS v FROM zz)"""
+_PAIRS = [(a, b) for a in ("hx", "hy", "ex", "ey") for b in ("rx", "ry")] + [("rx", "rx"), ("ry", "ry"), ("rx", "ry"), ("hx", "hx"), ("hy", "hy"), ("hx", "hy")] + [(a, b) for a in ("ex", "ey") for b in (a, "hx", "hy")]
+_SUMS = ", ".join(f"max({p}) FILTER (WHERE c1 = '{a}' AND c2 = '{b}') AS {a}{b}_{p}" for a, b in _PAIRS for p in ("re", "im"))
+_NUMS = " UNION ALL ".join(f"""SELECT *, '{e}' AS e, {e}{e}_re AS see, {e}hx_re AS exr, {e}hx_im AS exi, {e}hy_re AS eyr, {e}hy_im AS eyi,
+  {e}rx_re * hyry_re - {e}rx_im * hyry_im - {e}ry_re * hyrx_re + {e}ry_im * hyrx_im AS ar, {e}rx_re * hyry_im + {e}rx_im * hyry_re - {e}ry_re * hyrx_im - {e}ry_im * hyrx_re AS ai,
+  {e}ry_re * hxrx_re - {e}ry_im * hxrx_im - {e}rx_re * hxry_re + {e}rx_im * hxry_im AS br, {e}ry_re * hxrx_im + {e}ry_im * hxrx_re - {e}rx_re * hxry_im - {e}rx_im * hxry_re AS bi FROM dt""" for e in ("ex", "ey"))
+
+
+def _spread(h: str) -> str:
+    """The part of a component's variance that the reference gives it; `h` is the other magnetic channel."""
+    p, q = f"{h}ry", f"{h}rx"
+    return f"""CASE WHEN n > 2 AND v IS NOT NULL THEN sqrt(greatest(greatest(v, 0) * (({p}_re * {p}_re + {p}_im * {p}_im) * rxrx_re + ({q}_re * {q}_re + {q}_im * {q}_im) * ryry_re
+  - 2 * (({p}_re * {q}_re + {p}_im * {q}_im) * rxry_re + ({p}_im * {q}_re - {p}_re * {q}_im) * rxry_im)), 0)) END"""
+
+
+@query("tf_bands", "site:b band:b comp:s re:d im:d err:d n:b", "X11 X12", with_(REC, RGN, RAX, TFB.format(sums=_SUMS, nums=_NUMS)) + f"""SELECT site, band, e || '_hx' AS comp, z0r AS re, z0i AS im, {_spread('hy')} AS err, n FROM rs
+UNION ALL SELECT site, band, e || '_hy' AS comp, z1r AS re, z1i AS im, {_spread('hx')} AS err, n FROM rs""")
+def tf_bands(t):
+    chans = ["hx", "hy", "ex", "ey", "rx", "ry"]
+    d = rax(t)
+    both = d.join(d.select((F.col("site") - 1).alias("site"), "i", F.col("hx").alias("rx"), F.col("hy").alias("ry")), ["site", "i"])
+    fc = spectral.segment_fft(spectral.run_segments(both, ["site"], "i", chans, 16, 4, 40, block=512), ["site"], chans, 1, 8, "kaiser")
+    bands = t.spark.createDataFrame([(1, 1, 3), (2, 3, 5), (3, 5, 8)], "band int, i_min int, i_max int")
+    return estimate.remote_reference(fc, ["site"], bands=bands, iterations=0, errors=True)
