@@ -31,12 +31,18 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int64())], ["u", "v"])
 
 
-def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """The links, stored, and what tells one set of links from another, counted while they are written."""
+def _stored(edges: DataFrame) -> tuple[DataFrame, int]:
+    """The links, stored, and their number, counted while they are written."""
     seen = Observation()
-    counted = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s"))
-    out = common.stored(counted, "links")
-    return out, (seen.get["n"], seen.get["s"])
+    out = common.stored(edges.observe(seen, F.count(F.lit(1)).alias("n")), "links")
+    return out, seen.get["n"]
+
+
+def _forest(edges: DataFrame) -> bool:
+    """Whether distinct links u > v are stars already: every u has one v, and no v is a u. One aggregate instead of a pass that changes nothing."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    return seen.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("least") == 0))).agg(F.count(F.lit(1))).first()[0] == 0
 
 
 def _named(edges: DataFrame, stars: DataFrame, column: str) -> DataFrame:
@@ -56,17 +62,16 @@ def components(links: DataFrame, stars: DataFrame | None = None, u: str = "u", v
     edges = links.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v"))
     if stars is not None:
         edges = _named(_named(edges, stars, "u"), stars, "v").select("u", "v")
-    edges, now = _stored(edges.where("u <> v").mapInArrow(_local, EDGES).distinct())
-    before = None
-    while now != before and now[0]:
-        before = now
+    edges, n = _stored(edges.where("u <> v").mapInArrow(_local, EDGES).distinct())
+    while n and not _forest(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).hint("merge")
-        edges = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        # no more links than before, so what comes twice is left to the last step of the pass
+        edges = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         least = edges.groupBy("u").agg(F.min("v").alias("m")).hint("merge")
         hung = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        edges, now = _stored(hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        edges, n = _stored(hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
     fresh = edges.select(F.col("u").alias("node"), F.col("v").alias("component_id"))
     if stars is None:
         return fresh
-    return common.stored(_named(stars, fresh, "component_id").select("node", "component_id").unionByName(fresh), "stars") if now[0] else stars
+    return common.stored(_named(stars, fresh, "component_id").select("node", "component_id").unionByName(fresh), "stars") if n else stars
