@@ -32,9 +32,3 @@ def lends(t):
 def lent_records(t):
     lag = t.region.select(F.col("r_regionkey").cast("bigint").alias("site"), F.when(F.col("r_regionkey") == 0, 2.0).when(F.col("r_regionkey") == 1, -3.0).otherwise(0.0).alias("lag_s"))
     return lending.decided(cut_lineage(rax(t)), lends(t), "site", "i", lag=lag, block=DAY_BLOCK)[0]
-
-
-@query("lender_lags", "site:b lender:s lag_s:d spread:d n_windows:b note:s", "S17 X6")
-def lender_lags(t):
-    d, v = cut_lineage(rax(t)), lends(t)
-    return lending.lender_lags(d, cut_lineage(lending.lent(d, v, "site", "i", block=DAY_BLOCK)), v, "site", "i", win=96, fallback=64, max_lag=5, short=(1 / 8.0, 1 / 3.0), long=(1 / 24.0, 1 / 8.0))
