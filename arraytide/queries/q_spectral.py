@@ -6,7 +6,7 @@ import math
 from pyspark.sql import functions as F
 
 from ..operators import estimate, spectral
-from .bind import DAX, RAX, REC, RGN, dax, rax, with_
+from .bind import DAX, FLEET, RAX, REC, RGN, dax, fleet, rax, with_
 from .registry import query
 
 N = 16
@@ -16,8 +16,8 @@ fc AS (SELECT sg.site, sg.seg, sg.chan, f, sum((0.5 - 0.5 * cos(2 * pi() * p / {
   FROM sg JOIN sm ON sm.site = sg.site AND sm.seg = sg.seg AND sm.chan = sg.chan, (SELECT unnest(range(1, {N // 2 + 1})) AS f) GROUP BY ALL)"""
 
 
-def fc(t, chans=("hx", "hy", "ex", "ey")):
-    a = spectral.as_arrays(rax(t), ["site"], "i", list(chans), N)
+def fc(t, chans=("hx", "hy", "ex", "ey"), record=rax):
+    a = spectral.as_arrays(record(t), ["site"], "i", list(chans), N)
     return spectral.segment_fft(a, ["site"], list(chans), 1, N // 2)
 
 
@@ -65,9 +65,17 @@ def segment_pairs(t):
     return spectral.pair_coherence(fc(t, ("hx", "hy")), near_pairs(t), F.floor(F.col("seg") / 8), 4, 4)
 
 
-@query("pair_coherence", "a:b b:b coh:d chunks:b", "X3 J9", with_(REC, RGN, RAX, FC, PAIRC) + "SELECT a, b, CASE WHEN count(*) FILTER (WHERE n >= 4) = 2 THEN avg(c) END AS coh, min(CASE WHEN n >= 4 THEN n ELSE 0 END) AS chunks FROM pc GROUP BY ALL")
+# a pair is two stations with a record; one that shares too few whole segments has no coherence
+MET = """met AS (SELECT a.site AS a, b.site AS b FROM (SELECT DISTINCT site FROM rax) a JOIN (SELECT DISTINCT site FROM rax) b ON b.site IN (a.site + 1, a.site + 2)),
+both_ AS (SELECT a, b, CASE WHEN count(*) FILTER (WHERE n >= 4) = 2 THEN avg(c) END AS coh, min(CASE WHEN n >= 4 THEN n ELSE 0 END) AS chunks FROM pc GROUP BY ALL)"""
+
+
+@query("pair_coherence", "a:b b:b coh:d chunks:b", "X3 J9", with_(REC, FLEET, FC, PAIRC, MET) + "SELECT a, b, coh, coalesce(chunks, 0) AS chunks FROM met LEFT JOIN both_ USING (a, b)")
 def pair_coherence(t):
-    return spectral.both_channels(spectral.pair_coherence(fc(t, ("hx", "hy")), near_pairs(t), F.floor(F.col("seg") / 8), 4, 4))
+    sites = fleet(t).select(F.col("site").alias("a")).distinct()
+    met = sites.withColumn("b", F.explode(F.array(F.col("a") + 1, F.col("a") + 2))).join(sites.withColumnRenamed("a", "b"), "b", "left_semi")
+    coh = spectral.both_channels(spectral.pair_coherence(fc(t, ("hx", "hy"), fleet), met, F.floor(F.col("seg") / 8), 4, 4))
+    return met.join(coh, ["a", "b"], "left").fillna(0, ["chunks"])
 
 
 @query("mean_coherence", "site:b coh:d n_segments:b", "X9 J19", with_(REC, RGN, RAX, FC, """w AS (SELECT site, seg, f, max(re) FILTER (WHERE chan = 'hx') AS ar, max(im) FILTER (WHERE chan = 'hx') AS ai, max(re) FILTER (WHERE chan = 'hy') AS br, max(im) FILTER (WHERE chan = 'hy') AS bi FROM fc GROUP BY ALL),
