@@ -123,11 +123,17 @@ pr AS (SELECT a.site, a.stretch, a.f, sum(a.re * b.re + a.im * b.im) AS xr, sum(
 bd AS (SELECT site, stretch, k, median((xr * xr + xi * xi) / nullif(pa * pb, 0)) AS g FROM pr, (SELECT unnest(range(4)) AS k) WHERE f / 32.0 > 1 / (2.5 * pow(8.0, (k + 1) / 4.0)) AND f / 32.0 < 1 / (2.5 * pow(8.0, k / 4.0)) GROUP BY ALL)"""
 
 
-@query("octave_coherence", "site:b stretch:b coh:d", "X4", with_(REC, RGN, RAX, OCT) + "SELECT site, stretch, least(greatest((median(g) - 1 / 12.3) / (1 - 1 / 12.3), 0), 1) AS coh FROM bd GROUP BY ALL")
+# one row per stretch of a record; a stretch without a whole segment has no coherence
+OCTAVES = """oc AS (SELECT site, stretch, least(greatest((median(g) - 1 / 12.3) / (1 - 1 / 12.3), 0), 1) AS coh FROM bd GROUP BY ALL)"""
+
+
+@query("octave_coherence", "site:b stretch:b coh:d", "X4", with_(REC, FLEET, OCT, OCTAVES) + "SELECT site, stretch, coh FROM (SELECT DISTINCT site, i // 256 AS stretch FROM rax) LEFT JOIN oc USING (site, stretch)")
 def octave_coherence(t):
-    a = spectral.difference_segments(rax(t), ["site"], "i", ["hx", "hy"], 256, 32)
+    record = fleet(t)
+    a = spectral.difference_segments(record, ["site"], "i", ["hx", "hy"], 256, 32)
     z = spectral.segment_fft(a, ["site", "stretch"], ["hx", "hy"], 1, 16, "periodic", linear=True)
-    return spectral.octave_coherence(z, ["site", "stretch"], "hx", "hy", 2.5, 20.0, 32, 256)
+    coh = spectral.octave_coherence(z, ["site", "stretch"], "hx", "hy", 2.5, 20.0, 32, 256)
+    return record.select("site", F.floor(F.col("i") / 256).alias("stretch")).distinct().join(coh, ["site", "stretch"], "left")
 
 
 @query("sliding_coherence", "site:b seg:b coh:d", "W13 R3")

@@ -35,3 +35,10 @@ def test_every_pair_of_stations_has_a_row_and_whole_records_a_coherence(spark, f
     segs = pd.Series([s // 8 for s in range(-(-first // 16), (first + DAYS) // 16)]).value_counts()
     assert got[0, 1].chunks == (segs >= 4).sum() and got[0, 1].coh is not None
     assert all(got[p].coh is None and got[p].chunks == 0 for p in ((0, 2), (1, 2), (100, 101)))
+
+
+def test_every_stretch_of_every_station_has_a_row(spark, folder):
+    got = load_all()[0]["octave_coherence"](spark, folder).toPandas()
+    assert set(got["site"]) == {0, 1, 2, 100, 101}
+    assert got.groupby("site")["stretch"].nunique().min() >= DAYS // 256
+    assert got[got["site"] == 2]["coh"].isna().all() and got[got["site"].isin([0, 1, 100])]["coh"].notna().all()
