@@ -11,6 +11,8 @@ from .islands import island_of
 
 DAY = 86_400
 HALF_DAYS = 7
+# blocks of days go up to 4096 days
+TOP_LEVEL = 12
 
 
 def active_per_day(spans: DataFrame, start: str = "t_start", end: str = "t_end") -> DataFrame:
@@ -40,25 +42,49 @@ def peaks(active: DataFrame, min_sites: int = 2) -> DataFrame:
                                               & (F.col("active") > F.col("_x"))).select("day", "active"))
 
 
+def _covered(spans: DataFrame, half_days: int, start: str, end: str) -> DataFrame:
+    """Spans by the blocks (level, block) of 2^level days that together are the days whose window of half_days either side they cover.
+
+    Every day of a span lies in exactly one of its blocks. Below the top level a range takes its odd first and its even last block and leaves
+    the rest to the next level, so a span of any survey is some twenty rows and not one per day.
+    """
+    c = F.col
+    first, last = F.ceil((c(start) + half_days * DAY) / DAY).cast("bigint"), block_of(c(end) - half_days * DAY, DAY)
+    d = spans.withColumns({"_first": first, "_last": last}).where("_first <= _last").withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(TOP_LEVEL))))
+    shift = lambda x: F.call_function("shiftright", x, c("level"))
+    d = d.withColumns({"_lo": -shift(-c("_first")), "_end": shift(c("_last") + 1)}).where("_lo < _end")
+    sides = F.array_compact(F.array(F.when(F.pmod("_lo", F.lit(2)) == 1, c("_lo")), F.when(F.pmod("_end", F.lit(2)) == 1, c("_end") - 1)))
+    d = d.withColumn("block", F.explode(F.when(c("level") < TOP_LEVEL, sides).otherwise(F.sequence("_lo", c("_end") - 1))))
+    return d.select(*spans.columns, "level", "block")
+
+
+def _blocks_of_days(peak_days: DataFrame) -> DataFrame:
+    """(day, level, block): the block of every level that holds the day."""
+    d = peak_days.select("day", F.explode(F.sequence(F.lit(0), F.lit(TOP_LEVEL))).alias("level"))
+    return d.withColumn("block", F.call_function("shiftright", F.col("day"), F.col("level")))
+
+
 def core_members(spans: DataFrame, peak_days: DataFrame, half_days: int = HALF_DAYS, site: str = "site",
                  start: str = "t_start", end: str = "t_end") -> DataFrame:
     """(day, site, ...) of the stations that cover the window of half_days either side of each peak.
 
-    A station covers a peak exactly when the peak's day lies in a range of days of its span, so the range join is
-    an equi-join on the day. Peaks are at most one per calendar day, so Spark may broadcast them once it knows.
+    A station covers a peak exactly when the peak's day lies in a range of days of its span. Range and day meet in the one block of days
+    that holds the day and is part of the range, so the range join is an equi-join and only members are made.
     """
-    first = F.ceil((F.col(start) + half_days * DAY) / DAY).cast("bigint")
-    last = block_of(F.col(end) - half_days * DAY, DAY)
-    d = spans.withColumn("day", F.explode(F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))))
-    return d.join(peak_days.select("day"), "day")
+    d = _covered(spans, half_days, start, end)
+    return d.join(_blocks_of_days(peak_days), ["level", "block"]).select("day", *spans.columns)
 
 
 def core_groups(spans: DataFrame, peak_days: DataFrame, half_days: int = HALF_DAYS, by: str = "instrument",
                 start: str = "t_start", end: str = "t_end") -> DataFrame:
-    """Per peak and instrument: how many stations cover it and the window they all share."""
-    m = core_members(spans, peak_days, half_days, start=start, end=end)
-    g = m.groupBy("day", by).agg(F.count(F.lit(1)).alias("n_core"), F.max(start).alias("common_start"),
-                                 F.min(end).alias("common_end"))
+    """Per peak and instrument: how many stations cover it and the window they all share.
+
+    Stations are counted per block of days before they meet a peak, so what is shuffled follows the calendar and not the stations.
+    """
+    d = _covered(spans.select(by, start, end), half_days, start, end)
+    d = d.groupBy("level", "block", by).agg(F.count(F.lit(1)).alias("_n"), F.max(start).alias("_a"), F.min(end).alias("_z"))
+    m = d.join(_blocks_of_days(peak_days), ["level", "block"])
+    g = m.groupBy("day", by).agg(F.sum("_n").alias("n_core"), F.max("_a").alias("common_start"), F.min("_z").alias("common_end"))
     return g.withColumn("days", block_of(F.col("common_end") - F.col("common_start"), DAY))
 
 

@@ -127,3 +127,25 @@ def test_level_match_sets_members_on_one_level_and_the_stack_has_a_floor(spark):
     raw = {r.i: r.x for r in reference.stack(as_frame(spark, m), w).where("i in (399, 400)").collect()}
     step = max(abs(st[i + 1].x - st[i].x) for i in range(599))
     assert step < 0.2 * abs(raw[400] - raw[399])          # the member that drops out no longer steps the level
+
+
+def test_core_groups_count_every_covering_span_without_a_row_per_day(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, "ab"[k % 2], int(a), int(a + w)) for k, (a, w) in enumerate(zip(rng.integers(-20 * DAY, 9000 * DAY, 300), rng.integers(0, 9000 * DAY, 300)))]
+    rows += [(900, "a", 5 * DAY, 19 * DAY), (901, "a", 5 * DAY, 18 * DAY), (902, "b", 12 * DAY, 26 * DAY - 1)]
+    spans = spark.createDataFrame(rows, "site long, instrument string, t_start long, t_end long")
+    days = [-3, 0, 12, 19, 64, 4095, 4096, 8192, 9001, 17000]
+    peak_days = spark.createDataFrame([(d,) for d in days], "day long")
+    want, members = {}, set()
+    for d in days:
+        for s, i, a, z in rows:
+            if a <= (d - 7) * DAY and z >= (d + 7) * DAY:
+                n, x, y = want.get((d, i), (0, a, z))
+                want[d, i] = (n + 1, max(x, a), min(y, z))
+                members.add((d, s))
+    got = register.core_groups(spans, peak_days).collect()
+    assert {(r.day, r.instrument): (r.n_core, r.common_start, r.common_end) for r in got} == want and len(got) == len(want)
+    made = [(r.day, r.site) for r in register.core_members(spans, peak_days).collect()]
+    assert set(made) == members and len(made) == len(members)
+    # 300 spans of 4500 days on average: far fewer rows than their days
+    assert register._covered(spans, 7, "t_start", "t_end").count() < 30 * len(rows)
