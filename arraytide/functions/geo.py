@@ -1,6 +1,7 @@
 """Great circles on station positions."""
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -18,6 +19,13 @@ def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.when(h > 1, F.lit(1.0)).otherwise(F.sqrt(h)))
 
 
+def km_between(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
+    """Haversine distance in km of two positions, inside a task."""
+    p1, p2 = math.radians(lat1), math.radians(lat2)
+    h = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(lon2 - lon1) / 2) ** 2
+    return 2 * EARTH_RADIUS_KM * math.asin(min(1.0, math.sqrt(h)))
+
+
 def bearing_deg(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Initial bearing in degrees east of north, 0 to 360."""
     p1, p2, dl = F.radians(lat1), F.radians(lat2), F.radians(lon2) - F.radians(lon1)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import geo, names
+from ..functions.kernels import RunningMedian
 from ..operators.quantiles import group_percentiles
 
 # fixed values
@@ -238,23 +239,28 @@ def scan(discovery: DataFrame, spans: DataFrame, own: DataFrame, defaults: DataF
 def position_clusters(fixes: DataFrame, folder: str, order: str, split_km: float = SPLIT_KM) -> DataFrame:
     """Deployments of one folder: a new one where a daily fix lies over `split_km` from the running median position.
 
-    The rule depends on every earlier fix, so a folder is one ordered group; it holds one fix per daily file.
+    The rule depends on every earlier fix, so a folder is read in order by one task. Folders are dealt and sorted by Spark and stream through
+    a task one after the other: what is held is the running deployment, in heaps either side of its medians, so a fix costs the logarithm of
+    the fixes before it. A fix without a position stays with the deployment it came in and moves no median.
     """
-    import numpy as np
-    import pandas as pd
-
-    def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        out, la, lo, n = [], [], [], 0
-        for a, b in zip(pdf["lat"], pdf["lon"]):
-            if la:
-                p1, p2 = np.radians(np.median(la)), np.radians(a)
-                h = np.sin((p2 - p1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(np.radians(b - np.median(lo)) / 2) ** 2
-                if 2 * geo.EARTH_RADIUS_KM * np.arcsin(min(1.0, np.sqrt(h))) > split_km:
-                    la, lo, n = [], [], n + 1
-            la.append(a)
-            lo.append(b)
-            out.append(n)
-        return pdf.assign(cluster=np.array(out, dtype="int64"))[[folder, order, "lat", "lon", "cluster"]]
-    types = {f.name: f.dataType.simpleString() for f in fixes.schema}
-    return fixes.groupBy(folder).applyInPandas(cluster, f"`{folder}` {types[folder]}, `{order}` {types[order]}, lat double, lon double, cluster long")
+    import pyarrow as pa
+
+    d = fixes.select(folder, order, F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
+
+    def cluster(batches):
+        now, n, lat, lon = None, 0, RunningMedian(), RunningMedian()
+        for batch in batches:
+            out = []
+            for key, a, b in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                if now != (key,):
+                    now, n, lat, lon = (key,), 0, RunningMedian(), RunningMedian()
+                if a is not None and b is not None and a == a and b == b:
+                    if lat and geo.km_between(lat.value(), lon.value(), a, b) > split_km:
+                        n, lat, lon = n + 1, RunningMedian(), RunningMedian()
+                    lat.add(a)
+                    lon.add(b)
+                out.append(n)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], [*batch.schema.names, "cluster"])
+    types = {f.name: f.dataType.simpleString() for f in d.schema}
+    ordered = d.repartition(folder).sortWithinPartitions(F.col(folder), F.col(order).asc_nulls_last())
+    return ordered.mapInArrow(cluster, f"`{folder}` {types[folder]}, `{order}` {types[order]}, lat double, lon double, cluster long")

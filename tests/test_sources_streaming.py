@@ -145,6 +145,43 @@ def test_stateful_clusters_match_the_batch_rule(spark, tmp_path):
     assert batch == live == {0: 0, 1: 0, 2: 1, 3: 1, 4: 2}
 
 
+def test_clusters_stream_through_a_task_in_order(spark):
+    rng = np.random.default_rng(4)
+    rows = [(f, k, -30.0 + 0.004 * float(a), 140.0 + 0.004 * float(b)) for f in (1, 2, None) for k, (a, b) in enumerate(rng.integers(0, 4, (300, 2)))]
+    want = {}
+    for f in (1, 2, None):
+        la, lo, n = [], [], 0
+        for _, k, a, b in (r for r in rows if r[0] == f):
+            if la:
+                p1, p2 = np.radians(np.median(la)), np.radians(a)
+                h = np.sin((p2 - p1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(np.radians(b - np.median(lo)) / 2) ** 2
+                if 2 * 6371.0088 * np.arcsin(np.sqrt(h)) > 1.0:
+                    la, lo, n = [], [], n + 1
+            la.append(a)
+            lo.append(b)
+            want[f, k] = n
+    rng.shuffle(rows)
+    schema = "folder long, k long, lat double, lon double"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r.folder, r.k): r.cluster for r in files.position_clusters(spark.createDataFrame([tuple(r) for r in rows], schema), "folder", "k").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == want and max(want.values()) > 10
+
+
+def test_a_fix_without_position_stays_with_its_deployment(spark):
+    rows = [(1, 0, -30.0, 140.0), (1, 1, None, 140.0), (1, 2, float("nan"), 140.0), (1, 3, -30.0, 140.0), (1, 4, -31.0, 140.0)]
+    d = files.position_clusters(spark.createDataFrame(rows, "folder long, k long, lat double, lon double"), "folder", "k")
+    assert [r.cluster for r in d.orderBy("k").collect()] == [0, 0, 0, 0, 1]
+
+
+def test_a_long_folder_costs_the_logarithm_of_its_fixes(spark):
+    # 40,000 fixes of one folder: a median of all earlier fixes for each one takes minutes
+    d = spark.range(40_000).selectExpr("1L as folder", "id as k", "-30.0D + (id % 7) * 0.0001D as lat", "140.0D as lon")
+    assert files.position_clusters(d, "folder", "k").groupBy("cluster").count().first()["count"] == 40_000
+
+
 def test_archive_read_prunes_rows_and_columns(spark, tmp_path):
     p = str(tmp_path / "y")
     t = pd.to_datetime("2024-01-01") + pd.to_timedelta(range(100), unit="s")
