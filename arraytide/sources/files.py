@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ..functions import geo, names
 from ..functions.kernels import RunningMedian
 from ..operators.quantiles import group_percentiles
+from ..session import cut_lineage
 
 # fixed values
 DATA_EXT = ("BX", "BY", "BZ", "EX", "EY")
@@ -54,36 +55,51 @@ def classify(files: DataFrame) -> DataFrame:
     return d.withColumn("kind", kind).withColumn("reason", F.when(F.col("kind") == "dropped", reason).otherwise("")).where(F.col("folder").rlike("^[0-9]+$"))
 
 
-def drop_foreign(classified: DataFrame, days: int = FOREIGN_DAYS) -> DataFrame:
-    """Data files of another stem stamped more than `days` outside the station's own span become dropped ones.
+def _said(files: DataFrame) -> DataFrame:
+    """(site, kind, label, t, n, a, z): what the files of a station say about stems, extensions, reasons and folders, counted in one pass.
 
-    The own span is one aggregate per station joined back, not a window over all its files.
+    Data files of another stem are kept apart by their time `t`; for those of the own stem `t` and `u` are the first and the last. Stamps
+    are compared as numbers, so that counting is hashed and no file is sorted.
     """
+    c, no = F.col, F.lit(None).cast("bigint")
+    d = classify(files)
     own = F.upper(F.rtrim(F.regexp_replace("stem", "_+$", ""))) == F.upper("site")
-    t = names.stamp_time(F.col("stamp"))
-    d = classified.withColumns({"_own": own, "_t": t})
-    span = d.where(F.col("_own") & (F.col("kind") == "data")).groupBy("site").agg(F.min("_t").alias("_a"), F.max("_t").alias("_z"))
-    d = d.join(span, "site", "left")
-    sec = F.unix_seconds("_t")
-    outside = ~F.col("_own") & F.col("_a").isNotNull() & ((sec < F.unix_seconds("_a") - days * 86400) | (sec > F.unix_seconds("_z") + days * 86400))
-    bad = (F.col("kind") == "data") & F.coalesce(outside, F.lit(False))
-    return d.withColumn("reason", F.when(bad, "foreign stem").otherwise(F.col("reason"))).withColumn("kind", F.when(bad, "dropped").otherwise(F.col("kind"))).drop("_own", "_t", "_a", "_z")
+    kind = F.when((c("kind") == "data") & ~own, "other").otherwise(c("kind"))
+    d = d.select("site", "folder", kind.alias("kind"), F.when(c("kind") == "data", c("stem")).when(c("kind") == "sidecar", c("ext")).otherwise(c("reason")).alias("label"),
+                 F.when(c("kind") == "data", c("stamp")).alias("stamp"))
+    says = F.array(F.struct("kind", "label", c("stamp").cast("bigint").alias("stamp"), F.unix_seconds(names.stamp_time(c("stamp"))).alias("sec")),
+                   F.struct(F.lit("folder").alias("kind"), c("folder").alias("label"), no.alias("stamp"), no.alias("sec")))
+    d = d.select("site", F.explode(says).alias("s")).select("site", "s.*").withColumn("at", F.when(c("kind") == "other", c("stamp")))
+    return d.groupBy("site", "kind", "label", "at").agg(F.count(F.lit(1)).alias("n"), F.min("stamp").alias("a"), F.max("stamp").alias("z"), F.min("sec").alias("t"), F.max("sec").alias("u"))
+
+
+def _foreign_judged(said: DataFrame, days: int) -> DataFrame:
+    """Data files of another stem stamped more than `days` outside the station's own span become dropped ones, the others data."""
+    c = F.col
+    span = said.where(c("kind") == "data").groupBy("site").agg(F.min("t").alias("_t"), F.max("u").alias("_u"))
+    out = F.coalesce((c("t") < c("_t") - days * 86400) | (c("t") > c("_u") + days * 86400), F.lit(False))
+    d = said.where(c("kind") == "other").join(span, "site", "left").withColumn("_out", out)
+    d = d.select("site", F.when(c("_out"), "dropped").otherwise("data").alias("kind"), F.when(c("_out"), "foreign stem").otherwise(c("label")).alias("label"), "n",
+                 *[F.when(~c("_out"), c(k)).alias(k) for k in ("a", "z")])
+    return said.where(c("kind") != "other").select(*d.columns).unionByName(d)
 
 
 def discover(files: DataFrame, first_year: int | None = None, expected: DataFrame | None = None) -> DataFrame:
     """One row per station from names alone: counts, first and last stamp, stems, sidecars, drops, date correction.
 
-    Counts by extension and reason are aggregated before they are written into a line; a station named in
+    Names are read once; what they say is counted by extension and reason before it is written into a line. A station named in
     `expected` with no folder keeps a row that says so.
     """
-    d = drop_foreign(classify(files))
-    data = F.col("kind") == "data"
-    g = d.groupBy("site").agg(F.countDistinct("folder").alias("n_day_folders"), F.count_if(data).alias("n_data_files"), F.min(F.when(data, F.col("stamp"))).alias("first_stamp"),
-                              F.max(F.when(data, F.col("stamp"))).alias("last_stamp"), F.array_join(F.array_sort(F.collect_set(F.when(data, F.col("stem")))), " ").alias("stem_styles"))
-    def counted(kind: str, by: str, sep: str, out: str) -> DataFrame:
-        c = d.where(F.col("kind") == kind).groupBy("site", by).agg(F.count(F.lit(1)).alias("n"))
-        return c.groupBy("site").agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.col(by), F.lit(":"), F.col("n").cast("string")))), sep).alias(out))
-    g = g.join(counted("sidecar", "ext", " ", "sidecars"), "site", "left").join(counted("dropped", "reason", "; ", "dropped"), "site", "left")
+    c = F.col
+    d = _foreign_judged(cut_lineage(_said(files)), FOREIGN_DAYS)
+    d = d.groupBy("site", "kind", "label").agg(F.sum("n").alias("n"), F.min("a").alias("a"), F.max("z").alias("z"))
+
+    def line(kind: str, sep: str, what: Column) -> Column:
+        return F.array_join(F.array_sort(F.collect_list(F.when(c("kind") == kind, what))), sep)
+    counted = F.concat("label", F.lit(":"), c("n").cast("string"))
+    g = d.groupBy("site").agg(F.count_if(c("kind") == "folder").alias("n_day_folders"), F.sum(F.when(c("kind") == "data", c("n")).otherwise(0)).alias("n_data_files"), F.min("a").alias("a"), F.max("z").alias("z"),
+                              line("data", " ", c("label")).alias("stem_styles"), line("sidecar", " ", counted).alias("sidecars"), line("dropped", "; ", counted).alias("dropped"))
+    g = g.withColumns({out: F.lpad(c(k).cast("string"), 12, "0") for k, out in (("a", "first_stamp"), ("z", "last_stamp"))}).drop("a", "z")
     if expected is not None:
         g = expected.select("site").join(g, "site", "left")
         g = g.withColumn("dropped", F.when(F.col("n_day_folders").isNull(), "folder absent").otherwise(F.col("dropped")))
