@@ -152,3 +152,17 @@ def test_clock_test_gates_each_day(spark):
     assert v["w"]["n_days"] == 0 and v["e"]["n_days"] == 0  # no peak; a peak at the edge of the search
     near = {r["site"]: r for r in lags.clock_test(t, pairs, model, "site", "i", least=3000, limit=30, **how).collect()}
     assert near["s"]["ok"]
+
+
+def test_member_lags_compute_their_record_once(spark):
+    rows = [(s, i, float(np.sin(i * 1.3 + s) + np.sin(i / 2.5)), float(np.cos(i * 1.7))) for s in (1, 2) for i in range(400)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+    schema = "site long, i long, hx double, hy double"
+    t = spark.createDataFrame(rows, schema).mapInPandas(counted, schema)
+    got = lags.member_lags(t, spark.createDataFrame([(1, 2)], "a long, b long"), "site", "i", win=96, fallback=64, max_lag=5, short=(1 / 8.0, 1 / 3.0), long=(1 / 24.0, 1 / 8.0)).collect()
+    assert len(got) == 1 and read.value == len(rows)
