@@ -17,6 +17,7 @@ DATA_EXT = ("BX", "BY", "BZ", "EX", "EY")
 SIDECAR_EXT = ("gps", "gst", "pll", "TP", "ambientTemperature", "batteryVolts2", "diskTemperature")
 CHANNEL_OF = {"BX": "hx", "BY": "hy", "BZ": "hz", "EX": "ex", "EY": "ey"}
 FOREIGN_DAYS = 30
+FILES_A_TASK = 500_000
 ROWS_PER_DAY = 86_400
 MIN_SATELLITES = 3
 SPLIT_KM = 1.0
@@ -55,31 +56,30 @@ def classify(files: DataFrame) -> DataFrame:
     return d.withColumn("kind", kind).withColumn("reason", F.when(F.col("kind") == "dropped", reason).otherwise("")).where(F.col("folder").rlike("^[0-9]+$"))
 
 
-def _said(files: DataFrame) -> DataFrame:
-    """(site, kind, label, t, n, a, z): what the files of a station say about stems, extensions, reasons and folders, counted in one pass.
+def _said(files: DataFrame, n: int) -> DataFrame:
+    """(site, folder, kind, label, at, n, a, z, t, u): what the files of a folder say about stems, extensions and reasons, counted in one pass.
 
-    Data files of another stem are kept apart by their time `t`; for those of the own stem `t` and `u` are the first and the last. Stamps
-    are compared as numbers, so that counting is hashed and no file is sorted.
+    Data files of another stem are kept apart by their stamp `at`; `t` and `u` are the first and the last time. Stamps are compared as
+    numbers, so that counting is hashed and no file is sorted. Names are dealt to `n` tasks by folder before they are counted.
     """
-    c, no = F.col, F.lit(None).cast("bigint")
+    c = F.col
     d = classify(files)
     own = F.upper(F.rtrim(F.regexp_replace("stem", "_+$", ""))) == F.upper("site")
     kind = F.when((c("kind") == "data") & ~own, "other").otherwise(c("kind"))
     d = d.select("site", "folder", kind.alias("kind"), F.when(c("kind") == "data", c("stem")).when(c("kind") == "sidecar", c("ext")).otherwise(c("reason")).alias("label"),
-                 F.when(c("kind") == "data", c("stamp")).alias("stamp"))
-    says = F.array(F.struct("kind", "label", c("stamp").cast("bigint").alias("stamp"), F.unix_seconds(names.stamp_time(c("stamp"))).alias("sec")),
-                   F.struct(F.lit("folder").alias("kind"), c("folder").alias("label"), no.alias("stamp"), no.alias("sec")))
-    d = d.select("site", F.explode(says).alias("s")).select("site", "s.*").withColumn("at", F.when(c("kind") == "other", c("stamp")))
-    return d.groupBy("site", "kind", "label", "at").agg(F.count(F.lit(1)).alias("n"), F.min("stamp").alias("a"), F.max("stamp").alias("z"), F.min("sec").alias("t"), F.max("sec").alias("u"))
+                 F.when(c("kind") == "data", c("stamp")).cast("bigint").alias("stamp")).repartition(n, "site", "folder")
+    sec = F.unix_seconds(names.stamp_time(F.lpad(c("stamp").cast("string"), 12, "0")))
+    d = d.withColumns({"sec": sec, "at": F.when(c("kind") == "other", c("stamp"))})
+    return d.groupBy("site", "folder", "kind", "label", "at").agg(F.count(F.lit(1)).alias("n"), F.min("stamp").alias("a"), F.max("stamp").alias("z"), F.min("sec").alias("t"), F.max("sec").alias("u"))
 
 
-def _foreign_judged(said: DataFrame, days: int) -> DataFrame:
-    """Data files of another stem stamped more than `days` outside the station's own span become dropped ones, the others data."""
+def _foreign_judged(said: DataFrame, days: int, n: int) -> DataFrame:
+    """(site, folder, kind, label, n, a, z): data files of another stem more than `days` outside the station's own span become dropped ones."""
     c = F.col
-    span = said.where(c("kind") == "data").groupBy("site").agg(F.min("t").alias("_t"), F.max("u").alias("_u"))
+    span = said.where(c("kind") == "data").repartition(n, "site").groupBy("site").agg(F.min("t").alias("_t"), F.max("u").alias("_u"))
     out = F.coalesce((c("t") < c("_t") - days * 86400) | (c("t") > c("_u") + days * 86400), F.lit(False))
-    d = said.where(c("kind") == "other").join(span, "site", "left").withColumn("_out", out)
-    d = d.select("site", F.when(c("_out"), "dropped").otherwise("data").alias("kind"), F.when(c("_out"), "foreign stem").otherwise(c("label")).alias("label"), "n",
+    d = said.where(c("kind") == "other").repartition(n, "site").join(span, "site", "left").withColumn("_out", out)
+    d = d.select("site", "folder", F.when(c("_out"), "dropped").otherwise("data").alias("kind"), F.when(c("_out"), "foreign stem").otherwise(c("label")).alias("label"), "n",
                  *[F.when(~c("_out"), c(k)).alias(k) for k in ("a", "z")])
     return said.where(c("kind") != "other").select(*d.columns).unionByName(d)
 
@@ -87,11 +87,15 @@ def _foreign_judged(said: DataFrame, days: int) -> DataFrame:
 def discover(files: DataFrame, first_year: int | None = None, expected: DataFrame | None = None) -> DataFrame:
     """One row per station from names alone: counts, first and last stamp, stems, sidecars, drops, date correction.
 
-    Names are read once; what they say is counted by extension and reason before it is written into a line. A station named in
-    `expected` with no folder keeps a row that says so.
+    Names are read once; what they say is counted by extension and reason before it is written into a line. The number of tasks follows
+    the number of files, so that the counts one task holds do not grow with the listing. A station named in `expected` with no folder
+    keeps a row that says so.
     """
     c = F.col
-    d = _foreign_judged(cut_lineage(_said(files)), FOREIGN_DAYS)
+    n = files.count() // FILES_A_TASK + 1
+    d = _foreign_judged(cut_lineage(_said(files, n)), FOREIGN_DAYS, n)
+    folder = F.struct(F.lit("folder").alias("kind"), c("folder").alias("label"), F.lit(1).cast("bigint").alias("n"), *[F.lit(None).cast("bigint").alias(k) for k in ("a", "z")])
+    d = d.repartition(n, "site").select("site", F.explode(F.array(F.struct("kind", "label", "n", "a", "z"), folder)).alias("s")).select("site", "s.*")
     d = d.groupBy("site", "kind", "label").agg(F.sum("n").alias("n"), F.min("a").alias("a"), F.max("z").alias("z"))
 
     def line(kind: str, sep: str, what: Column) -> Column:

@@ -29,7 +29,7 @@ def test_logger_folder_to_axis(spark, tmp_path):
     assert len(got) == 6 and got[0] == 1.0 and got[5] == 9.0
 
 
-def test_names_are_read_once_and_foreign_stems_judged_by_the_own_span(spark):
+def test_names_are_counted_and_read_once_and_foreign_stems_judged_by_the_own_span(spark):
     f = lambda stem, day, ext="BX": f"/raw/Q1/001/{stem}{day}000000.{ext}"
     paths = [f("Q1_", "250301"), f("Q1", "250401"), f("X_", "250131"), f("X_", "250129"), f("Y", "250501"), f("Y", "250502"), f("Q1_", "250301", "gps"), f("Q1_", "251399"),
              f("Q1_", "250301", "xyz"), "/raw/Q1/002/none.BX", "/raw/Q1/day/Q1_250301000000.BX", "/raw/Q2/001/Q2.gps", "/raw/Q3/001/Z_010203000000.EY"]
@@ -40,7 +40,8 @@ def test_names_are_read_once_and_foreign_stems_judged_by_the_own_span(spark):
             read.add(len(b))
             yield b
     rows = {r.site: r for r in files.discover(spark.createDataFrame([(p,) for p in paths], "path string").mapInPandas(counted, "path string"), 2020).collect()}
-    assert read.value == len(paths)
+    # once for their number, once for what they say
+    assert read.value == 2 * len(paths)
     q = rows["Q1"]
     assert (q.n_day_folders, q.n_data_files, q.first_stamp, q.last_stamp) == (2, 5, "250131000000", "251399000000")
     assert (q.stem_styles, q.sidecars, q.dropped) == ("Q1 Q1_ X_ Y", "gps:1", "ext .xyz:1; foreign stem:2; no stamp:1")
