@@ -4,7 +4,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arraytide.llm import common
@@ -31,13 +31,6 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int64())], ["u", "v"])
 
 
-def _stored(edges: DataFrame) -> tuple[DataFrame, int]:
-    """The links, stored, and their number, counted while they are written."""
-    seen = Observation()
-    out = common.stored(edges.observe(seen, F.count(F.lit(1)).alias("n")), "links")
-    return out, seen.get["n"]
-
-
 def _forest(edges: DataFrame) -> bool:
     """Whether distinct links u > v are stars already: every u has one v, and no v is a u. One aggregate instead of a pass that changes nothing."""
     ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up")))
@@ -62,7 +55,7 @@ def components(links: DataFrame, stars: DataFrame | None = None, u: str = "u", v
     edges = links.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v"))
     if stars is not None:
         edges = _named(_named(edges, stars, "u"), stars, "v").select("u", "v")
-    edges, n = _stored(edges.where("u <> v").mapInArrow(_local, EDGES).distinct())
+    edges, n = common.counted(edges.where("u <> v").mapInArrow(_local, EDGES).distinct(), "links")
     while n and not _forest(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).hint("merge")
@@ -70,7 +63,7 @@ def components(links: DataFrame, stars: DataFrame | None = None, u: str = "u", v
         edges = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         least = edges.groupBy("u").agg(F.min("v").alias("m")).hint("merge")
         hung = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        edges, n = _stored(hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        edges, n = common.counted(hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
     fresh = edges.select(F.col("u").alias("node"), F.col("v").alias("component_id"))
     if stars is None:
         return fresh

@@ -246,15 +246,18 @@ def _rooted(nodes: DataFrame, roots: DataFrame, name: str, out: str) -> DataFram
 
 
 def mixed(held: DataFrame) -> DataFrame:
-    """key, main, size: the groups of `held` (key, node, root) with several roots, the root that most members have, and how many members there are."""
+    """The members of the groups of `held` (key, node, root) with several roots, with the root that most members have (main) and how many members
+    there are (size). What comes from here is not worked on again."""
+    if "main" in held.columns:
+        return held
     per = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
     found = per.groupBy("key").agg(F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("roots"), F.sum("c").alias("size"))
-    return found.where("roots > 1").select("key", F.col("top.root").alias("main"), "size")
+    return held.join(found.where("roots > 1").select("key", F.col("top.root").alias("main"), "size"), "key")
 
 
 def delegated(held: DataFrame) -> DataFrame:
     """u, v: every member outside the largest component of its group with one member of it, another one in each group."""
-    t = held.join(mixed(held), "key")
+    t = mixed(held)
     one = t.where("root = main").groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("one"))
     rest = t.where("root <> main").join(one, "key")
     return rest.select(F.greatest("node", "one").alias("u"), F.least("node", "one").alias("v")).distinct()
@@ -301,7 +304,7 @@ def blocks(held: DataFrame, at: DataFrame, block: int) -> DataFrame:
         if open_at is not None:
             yield closed()
 
-    t = held.join(mixed(held).where(F.col("size") > block), "key").select("key", "node", "root", (F.col("root") == F.col("main")).alias("inner")).join(at.select("node", "n", "counts"), "node")
+    t = mixed(held).where(F.col("size") > block).select("key", "node", "root", (F.col("root") == F.col("main")).alias("inner")).join(at.select("node", "n", "counts"), "node")
     # a group of any size is spread over the tasks: its members are dealt in ranges of size
     order = ("key", "inner", "n", "node")
     t = t.select("key", "inner", "n", "node", "root", "counts").repartitionByRange(*order).sortWithinPartitions(*order)
@@ -330,7 +333,7 @@ def searched(held: DataFrame, at: DataFrame, num: int, den: int, block: int = BL
         return pa.table({"u": pa.array(np.maximum(node[u], node[v])), "v": pa.array(np.minimum(node[u], node[v]))})
 
     # a group that fits one block is one
-    small, no = held.join(mixed(held).where(F.col("size") <= block), "key"), F.lit(-1).cast("long")
+    small, no = mixed(held).where(F.col("size") <= block), F.lit(-1).cast("long")
     small = small.select("key", no.alias("a"), no.alias("b"), no.alias("block"), "node", "root")
     both = small.unionByName(block_pairs(blocks(held, at, block), num, den)).join(at.select("node", "n", "counts"), "node")
     return both.groupBy("key", "a", "b").applyInArrow(search, "u long, v long").distinct()
@@ -352,10 +355,13 @@ def set_components(docs: DataFrame, k: int, num: int, den: int, text: str) -> Da
     inside = met.where("members > 2").join(groups, "key", "left_semi").select("key", "node")
     # groups of the same members hold the same pairs: one of them is searched
     lists = inside.groupBy("key").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("what"), F.count(F.lit(1)).alias("n"))
-    inside = inside.join(lists.groupBy("what", "n").agg(F.min("key").alias("key")), "key", "left_semi")
+    # stored, and so is what a round works on: the queries that follow would carry the plan of all this at each place that reads it
+    inside = common.stored(inside.join(lists.groupBy("what", "n").agg(F.min("key").alias("key")), "key", "left_semi"), "inside")
     # what one member of a component stands for is joined first; the search is left with what is really apart
     for bound in (True, False):
-        held = _rooted(inside, roots, "node", "root")
+        held, n = common.counted(mixed(_rooted(inside, roots, "node", "root")), "mixed")
+        if not n:
+            break
         across = delegated(held) if bound else searched(held, at, num, den)
         roots = components(verified(across, at, k, num, den, bound), roots)
     return roots

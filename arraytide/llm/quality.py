@@ -156,12 +156,13 @@ def train(docs: DataFrame, graded: DataFrame, max_rows: int = 8_000, bits: int =
 
     # an id may have many rows: one of them learns, so the sample is bounded in rows as it is in labels
     one = sample.mapInArrow(task, "doc_id long, grade int, idx binary").groupBy("doc_id", "grade").agg(F.min("idx").alias("idx"))
-    rows = one.toPandas().sort_values("doc_id")
-    if rows["grade"].nunique() < 2:
+    # the lists of features come as one buffer, not as a Python object for each row
+    rows = one.toArrow().sort_by("doc_id")
+    grade = rows.column("grade").to_numpy().astype(np.int64)
+    if len(np.unique(grade)) < 2:
         return None
-    lists = [np.frombuffer(x, "<u4").astype(np.int64) for x in rows["idx"]]
-    return fit(np.concatenate(lists), np.concatenate([[0], np.cumsum([len(x) for x in lists])]), rows["grade"].to_numpy(np.int64),
-               int(rows["grade"].max()) + 1, bits, **how)
+    data, offsets = common.byte_column(rows.column("idx"))
+    return fit(data.view("<u4").astype(np.int64), offsets // 4, grade, int(grade.max()) + 1, bits, **how)
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("expected_grade", "tails")) -> DataFrame:

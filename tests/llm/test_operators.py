@@ -1,6 +1,8 @@
 """The corpus operators against brute force on small tables, with nulls, empty and long texts, ties, repeated rows, extra columns and empty tables."""
 import collections
+import contextlib
 import hashlib
+import io
 import itertools
 import math
 import random
@@ -249,6 +251,33 @@ def test_one_of_each_keeps_columns_and_one_row(spark, docs):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_queries_of_the_search_start_from_stored_rows(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [prose(rng, 120).split() for _ in range(6)]
+    rows = []
+    for i in range(60):
+        w = list(base[i % 6])
+        for _ in range(rng.randrange(8)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(1000)}"
+        rows.append((i, " ".join(w)))
+    seen, kept = [], common.stored
+
+    def watched(df, name, *how):
+        plan = io.StringIO()
+        with contextlib.redirect_stdout(plan):
+            df.explain()
+        seen.append((name, plan.getvalue().count("Join ")))
+        return kept(df, name, *how)
+
+    monkeypatch.setattr(common, "stored", watched)
+    t = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert 6 <= jaccard.one_of_each(t).count() < 60
+    assert max(n for _, n in seen) <= 8, seen  # the driver holds each of these plans, and again at every step of adaptive execution
+    seen.clear()
+    apart = spark.createDataFrame([(i, prose(rng, 80)) for i in range(9)], "doc_id long, text string")
+    assert jaccard.one_of_each(apart).count() == 9 and "blocks" not in dict(seen)
+
+
 def test_tree_finds_all_pairs_the_bound_leaves():
     rng = np.random.default_rng(3)
     count = rng.poisson(4, (300, 64)).astype(np.int64)
