@@ -195,6 +195,44 @@ def test_jaccard_components_are_exact(docs, texts, k, num):
     assert max(map(len, names.values())) >= 5
 
 
+def test_decontamination_compares_each_alignment_once_on_a_small_piece(spark):
+    rng = random.Random(12)
+    texts = [prose(rng, n).split() for n in (5, 9, 13, 40)]
+    long = prose(rng, 300).split()
+    for k, w in enumerate(texts):
+        for at in (0, 57 + 61 * k, 300 - len(w)):
+            if k == 3 or at not in (0, 300 - len(w)):
+                long[at:at + len(w)] = w
+    rows = [(1, " ".join(long)), (2, " ".join(texts[3][10:])), (3, " ".join(texts[3][:20])), (1, " ".join(texts[1])), (None, " ".join(texts[0])), (4, "")]
+    t = spark.createDataFrame(rows, "doc_id long, text string")
+    # items of equal tokens, thirty ids each
+    bench = spark.createDataFrame([(100 * c + k, " ".join(w).upper()) for k, w in enumerate(texts) for c in range(30)], "item_id long, text string")
+    want = {}
+    for d, text in rows:
+        a = text.split()
+        for k, b in enumerate(texts):
+            w, subs = min(13, len(b)), 2 if len(b) >= 13 else 2 * len(b) // 13 if len(b) >= 8 else 0
+            for shift in range(1 - len(b), len(a)):
+                lo, hi = max(0, -shift), min(len(b), len(a) - shift)
+                good = [x + shift for x in range(lo, hi - w + 1) if sum(a[x + shift + j] != b[x + j] for j in range(w)) <= subs]
+                for c in range(30 * bool(good)):
+                    want[d, 100 * c + k, shift] = (len(good), good[0], good[-1] + w - 1)
+    assert len(want) > 200 and any(s < 0 for _, _, s in want)
+    for piece, limit in ((2048, 1 << 24), (7, 1 << 24), (64, 0)):
+        got = spark_rows(decontaminate.matches(t, bench, broadcast_bytes=limit, piece=piece))
+        assert len(got) == len(want) and {(r["doc_id"], r["item_id"], r["shift"]): (r["n_windows"], r["first_token"], r["last_token"]) for r in got} == want
+    tok = t.select("doc_id", decontaminate.tokens().alias("tok"))
+    cut = spark_rows(decontaminate.pieces(tok, "tok", 64, 6))
+    assert sorted((r["at"], len(r["tok"])) for r in cut if r["doc_id"] == 1 and len(r["tok"]) != 9) == [(0, 70), (64, 70), (128, 70), (192, 70), (256, 44)]
+    far = spark.createDataFrame([(9, " ".join(f"w{j}" for j in range(150_000)))], "doc_id long, text string").select("doc_id", decontaminate.tokens().alias("tok"))
+    far = spark_rows(decontaminate.pieces(far, "tok", 2048, 6).select("at", F.size("tok").alias("n"), F.get("tok", F.lit(0)).alias("first")).orderBy("at"))
+    assert [(r["at"], r["n"], r["first"]) for r in far] == [(a, min(2054, 150_000 - a), f"w{a}") for a in range(0, 150_000, 2048)]
+    # no generator hands the tokens on to the rows of the places
+    plan = decontaminate.seeds(tok, "tok", "i").select("doc_id", "i", "h")._jdf.queryExecution().executedPlan().toString()
+    kept = re.findall(r"Generate .*\), \[([^\[\]]*)\], false, \[", plan)
+    assert len(kept) == 1 and "doc_id" in kept[0] and "tok" not in kept[0]
+
+
 def test_short_items_and_the_last_token(spark):
     rng = random.Random(4)
     item = {n: [f"t{n}x{j}" for j in range(n)] for n in range(1, 14)}
