@@ -154,6 +154,22 @@ def test_clock_test_gates_each_day(spark):
     assert near["s"]["ok"]
 
 
+def test_member_lags_measure_every_window(spark):
+    rng = np.random.default_rng(8)
+    win, n = 1000, 20
+    base = np.stack([field(rng, win * n) for _ in range(5)])
+    # a clock that is off in two windows in the middle, between those that eight spread ones would be
+    off = delayed(base, 2)
+    off[:, 9 * win:11 * win] = delayed(base, 9)[:, 9 * win:11 * win]
+    t = samples(spark, {"t": base, "late": delayed(base, 2), "off": off}, blank=[("late", None, 3 * win, 3 * win + 1)])
+    pairs = spark.createDataFrame([("t", "late"), ("t", "off")], "a string, b string")
+    got = {r["b"]: r for r in lags.member_lags(t, pairs, "site", "i", win=win, fallback=500, block=3000).collect()}
+    # the missing sample costs one window
+    assert got["late"]["note"] == "" and got["late"]["lag_s"] == pytest.approx(2, abs=0.1) and got["late"]["n_windows"] == n - 1
+    assert got["off"]["n_windows"] == n and got["off"]["spread"] == pytest.approx(7, abs=0.3)
+    assert got["off"]["note"] == "the lag is not one constant" and got["off"]["lag_s"] == 0
+
+
 def test_member_lags_compute_their_record_once(spark):
     rows = [(s, i, float(np.sin(i * 1.3 + s) + np.sin(i / 2.5)), float(np.cos(i * 1.7))) for s in (1, 2) for i in range(400)]
     read = spark.sparkContext.accumulator(0)
